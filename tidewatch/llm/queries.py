@@ -7,7 +7,10 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from .common import documents, table  # noqa: F401
+from .decontam import overlaps
 from .exact_dedup import exact_groups
+from .licenses import ORACLE as LICENSE_SQL
+from .licenses import scan
 from .packing import pack
 
 
@@ -21,16 +24,27 @@ def op2_best_two_fit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(documents(spark, sf_dir), tokenizer())
 
 
+def op3_spaced_seeds(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return overlaps(documents(spark, sf_dir), table(spark, sf_dir, "benchmark"))
+
+
+def op9_license_diagonals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return scan(documents(spark, sf_dir)).drop("spans")
+
+
 def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_groups(documents(spark, sf_dir))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_best_two_fit": op2_best_two_fit,
+    "op3_spaced_seeds": op3_spaced_seeds,
+    "op9_license_diagonals": op9_license_diagonals,
     "op10_exact_dedup": op10_exact_dedup,
 }
 
 ORACLES: dict[str, str] = {
+    "op9_license_diagonals": LICENSE_SQL,
     "op10_exact_dedup": """
         WITH d AS (SELECT doc_id, translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS body FROM documents)
         SELECT doc_id, max(doc_id) OVER w AS keep_id, count(*) OVER w AS group_size, doc_id = max(doc_id) OVER w AS kept, sha256(body) AS text_sha256
