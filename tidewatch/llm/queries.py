@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from . import chat, toxicity
 from .common import documents, table  # noqa: F401
 from .decontam import overlaps
 from .exact_dedup import exact_groups
@@ -20,6 +21,10 @@ def tokenizer(name: str = "byte_bpe_50k.json") -> str:
     return public_tokenizers.path(name)
 
 
+def op1_snapshot_collapse(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chat.maximal(table(spark, sf_dir, "conversations"))
+
+
 def op2_best_two_fit(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(documents(spark, sf_dir), tokenizer())
 
@@ -28,6 +33,11 @@ def op3_spaced_seeds(spark: SparkSession, sf_dir: str) -> DataFrame:
     return overlaps(documents(spark, sf_dir), table(spark, sf_dir, "benchmark"))
 
 
+def op8_toxicity_trees(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir)
+    return toxicity.score(docs, toxicity.fit(docs, table(spark, sf_dir, "labels")))
+
+
 def op9_license_diagonals(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scan(documents(spark, sf_dir)).drop("spans")
 
@@ -37,13 +47,16 @@ def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_snapshot_collapse": op1_snapshot_collapse,
     "op2_best_two_fit": op2_best_two_fit,
     "op3_spaced_seeds": op3_spaced_seeds,
+    "op8_toxicity_trees": op8_toxicity_trees,
     "op9_license_diagonals": op9_license_diagonals,
     "op10_exact_dedup": op10_exact_dedup,
 }
 
 ORACLES: dict[str, str] = {
+    "op1_snapshot_collapse": chat.ORACLE,
     "op9_license_diagonals": LICENSE_SQL,
     "op10_exact_dedup": """
         WITH d AS (SELECT doc_id, translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS body FROM documents)
