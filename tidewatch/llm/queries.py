@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import chat, toxicity
+from . import chat, quality, toxicity
 from .common import documents, table  # noqa: F401
 from .decontam import overlaps
 from .exact_dedup import exact_groups
@@ -33,6 +33,10 @@ def op3_spaced_seeds(spark: SparkSession, sf_dir: str) -> DataFrame:
     return overlaps(documents(spark, sf_dir), table(spark, sf_dir, "benchmark"))
 
 
+def op4_kneser_ney(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.judge(documents(spark, sf_dir), table(spark, sf_dir, "labels"))
+
+
 def op8_toxicity_trees(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = documents(spark, sf_dir)
     return toxicity.score(docs, toxicity.fit(docs, table(spark, sf_dir, "labels")))
@@ -50,6 +54,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_snapshot_collapse": op1_snapshot_collapse,
     "op2_best_two_fit": op2_best_two_fit,
     "op3_spaced_seeds": op3_spaced_seeds,
+    "op4_kneser_ney": op4_kneser_ney,
     "op8_toxicity_trees": op8_toxicity_trees,
     "op9_license_diagonals": op9_license_diagonals,
     "op10_exact_dedup": op10_exact_dedup,
