@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import tempfile
 import uuid
 
@@ -32,6 +33,9 @@ def scratch(df: DataFrame, name: str, *partition_by: str) -> DataFrame:
     if partition_by:
         writer = writer.partitionBy(*partition_by)
     writer.parquet(path)
+    # Shuffle files of the finished job go when the driver collects its references to them.
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
     return spark.read.schema(df.schema).parquet(path)
 
 

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import chat, quality, toxicity
+from . import chat, quality, repeats, toxicity
 from .common import documents, table  # noqa: F401
 from .decontam import overlaps
 from .exact_dedup import exact_groups
@@ -37,6 +37,10 @@ def op4_kneser_ney(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.judge(documents(spark, sf_dir), table(spark, sf_dir, "labels"))
 
 
+def op6_merged_transforms(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repeats.remove_repeats(documents(spark, sf_dir)).drop("kept")
+
+
 def op8_toxicity_trees(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = documents(spark, sf_dir)
     return toxicity.score(docs, toxicity.fit(docs, table(spark, sf_dir, "labels")))
@@ -55,6 +59,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_best_two_fit": op2_best_two_fit,
     "op3_spaced_seeds": op3_spaced_seeds,
     "op4_kneser_ney": op4_kneser_ney,
+    "op6_merged_transforms": op6_merged_transforms,
     "op8_toxicity_trees": op8_toxicity_trees,
     "op9_license_diagonals": op9_license_diagonals,
     "op10_exact_dedup": op10_exact_dedup,
