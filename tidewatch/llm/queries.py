@@ -10,6 +10,7 @@ from . import chat, quality, repeats, toxicity
 from .common import documents, table  # noqa: F401
 from .decontam import overlaps
 from .exact_dedup import exact_groups
+from .near_dedup import near_groups
 from .licenses import ORACLE as LICENSE_SQL
 from .licenses import scan
 from .packing import pack
@@ -41,6 +42,10 @@ def op6_merged_transforms(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repeats.remove_repeats(documents(spark, sf_dir)).drop("kept")
 
 
+def op7_chosen_path(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_groups(documents(spark, sf_dir))
+
+
 def op8_toxicity_trees(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = documents(spark, sf_dir)
     return toxicity.score(docs, toxicity.fit(docs, table(spark, sf_dir, "labels")))
@@ -60,6 +65,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_spaced_seeds": op3_spaced_seeds,
     "op4_kneser_ney": op4_kneser_ney,
     "op6_merged_transforms": op6_merged_transforms,
+    "op7_chosen_path": op7_chosen_path,
     "op8_toxicity_trees": op8_toxicity_trees,
     "op9_license_diagonals": op9_license_diagonals,
     "op10_exact_dedup": op10_exact_dedup,
