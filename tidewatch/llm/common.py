@@ -28,6 +28,7 @@ def shared_dir(spark: SparkSession) -> str:
 def scratch(df: DataFrame, name: str, *partition_by: str) -> DataFrame:
     """Write a table to the shared folder and read it back: lineage ends there and a lost executor costs nothing."""
     spark = df.sparkSession
+    ship(spark)
     path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
     writer = df.write
     if partition_by:
@@ -50,6 +51,7 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    ship(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 

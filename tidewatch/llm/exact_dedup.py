@@ -18,7 +18,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import LOWER, UPPER, scratch
+from .common import LOWER, UPPER, ascii_lower, scratch
 
 _FOLD = bytes.maketrans(UPPER.encode(), LOWER.encode())
 #: A bucket of more entries splits; the directory stops doubling at 2 ** MAX_DEPTH slots (65,536 numbers).
@@ -149,3 +149,17 @@ def exact_groups(docs: DataFrame) -> DataFrame:
     )
     members = index.where("sha is not null").select("entry", "doc_id", "best", "sha")
     return members.join(found, "entry").select("doc_id", "keep_id", "group_size", (F.col("best") & F.col("stays")).alias("kept"), F.col("sha").alias("text_sha256"))
+
+
+def distinct_documents(docs: DataFrame) -> DataFrame:
+    """The documents that stay, with all their columns: one row of each group of equal texts."""
+    groups = scratch(exact_groups(docs), "groups")
+    stays = groups.where("kept").select(F.col("doc_id").alias("stays_id"), F.col("text_sha256").alias("stays_sha"))
+    sha = F.sha2(ascii_lower(F.coalesce(docs["text"], F.lit(""))).cast("binary"), 256)
+    out = docs.join(stays, docs["doc_id"].cast("long").eqNullSafe(stays["stays_id"]) & (sha == stays["stays_sha"]), "left_semi")
+    # Rows that repeat doc_id and text alike both match; only then is one of them picked.
+    if groups.groupBy("doc_id", "text_sha256").count().where("count > 1").isEmpty():
+        return out
+    names = out.columns
+    twins = out.withColumns({"_sha": F.sha2(ascii_lower(F.coalesce(F.col("text"), F.lit(""))).cast("binary"), 256), "_id": F.col("doc_id").cast("long")})
+    return twins.dropDuplicates(["_id", "_sha"]).select(*[F.col(f"`{n}`") for n in names])

@@ -6,11 +6,11 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import chat, quality, repeats, toxicity
-from .common import documents, table  # noqa: F401
-from .decontam import overlaps
-from .exact_dedup import exact_groups
-from .near_dedup import near_groups
+from . import chat, quality, repeats, tokenbin, toxicity
+from .common import documents, table
+from .decontam import clean, overlaps
+from .exact_dedup import distinct_documents, exact_groups
+from .near_dedup import near_groups, one_of_each
 from .licenses import ORACLE as LICENSE_SQL
 from .licenses import scan
 from .packing import pack
@@ -38,6 +38,10 @@ def op4_kneser_ney(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.judge(documents(spark, sf_dir), table(spark, sf_dir, "labels"))
 
 
+def op5_mixing_coder(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return tokenbin.round_trip(documents(spark, sf_dir), tokenizer())
+
+
 def op6_merged_transforms(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repeats.remove_repeats(documents(spark, sf_dir)).drop("kept")
 
@@ -64,6 +68,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_best_two_fit": op2_best_two_fit,
     "op3_spaced_seeds": op3_spaced_seeds,
     "op4_kneser_ney": op4_kneser_ney,
+    "op5_mixing_coder": op5_mixing_coder,
     "op6_merged_transforms": op6_merged_transforms,
     "op7_chosen_path": op7_chosen_path,
     "op8_toxicity_trees": op8_toxicity_trees,
@@ -79,4 +84,33 @@ ORACLES: dict[str, str] = {
         SELECT doc_id, max(doc_id) OVER w AS keep_id, count(*) OVER w AS group_size, doc_id = max(doc_id) OVER w AS kept, sha256(body) AS text_sha256
         FROM d WINDOW w AS (PARTITION BY body)""",
 }
-STAGES = []
+
+
+def judged(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return quality.good_documents(docs, table(spark, sf_dir, "labels"))
+
+
+def distinct(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return distinct_documents(docs)
+
+
+def unlike(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return one_of_each(docs)
+
+
+def unleaked(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return clean(docs, table(spark, sf_dir, "benchmark"))
+
+
+def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    return pack(docs, tokenizer())
+
+
+#: The stages of the corpus pipeline: each works on all that the one before kept; the last packs.
+STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [
+    ("quality", judged),
+    ("exact_dedup", distinct),
+    ("near_dedup", unlike),
+    ("decontamination", unleaked),
+    ("packing", packed),
+]

@@ -18,8 +18,8 @@ import pyarrow as pa
 END_ID = 2
 #: Distinct pre-tokens whose ids a worker remembers; at more it starts afresh.
 REMEMBERED = 600_000
-#: Bytes of text that are cut at a time; a longer text is a piece by itself.
-SLICE_BYTES = 3 << 20
+#: Bytes of text whose distinct pre-tokens are sought together, and that are cut at a time; a longer text stays whole.
+SLICE_BYTES, CUT_BYTES = 3 << 20, 1 << 17
 
 _LETTER, _DIGIT, _SPACE, _OTHER, _UNKNOWN = 1, 2, 3, 0, 9
 #: Suffixes that an apostrophe takes along, in the order of the pattern.
@@ -81,9 +81,11 @@ class Encoder:
         b0 = raw[lead].astype(np.int32)
         point = b0
         if len(lead) != len(raw):
+            wide = np.flatnonzero(b0 >= 0x80)
+            at, head = lead[wide], b0[wide]
             padded = np.concatenate([raw, np.zeros(3, np.uint8)])
-            low = lambda k: (padded[lead + k] & 0x3F).astype(np.int32)
-            point = np.where(b0 < 0x80, b0, np.where(b0 < 0xE0, (b0 & 0x1F) << 6 | low(1), np.where(b0 < 0xF0, (b0 & 0x0F) << 12 | low(1) << 6 | low(2), (b0 & 7) << 18 | low(1) << 12 | low(2) << 6 | low(3))))
+            low = lambda k: (padded[at + k] & 0x3F).astype(np.int32)
+            point[wide] = np.where(head < 0xE0, (head & 0x1F) << 6 | low(1), np.where(head < 0xF0, (head & 0x0F) << 12 | low(1) << 6 | low(2), (head & 7) << 18 | low(1) << 12 | low(2) << 6 | low(3)))
         cls = self.classes[point]
         if (cls == _UNKNOWN).any():
             for p in np.unique(point[cls == _UNKNOWN]).tolist():
@@ -119,6 +121,14 @@ class Encoder:
                     break
         return lead[start]
 
+    def _pieces(self, raw: np.ndarray, bounds: np.ndarray) -> Iterator[np.ndarray]:
+        """Cuts of whole texts, so many bytes at a time that the arrays stay in the processor's cache."""
+        k = 0
+        while k < len(bounds) - 1:
+            upto = max(k + 1, int(np.searchsorted(bounds, bounds[k] + CUT_BYTES, "right")) - 1)
+            yield self._cuts(raw[bounds[k] : bounds[upto]], bounds[k:upto] - bounds[k]) + np.int32(bounds[k])
+            k = upto
+
     def batches(self, texts: pa.Array) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
         """(first row, ids of some texts end to end, offsets of each text in them), slice by slice; null counts as empty."""
         texts = texts.combine_chunks() if isinstance(texts, pa.ChunkedArray) else texts
@@ -138,10 +148,12 @@ class Encoder:
     def _encode(self, raw: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         if not len(raw):
             return np.empty(0, np.uint32), np.zeros(len(at), np.int64)
-        cuts = self._cuts(raw, np.unique(at[:-1][at[:-1] < at[1:]]))
+        cuts = np.concatenate(list(self._pieces(raw, np.unique(at))))
         edges = np.append(cuts, len(raw)).astype(np.int32)
         words = pa.Array.from_buffers(pa.binary(), len(cuts), [None, pa.py_buffer(edges), pa.py_buffer(np.ascontiguousarray(raw))]).dictionary_encode()
-        places = self._known(words.dictionary.to_pylist())[words.indices.to_numpy()]
+        found = words.dictionary
+        body, ends = found.buffers()[2].to_pybytes(), np.frombuffer(found.buffers()[1], np.int32)[: len(found) + 1].tolist()
+        places = self._known([body[a:b] for a, b in zip(ends[:-1], ends[1:], strict=True)])[words.indices.to_numpy()]
         taken = pa.ListArray.from_arrays(pa.array(self.ends), pa.array(self.pool)).take(pa.array(places))
         return taken.values.to_numpy(), taken.offsets.to_numpy().astype(np.int64)[np.searchsorted(cuts, at)]
 
