@@ -70,17 +70,25 @@ def personas(authors: DataFrame, handle_least: float = 0.90, name_least: float =
     return where.join(weakest, "component").select(F.col("id").alias("author_key"), F.substring(F.sha1(F.col("component").cast("string").cast("binary")), 1, 16).alias("persona_id"), "confidence")
 
 
-def gazetteer(docs: DataFrame, text: Column, names: DataFrame, longest: int = 4) -> DataFrame:
-    """Names of a catalogue in texts: doc columns, entity, kind, first_at, n. ``names``: name, entity, kind.
+def gazetteer(docs: DataFrame, key: str, text: Column, names: DataFrame, longest: int = 4) -> DataFrame:
+    """Names of a catalogue in texts: key, entity, kind, first_at, n. ``names``: name, entity, kind.
 
-    Word n-grams are joined to the folded names, so a catalogue of any size is one hash join.
+    Word n-grams are joined to the folded names, so a catalogue of any size is one hash join. Only
+    the key goes with the n-grams, not the text.
     """
-    words = F.regexp_extract_all(fold_accents(text), F.lit(r"[\p{L}\p{N}]+"), F.lit(0))
-    folded = names.select(F.array_join(F.regexp_extract_all(fold_accents(F.col("name")), F.lit(r"[\p{L}\p{N}]+"), F.lit(0)), " ").alias("gram"), "entity", "kind").where("gram != ''").distinct()
-    w = docs.withColumn("_w", words)
-    grams = F.flatten(F.array(*[F.when(F.size("_w") >= k, F.transform(F.sequence(F.lit(0), F.size("_w") - k), lambda i, k=k: F.struct(i.alias("at"), F.array_join(F.slice("_w", i + 1, k), " ").alias("gram")))).otherwise(F.array().cast("array<struct<at:int,gram:string>>")) for k in range(1, longest + 1)]))
-    hits = w.select(*docs.columns, F.explode(grams).alias("g")).select(*docs.columns, "g.*").join(folded, "gram")
-    return hits.groupBy(*docs.columns, "entity", "kind").agg(F.min("at").alias("first_at"), F.count("*").alias("n"))
+    split = lambda c: F.regexp_extract_all(fold_accents(c), F.lit(r"[\p{L}\p{N}]+"), F.lit(0))
+    folded = names.select(F.array_join(split(F.col("name")), " ").alias("gram"), "entity", "kind").where("gram != ''").distinct()
+    words = docs.select(key, F.posexplode(F.transform(split(text), lambda w: w)).alias("at", "word"))
+    # Starts of names first: only words that begin a name are followed further.
+    starts = folded.select(F.split_part("gram", F.lit(" "), F.lit(1)).alias("word"), "gram", "entity", "kind").withColumn("words", F.split("gram", " "))
+    begun = words.join(F.broadcast(starts) if names.count() <= 100_000 else starts, "word").where(F.size("words") <= longest)
+    single = begun.where(F.size("words") == 1).select(key, "at", "entity", "kind")
+    rest = begun.where(F.size("words") > 1).select(key, "at", "entity", "kind", "gram", F.size("words").alias("size"), F.posexplode("words").alias("k", "want")).where("k > 0")
+    follow = words.select(F.col(key).alias("_key"), (F.col("at")).alias("_at"), F.col("word").alias("_word"))
+    met = rest.join(follow, (F.col(key) == F.col("_key")) & (F.col("at") + F.col("k") == F.col("_at")) & (F.col("want") == F.col("_word")))
+    several = met.groupBy(key, "at", "entity", "kind", "gram", "size").agg(F.count("*").alias("found")).where("found = size - 1").select(key, "at", "entity", "kind")
+    hits = single.unionByName(several).distinct()
+    return hits.groupBy(key, "entity", "kind").agg(F.min("at").alias("first_at"), F.count("*").alias("n"))
 
 
 def resolve_people(mentions: DataFrame, people: DataFrame, in_scope: float = 0.70, ambiguous: float = 0.40) -> DataFrame:
