@@ -36,6 +36,11 @@ def _seeds(words: Column, masks: tuple[str, ...]) -> Column:
     return F.concat(*[of(len(mask), mask) for mask in masks])
 
 
+def _once(value: Column) -> Column:
+    """A value as a generated row, so that the optimizer does not move it into a loop over its elements."""
+    return F.explode(F.array(value))
+
+
 def overlaps(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """Pairs of a document and a benchmark item that overlap: doc_id, item_id, first_word, n_same, n_compared, share.
 
@@ -59,12 +64,12 @@ def overlaps(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     found = hits.join(F.broadcast(items) if small else items, "item_id")
     # Rows of hits are few beside the documents; a text is repeated only for its own diagonals.
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    both = texts.alias("t").join((F.broadcast(found) if few else found).alias("f"), F.col("t.doc_id").eqNullSafe(F.col("f.doc_id"))).select("t.doc_id", "item_id", "diagonal", "item", words_of(F.col("text")).alias("w"))
+    both = texts.alias("t").join((F.broadcast(found) if few else found).alias("f"), F.col("t.doc_id").eqNullSafe(F.col("f.doc_id"))).select("t.doc_id", "item_id", "diagonal", "item", _once(words_of(F.col("text"))).alias("w"))
     n, d = F.size("item"), F.col("diagonal")
     same = F.transform("item", lambda word, j: F.when((d + j >= 0) & (F.get("w", d + j) == word), 1).otherwise(0))
     window = F.least(F.lit(WINDOW), n)
     sums = F.transform(F.sequence(F.lit(0), n - window), lambda i: F.struct(F.aggregate(F.slice("same", i + 1, window), F.lit(0), lambda a, x: a + x).alias("n_same"), (-i).alias("at")))
-    best = both.withColumn("same", same).withColumn("best", F.array_max(sums)).withColumn("n_compared", window)
+    best = both.select("doc_id", "item_id", "diagonal", "item", _once(same).alias("same")).withColumn("best", F.array_max(sums)).withColumn("n_compared", window)
     best = best.where(F.col("best.n_same") >= F.ceil(SHARE * F.col("n_compared"))).select("doc_id", "item_id", F.struct("best.n_same", "n_compared", (-(F.greatest(d - F.col("best.at"), F.lit(0)))).alias("first")).alias("o"))
     return best.groupBy("doc_id", "item_id").agg(F.max("o").alias("o")).select("doc_id", "item_id", (-F.col("o.first")).cast("long").alias("first_word"), F.col("o.n_same").cast("long").alias("n_same"), F.col("o.n_compared").cast("long").alias("n_compared"), (F.col("o.n_same") / F.col("o.n_compared")).alias("share"))
 
