@@ -19,8 +19,8 @@ MASKS = ("111011", "1101011", "10110011")
 SHORT_MASK = "1111"
 #: Words compared around a hit (fewer if the item is shorter) and the share that must agree.
 WINDOW, SHARE = 16, 0.75
-#: Rows of (doc_id, item_id, diagonal) that may be broadcast; more are joined by a shuffle.
-BROADCAST_ROWS = 500_000
+#: Rows of (doc_id, item_id, diagonal, item) and of ids that may be broadcast, some 30 MB each; more are joined by a shuffle.
+BROADCAST_ROWS, BROADCAST_IDS = 50_000, 1_000_000
 #: Rows of benchmark seeds that may be broadcast.
 BROADCAST_SEEDS = 1_000_000
 
@@ -77,5 +77,5 @@ def overlaps(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
 def clean(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """The documents that overlap with no benchmark item, with all their columns."""
     leaked = scratch(overlaps(docs, benchmark).select(F.col("doc_id").alias("leaked_doc_id")).distinct(), "leaked")
-    few = leaked.count() <= BROADCAST_ROWS
+    few = leaked.count() <= BROADCAST_IDS
     return docs.join(F.broadcast(leaked) if few else leaked, docs["doc_id"].cast("long").eqNullSafe(leaked["leaked_doc_id"]), "left_anti")
