@@ -129,7 +129,7 @@ def model(counted: DataFrame) -> DataFrame:
     full = full.withColumn("b", F.floor(F.col("bc") / SYMBOLS))
     full = full.join(s3, "key", "left").join(w3, F.col("ab") == F.col("context3"), "left")
     full = full.join(s2.withColumnRenamed("key", "bc"), "bc", "left").join(w2, F.col("b") == F.col("context2"), "left")
-    full = full.join(s1.withColumnRenamed("key", "c"), "c", "left").crossJoin(F.broadcast(w1))
+    full = full.join(s1.withColumnRenamed("key", "c"), "c", "left").join(F.broadcast(w1), F.col("context1") == F.lit(0), "left")
     zero, all_ = F.lit(0.0), F.lit(1.0)
     p1 = F.coalesce("share1", zero) + F.coalesce("weight1", all_) / SYMBOLS
     p2 = F.coalesce("share2", zero) + F.coalesce("weight2", all_) * p1
@@ -148,7 +148,8 @@ def judge(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """
     trusted = labels.groupBy(F.col("doc_id").cast("long").alias("trusted_id")).agg(F.max("quality").alias("quality")).where("quality = 1").select("trusted_id")
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("lang").cast("string").alias("lang"), "text")
-    counted = scratch(counts(texts.join(trusted, F.col("doc_id") == F.col("trusted_id"), "left_semi").where("text != ''")), "counts")
+    # The same join at every size: ids by shuffle, whether or not they would fit a broadcast today.
+    counted = scratch(counts(texts.join(trusted.hint("merge"), F.col("doc_id") == F.col("trusted_id"), "left_semi").where("text != ''")), "counts")
     table = scratch(model(counted), "model")
     scored = (
         trigrams(texts)
