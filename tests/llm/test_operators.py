@@ -1,0 +1,474 @@
+"""Each operator against brute force on rows with nulls, ties, repeats, clashing columns, and on no rows."""
+
+import collections
+import hashlib
+import json
+import math
+import random
+import re
+import zlib
+
+import numpy as np
+import pyarrow as pa
+import pytest
+from hypothesis import given, settings
+from hypothesis import strategies as st
+from pyspark.sql import functions as F
+
+from tidewatch.llm import chat, quality, tokenbin, toxicity
+from tidewatch.llm import common as shared
+from tidewatch.llm.decontam import WINDOW, clean, overlaps
+from tidewatch.llm.exact_dedup import directory, distinct_documents, exact_groups
+from tidewatch.llm.licenses import scan
+from tidewatch.llm.near_dedup import near_groups, one_of_each
+from tidewatch.llm.packing import pack, plan
+from tidewatch.llm.queries import tokenizer
+from tidewatch.llm.repeats import remove_repeats
+from tidewatch.llm.tokens import Encoder
+
+LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+WORD = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
+EXTRA = "doc_id long, text string, lang string, source string, n_chars long, kept boolean, rep long, entry long, n long, node long, sketch string, key int, hash string"
+
+
+def docs_of(spark, rows):
+    """Documents with columns that are named like the operators' own."""
+    return spark.createDataFrame([(d, t, "en", "s", len(t or ""), True, 1, 1, 1, 1, "x", 1, "h") for d, t in rows], EXTRA)
+
+
+@pytest.fixture(scope="module")
+def enc():
+    return Encoder(tokenizer())
+
+
+@pytest.fixture(scope="module")
+def odd_rows():
+    """Null, empty, very long, repeated rows, case twins, accents, and a null doc_id."""
+    long = " ".join(f"w{i % 997}" for i in range(20_000))
+    return [(1, None), (2, ""), (3, "Hello World, this is one"), (4, "hello world, this is one"), (5, "hello world, this is one"), (5, "hello world, this is one"), (6, long), (7, long + " end"), (8, "É é 日本 😀 <|endoftext|>"), (9, "é é 日本 😀 <|endoftext|>"), (None, "a b"), (10, "   \n\t ")]
+
+
+def ids_of(enc, text):
+    return [*enc.tokenizer.encode(text or "", add_special_tokens=False).ids, 2]
+
+
+@settings(max_examples=150, deadline=None)
+@given(st.lists(st.text(alphabet=st.sampled_from(list("ast' \n\t1!é　 日😀\x00'")) | st.characters(codec="utf-8"), max_size=30), max_size=6))
+def test_ids_are_the_librarys(texts):
+    e = ids_are.setdefault("e", Encoder(tokenizer()))
+    got = [ids[a:b].tolist() for _, ids, o in e.batches(pa.array(texts, pa.string())) for a, b in zip(o[:-1], o[1:], strict=True)]
+    assert got == [x.ids for x in e.tokenizer.encode_batch(texts, add_special_tokens=False)]
+
+
+ids_are = {}
+
+
+def test_contractions_and_spaces(enc):
+    texts = ["I'm don't we'll 'tis ''s ' s", "a  b   c ", "x'", "'", "  ", "it's\n\n  it'd", "the'rest 'd"]
+    got = [ids[a:b].tolist() for _, ids, o in enc.batches(pa.array(texts)) for a, b in zip(o[:-1], o[1:], strict=True)]
+    assert got == [x.ids for x in enc.tokenizer.encode_batch(texts, add_special_tokens=False)]
+
+
+# 1 --------------------------------------------------------------------------------------------
+
+
+def test_snapshots_collapse(spark):
+    rows = []
+    talk = [("user", "a"), ("assistant", "b"), ("user", "c")]
+    for conv, turns in {1: talk[:1], 2: talk[:2], 3: talk, 4: talk, 5: [("user", "x")], 6: [("user", None)], 7: [("user", "a"), ("assistant", "z")], None: [("user", "n")]}.items():
+        rows += [(conv, k, r, t, "clash") for k, (r, t) in enumerate(turns)]
+    rows.append((5, 0, "user", "x", "again"))
+    got = {r.conv_id: (r.n_turns, r.n_copies, r.rendered) for r in chat.maximal(spark.createDataFrame(rows, "conv_id long, turn long, role string, text string, hash string")).collect()}
+    assert set(got) == {3, 5, 6, 7, None}
+    assert got[3][:2] == (3, 2) and got[5] == (1, 1, "<|user|>\nx<|end|>\n") and got[6][2] == "<|user|>\n<|end|>\n"
+
+
+def test_snapshots_of_nothing(spark):
+    assert chat.maximal(spark.createDataFrame([], "conv_id long, turn long, role string, text string")).count() == 0
+
+
+# 2 --------------------------------------------------------------------------------------------
+
+
+def test_packing(spark, enc, odd_rows):
+    got = pack(docs_of(spark, odd_rows), tokenizer()).collect()
+    want = collections.Counter((d, tuple(ids_of(enc, t))) for d, t in odd_rows)
+    seqs, pieces = collections.defaultdict(list), collections.defaultdict(list)
+    for r in got:
+        seqs[r.sequence_id].append((r.offset, r.length))
+        pieces[r.doc_id].append(r)
+    for spans in seqs.values():
+        end = 0
+        for offset, length in sorted(spans):
+            assert offset == end
+            end += length
+        assert end <= 1024
+    for doc, rows in pieces.items():
+        for ids, n in [(i, c) for (d, i), c in want.items() if d == doc]:
+            cuts = {(r.piece, r.start, r.length, r.ids_crc32) for r in rows}
+            first = len(ids) % 1024 or min(1024, len(ids))
+            at, k = 0, 0
+            while at < len(ids):
+                size = first if k == 0 else 1024
+                assert (k, at, size, zlib.crc32(np.array(ids[at : at + size], "<u4").tobytes())) in cuts
+                at, k = at + size, k + 1
+            assert sum(r.piece == 0 for r in rows) >= n
+    least = math.ceil(sum(r.length for r in got) / 1024)
+    assert len(seqs) <= least + 1
+
+
+def test_packing_nothing(spark):
+    assert pack(docs_of(spark, []), tokenizer()).count() == 0
+
+
+@settings(max_examples=60, deadline=None)
+@given(st.dictionaries(st.integers(1, 64), st.integers(1, 9), max_size=12))
+def test_plans_use_every_piece_once(counts):
+    left = collections.Counter(counts)
+    for pattern, times in plan(counts, 64):
+        assert sum(s * k for s, k in pattern) <= 64 and times > 0
+        for s, k in pattern:
+            left[s] -= k * times
+    assert not any(left.values())
+
+
+def test_two_pieces_replace_the_smallest():
+    # Greedy filling takes 6 then 3; 2 + 2 fit the gap of 4 that the 3 would leave.
+    bins = plan({6: 1, 3: 1, 2: 2}, 10)
+    assert ([(6, 1), (2, 2)], 1) in bins
+
+
+# 3 --------------------------------------------------------------------------------------------
+
+
+def brute_overlaps(docs, items):
+    out = {}
+    fold = lambda t: WORD.findall((t or "").translate(LOWER))
+    for item, text in items:
+        it = fold(text)
+        if len(it) < 4:
+            continue
+        w = min(WINDOW, len(it))
+        for doc, body in docs:
+            dw = fold(body)
+            for diag in range(-len(it), len(dw)):
+                same = [0 <= diag + j < len(dw) and dw[diag + j] == it[j] for j in range(len(it))]
+                for a in range(len(it) - w + 1):
+                    n = sum(same[a : a + w])
+                    if n >= math.ceil(0.75 * w):
+                        key = (-n, max(0, diag + a))
+                        out[doc, item] = min(out.get((doc, item), key), key)
+    return {k: (-n, at) for k, (n, at) in out.items()}
+
+
+def test_overlaps(spark):
+    rng = random.Random(4)
+    words = [f"v{i}" for i in range(200)]
+    items = [(k, " ".join(rng.choices(words, k=n))) for k, n in enumerate([30, 20, 16, 12, 7, 5, 3])] + [(90, None), (91, ""), (2, None)]
+    docs = [(1, None), (2, ""), (3, " ".join(rng.choices(words, k=80)))]
+    for k in range(40):
+        it = rng.choice(items[:6])[1].split()
+        for j in range(0, len(it), rng.choice([5, 6, 7, 100])):
+            it[j] = rng.choice(words)
+        cut = rng.randint(0, 3)
+        docs.append((10 + k, " ".join([*rng.choices(words, k=rng.randint(0, 9)), *it[cut:], *rng.choices(words, k=5)]).upper()))
+    found = {(r.doc_id, r.item_id): (r.n_same, r.first_word) for r in overlaps(docs_of(spark, docs), spark.createDataFrame([(i, t, 1) for i, t in items], "item_id long, text string, diagonal int")).collect()}
+    want = brute_overlaps(docs, items)
+    assert len(want) > 25 and set(found) <= set(want)
+    assert len(found) >= 0.95 * len(want)
+    assert all(found[k] == want[k] for k in found)
+
+
+def test_clean_documents_stay(spark):
+    docs = [(1, "one two three four five six seven eight nine ten eleven twelve"), (2, "nothing of it is here at all today my friend"), (None, "x"), (3, None)]
+    bench = spark.createDataFrame([(7, "two three four five six seven eight nine ten eleven")], "item_id long, text string")
+    out = clean(docs_of(spark, docs), bench)
+    assert sorted((r.doc_id or 0) for r in out.collect()) == [0, 2, 3] and out.columns[:2] == ["doc_id", "text"]
+    assert overlaps(docs_of(spark, []), bench).count() == 0
+    assert overlaps(docs_of(spark, docs), spark.createDataFrame([], "item_id long, text string")).count() == 0
+
+
+# 4 --------------------------------------------------------------------------------------------
+
+
+def kneser_ney(counts):
+    """The model again, cell by cell."""
+    s = quality.SYMBOLS
+    three = {k: n for k, n in counts.items()}
+    two, one = collections.Counter(k % s**2 for k in three), collections.Counter()
+    for k in two:
+        one[k % s] += 1
+
+    def level(c, context):
+        of = collections.Counter(c.values())
+        y = of[1] / (of[1] + 2 * of[2]) if of[1] + 2 * of[2] else 0.0
+        d = {k: max(0.0, k - (k + 1) * y * of[k + 1] / of[k]) if of[k] and y else 0.5 for k in (1, 2, 3)}
+        total, given_ = collections.Counter(), collections.Counter()
+        for k, n in c.items():
+            total[context(k)] += n
+            given_[context(k)] += d[min(n, 3)]
+        return {k: (n - d[min(n, 3)]) / total[context(k)] for k, n in c.items()}, {c: given_[c] / total[c] for c in total}
+
+    s3, w3 = level(three, lambda k: k // s)
+    s2, w2 = level(two, lambda k: k // s)
+    s1, w1 = level(one, lambda k: 0)
+
+    def logp(k):
+        ab, bc, c = k // s, k % s**2, k % s
+        p1 = s1.get(c, 0.0) + w1.get(0, 1.0) / s
+        p2 = s2.get(bc, 0.0) + w2.get(bc // s, 1.0) * p1
+        return math.log(max(s3.get(k, 0.0) + w3.get(ab, 1.0) * p2, 1e-9))
+
+    return logp
+
+
+def keys_of(text):
+    codes = [quality.EDGE] * 2 + [int(quality.symbols()[ord(c)]) if ord(c) < 65536 else quality.OTHER for c in text] + [quality.EDGE]
+    return [(codes[i - 2] * 64 + codes[i - 1]) * 64 + codes[i] for i in range(2, len(codes))]
+
+
+def test_quality(spark):
+    rng = random.Random(2)
+    good = [(k, " ".join(rng.choices(["the", "house", "stands", "on", "a", "hill", "été"], k=20))) for k in range(80)]
+    bad = [(100 + k, "".join(rng.choices("XQ!%$#09", k=60))) for k in range(10)]
+    rows = [*good, *bad, (200, None), (201, ""), (None, "the house"), (5, good[5][1])]
+    labels = spark.createDataFrame([(d, 1, 0, "x") for d, _ in good] + [(100, 0, 0, "x"), (3, 0, 0, "x"), (None, 1, 0, "x")], "doc_id long, quality int, toxic int, key string")
+    got = collections.defaultdict(list)
+    for r in quality.judge(docs_of(spark, rows), labels).collect():
+        got[r.doc_id].append(r)
+    counts = collections.Counter(k for _, t in [*good, good[5]] for k in keys_of(t))
+    logp = kneser_ney(counts)
+    for d, t in [*good, *bad]:
+        ks = keys_of(t)
+        assert got[d][0].perplexity == pytest.approx(math.exp(-sum(map(logp, ks)) / len(ks)), abs=2e-6)
+    assert not any(got[d][0].kept for d, _ in bad) and not got[200][0].kept and not got[201][0].kept
+    assert sum(got[d][0].kept for d, _ in good) >= 78 and len(got[5]) == 2 and len(got[None]) == 1
+    kept = quality.good_documents(docs_of(spark, rows), labels)
+    assert kept.columns == docs_of(spark, rows).columns and 100 not in {r.doc_id for r in kept.collect()}
+    assert quality.judge(docs_of(spark, []), labels).count() == 0
+    none = labels.where("false")
+    assert quality.judge(docs_of(spark, rows), none).where("kept").count() == len(rows) - 2
+
+
+# 5 --------------------------------------------------------------------------------------------
+
+
+@settings(max_examples=40, deadline=None)
+@given(st.lists(st.integers(0, 50_256), max_size=300), st.integers(0, 5))
+def test_coder_round_trip(ids, repeat):
+    x = np.array(ids * repeat + ids, np.uint32)
+    assert tokenbin.decode(tokenbin.encode(x)).tolist() == x.tolist()
+
+
+@pytest.mark.parametrize("n", [0, 1, tokenbin.BLOCK - 1, tokenbin.BLOCK, tokenbin.BLOCK + 1, 5 * tokenbin.BLOCK + 7])
+def test_coder_blocks(n):
+    rng = np.random.default_rng(n)
+    for x in (rng.integers(0, 50_257, n), np.full(n, 7), np.arange(n) % 3, np.minimum(rng.geometric(0.05, n), 50_000)):
+        x = x.astype(np.uint32)
+        assert (tokenbin.decode(tokenbin.encode(x)) == x).all()
+
+
+def test_damage_is_seen():
+    data = bytearray(tokenbin.encode(np.arange(5000, dtype=np.uint32) % 100))
+    data[len(data) // 2] ^= 1
+    with pytest.raises(ValueError):
+        tokenbin.decode(bytes(data))
+
+
+def test_token_files(spark, enc, odd_rows):
+    rows = [(d, t) for d, t in odd_rows if d is not None]
+    got = sorted((r.start, r.doc_id, r.n_tokens, r.ids_crc32) for r in tokenbin.round_trip(docs_of(spark, rows), tokenizer()).collect())
+    start = 0
+    for (d, t), r in zip(sorted(rows, key=lambda x: (x[0], x[1] or "")), got, strict=True):
+        ids = ids_of(enc, t)
+        assert r == (start, d, len(ids), zlib.crc32(np.array(ids, "<u4").tobytes()))
+        start += len(ids)
+    assert tokenbin.round_trip(docs_of(spark, []), tokenizer()).count() == 0
+
+
+# 6 --------------------------------------------------------------------------------------------
+
+
+def brute_repeats(rows, length=200):
+    seen = collections.Counter(b[i : i + length] for _, t in rows for b in [(t or "").encode()] for i in range(len(b) - length + 1))
+    for d, t in rows:
+        b = (t or "").encode()
+        gone = np.zeros(len(b), bool)
+        for i in range(len(b) - length + 1):
+            if seen[b[i : i + length]] > 1:
+                gone[i : i + length] = True
+        kept = np.frombuffer(b, np.uint8)[~gone].tobytes()
+        yield d, len(b), int(gone.sum()), int((np.diff(gone.astype(np.int8), prepend=0) == 1).sum()), hashlib.sha256(kept).hexdigest()
+
+
+def test_repeats(spark):
+    rng = random.Random(3)
+    base = ["".join(rng.choices("abc dé", k=700)) for _ in range(3)]
+    rows = [(100, None), (101, ""), (102, "a" * 500), (103, "ab" * 180), (104, base[0][:200]), (105, base[0][:199])]
+    for i in range(60):
+        t = rng.choice(base)[rng.randint(0, 300) :][: rng.randint(0, 500)]
+        if t and rng.random() < 0.5:
+            k = rng.randrange(len(t))
+            t = t[:k] + rng.choice("XYZ") + t[k + rng.randint(0, 1) :]
+        if rng.random() < 0.3:
+            t += rng.choice(base)[: rng.randint(150, 320)]
+        rows.append((i, t))
+    got = sorted(tuple(r)[:5] for r in remove_repeats(docs_of(spark, rows)).collect())
+    assert got == sorted(brute_repeats(rows))
+    assert remove_repeats(docs_of(spark, [])).count() == 0
+
+
+# 7 --------------------------------------------------------------------------------------------
+
+
+def shingles(text):
+    w = re.findall(r"[^\x20\x09-\x0D]+", (text or "").translate(LOWER))
+    return {tuple(w[i : i + 5]) for i in range(len(w) - 4)} if len(w) >= 5 else {tuple(w)} if w else set()
+
+
+def brute_components(rows):
+    sets = {}
+    for d, t in rows:
+        sets[d] = shingles(t)
+    parent = {d: d for d in sets}
+
+    def find(x):
+        while parent[x] != x:
+            x = parent[x]
+        return x
+
+    ids = sorted(sets)
+    for i, a in enumerate(ids):
+        for b in ids[i + 1 :]:
+            both = len(sets[a] & sets[b])
+            if both and 100 * both >= 75 * (len(sets[a]) + len(sets[b]) - both):
+                x, y = find(a), find(b)
+                parent[max(x, y)] = min(x, y)
+    return {d: (len(sets[d]), find(d), find(d) == d) for d in ids}
+
+
+def test_near_duplicates(spark):
+    rng = random.Random(5)
+    words = [f"w{i}" for i in range(300)]
+    rows = [(i, t) for i, t in enumerate([None, "", " \n", "a b", "A B", "a b c d e", "hello"])]
+    base = [[rng.choice(words) for _ in range(rng.randint(30, 150))] for _ in range(5)]
+    for i in range(10, 420):
+        b = list(rng.choice(base[:1] if i % 2 else base))  # one group is far larger than a small node
+        for _ in range(rng.randint(0, 6)):
+            b[rng.randrange(len(b))] = rng.choice(words)
+        rows.append((i, " ".join(b).title() if i % 5 == 0 else "\n".join(b)))
+    got = {r.doc_id: (r.n_shingles, r.component_id, r.kept) for r in near_groups(docs_of(spark, rows)).collect()}
+    assert got == brute_components(rows)
+
+
+def test_near_duplicate_edges(spark):
+    rows = [(None, "a b c d e f"), (4, "a b c d e f"), (2, "a b c d e f"), (2, "a b c d e f")]
+    got = sorted((r.doc_id or -1, r.component_id, r.kept) for r in near_groups(docs_of(spark, rows)).collect())
+    assert got == [(-1, None, True), (2, 2, True), (2, 2, True), (4, 2, False)]
+    assert sorted((r.doc_id or -1) for r in one_of_each(docs_of(spark, rows)).collect()) == [-1, 2, 2]
+    assert near_groups(docs_of(spark, [])).count() == 0
+
+
+def test_components(spark):
+    rng = random.Random(1)
+    edges = [(i, i + 1) for i in range(60)] + [(100, 100 + k) for k in range(1, 40)] + [(rng.randrange(200, 260), rng.randrange(200, 260)) for _ in range(40)]
+    parent = {}
+
+    def find(x):
+        while parent.setdefault(x, x) != x:
+            x = parent[x]
+        return x
+
+    for a, b in edges:
+        x, y = find(a), find(b)
+        parent[max(x, y)] = min(x, y)
+    got = {r.id: r.component for r in shared.components(spark.createDataFrame(edges, "a long, b long")).collect()}
+    want = {v: find(v) for a, b in edges if a != b for v in (a, b)}
+    assert got == want
+
+
+# 8 --------------------------------------------------------------------------------------------
+
+
+def test_toxicity(spark):
+    rng = random.Random(6)
+    plain = ["the", "river", "runs", "down", "to", "sea", "and", "you", "see", "it"]
+    rude = ["zorgblat", "frimpish", "zorgbling"]
+    rows, labels = [], []
+    for d in range(400):
+        w = rng.choices(plain, k=rng.randint(5, 60))
+        bad = d % 5 == 0
+        if bad:
+            for _ in range(3):
+                w.insert(rng.randrange(len(w)), rng.choice(rude))
+        rows.append((d, " ".join(w)))
+        labels.append((d, 1, int(bad), 0.5))
+    rows += [(1000, None), (1001, ""), (None, "you")]
+    table = spark.createDataFrame(labels, "doc_id long, quality int, toxic int, score double")
+    docs = docs_of(spark, rows)
+    got = {r.doc_id: r for r in toxicity.score(docs, toxicity.fit(docs, table)).collect()}
+    held = {d: zlib.crc32(str(d).encode()) % 5 == 0 for d in range(400)}
+    assert all(got[d].held_out == held[d] for d in held) and got[None].held_out
+    test = [d for d in held if held[d]]
+    assert sum(got[d].predicted == int(d % 5 == 0) for d in test) >= 0.97 * len(test)
+    assert all(0 <= r.score <= 1 and r.predicted == int(r.score >= 0.5) for r in got.values())
+    assert len({got[1000].score, got[1001].score}) == 1
+    assert toxicity.score(docs_of(spark, []), toxicity.fit(docs, table)).count() == 0
+    none = toxicity.score(docs, toxicity.fit(docs, table.where("false"))).collect()
+    assert {r.score for r in none} == {0.5}
+
+
+def test_labels_are_no_input(spark):
+    rows = [(d, "same words every time") for d in range(30)]
+    docs = docs_of(spark, rows)
+    table = spark.createDataFrame([(d, 1, d % 2) for d in range(30)], "doc_id long, quality int, toxic int")
+    assert len({r.score for r in toxicity.score(docs, toxicity.fit(docs, table)).collect()}) == 1
+
+
+# 9 --------------------------------------------------------------------------------------------
+
+
+def test_licenses(spark):
+    rows = [
+        (1, None), (2, ""), (3, "MIT"), (4, "The MIT  License, the mit-license"), (5, "See the GNU General Public License. Apache License"),
+        (6, "x Licensed under CC BY-NC 4.0. y"), (7, "Licensed under CC extra BY-NC 4.0"), (8, "This work is licensed under the GNU General Public License, version 3."), (8, "plain"), (None, "Apache License"), (9, "license"),
+    ]
+    got = collections.defaultdict(list)
+    for r in scan(docs_of(spark, rows)).collect():
+        got[r.doc_id].append(r)
+    one = lambda d: got[d][0]
+    assert (one(1).n_words, one(1).n_base, one(1).first_word, one(1).labels, one(1).score) == (0, 0, None, "", 0.0)
+    assert (one(4).n_base, one(4).first_word, one(4).last_word, one(4).base_labels) == (2, 1, 4, "mit")
+    assert one(5).base_labels == "apache,gpl" and one(5).first_word == 3 and one(5).last_word == 6
+    assert one(6).labels == "cc-by-nc" and one(6).score == 1.0 and one(6).n_base == 0
+    assert {r.labels for r in got[8]} == {"gpl", ""} and one(None).labels == "apache" and one(9).n_base == 0
+    assert scan(docs_of(spark, [])).count() == 0
+
+
+# 10 -------------------------------------------------------------------------------------------
+
+
+def test_exact_groups(spark, odd_rows):
+    got = sorted((r.doc_id is None, r.doc_id or 0, r.keep_id, r.group_size, r.kept, r.text_sha256) for r in exact_groups(docs_of(spark, odd_rows)).collect())
+    groups = collections.defaultdict(list)
+    for d, t in odd_rows:
+        groups[(t or "").translate(LOWER)].append(d)
+    assert len(got) == len(odd_rows)
+    for _, d, keep, n, _, sha in got:
+        body = next(b for b in groups if hashlib.sha256(b.encode()).hexdigest() == sha)
+        assert n == len(groups[body]) and keep == max((x for x in groups[body] if x is not None), default=None) and (d in groups[body] or d == 0)
+    assert sum(r[4] for r in got) == len(groups)
+    assert exact_groups(docs_of(spark, [])).count() == 0
+
+
+def test_distinct_documents(spark, odd_rows):
+    out = distinct_documents(docs_of(spark, odd_rows))
+    assert out.columns == docs_of(spark, odd_rows).columns
+    assert out.count() == len({(t or "").translate(LOWER) for _, t in odd_rows})
+
+
+def test_directory_doubles_where_it_must():
+    counts = {0: 10_000, 1: 5, 40_000: 3}
+    bucket = directory(counts, capacity=100)
+    assert bucket[0] != bucket[1] and bucket[40_000] == bucket[50_000] and len(set(bucket.tolist())) > 10
+    assert len(set(directory({}, capacity=100).tolist())) == 1

@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import scratch
-from .licenses import words_of
+from .licenses import WORD, words_of
 
 #: Positions that a seed reads. The last is for items too short for the others.
 MASKS = ("111011", "1101011", "10110011")
@@ -79,3 +79,29 @@ def clean(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     leaked = scratch(overlaps(docs, benchmark).select(F.col("doc_id").alias("leaked_doc_id")).distinct(), "leaked")
     few = leaked.count() <= BROADCAST_IDS
     return docs.join(F.broadcast(leaked) if few else leaked, docs["doc_id"].cast("long").eqNullSafe(leaked["leaked_doc_id"]), "left_anti")
+
+
+def _oracle() -> str:
+    """The same search in DuckDB's SQL, by the seeds' words instead of their hashes."""
+    words = f"regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '{WORD}')"
+    short = max(map(len, MASKS))
+
+    def seeds(source: str, key: str) -> str:
+        parts = []
+        for mask in (*MASKS, SHORT_MASK):
+            seed = " || ' ' || ".join(f"w[p + {j + 1}]" for j, c in enumerate(mask) if c == "1")
+            only = f" AND len(w) < {short}" if mask == SHORT_MASK and key == "item_id" else ""
+            parts.append(f"SELECT {key}, p, '{mask}' || {seed} AS seed FROM (SELECT {key}, w, unnest(range(0, len(w) - {len(mask) - 1})) AS p FROM {source}){' WHERE ' + only[5:] if only else ''}")
+        return " UNION ALL ".join(parts)
+
+    return f"""
+    WITH i AS (SELECT DISTINCT item_id, w FROM (SELECT item_id, {words} AS w FROM benchmark) WHERE len(w) >= {len(SHORT_MASK)}), d AS (SELECT doc_id, {words} AS w FROM documents),
+    s AS ({seeds("i", "item_id")}), t AS ({seeds("d", "doc_id")}),
+    h AS (SELECT DISTINCT doc_id, item_id, t.p - s.p AS diagonal FROM t JOIN s USING (seed)),
+    m AS (SELECT h.doc_id, h.item_id, diagonal, least({WINDOW}, len(i.w)) AS n, list_transform(range(0, len(i.w)), lambda j: CASE WHEN diagonal + j >= 0 AND d.w[diagonal + j + 1] = i.w[j + 1] THEN 1 ELSE 0 END) AS same FROM h JOIN i USING (item_id) JOIN d USING (doc_id)),
+    a AS (SELECT *, unnest(range(0, len(same) - n + 1)) AS off FROM m), c AS (SELECT *, list_sum(same[off + 1 : off + n]) AS n_same FROM a),
+    b AS (SELECT *, greatest(diagonal + off, 0) AS first_word, row_number() OVER (PARTITION BY doc_id, item_id ORDER BY n_same DESC, n DESC, greatest(diagonal + off, 0)) AS rn FROM c WHERE n_same >= ceil({SHARE} * n))
+    SELECT doc_id, item_id, first_word::BIGINT AS first_word, n_same::BIGINT AS n_same, n::BIGINT AS n_compared, n_same / n::DOUBLE AS share FROM b WHERE rn = 1"""
+
+
+ORACLE = _oracle()

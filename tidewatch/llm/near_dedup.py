@@ -196,7 +196,7 @@ def _confirm(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for x, y in zip(batch.column("x").to_pylist(), batch.column("y").to_pylist(), strict=True):
             x, y = np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)
             both = len(np.intersect1d(x, y, assume_unique=True))
-            linked.append(100 * both >= PERCENT * (len(x) + len(y) - both))
+            linked.append(100 * shared >= PERCENT * (len(x) + len(y) - both))
         yield batch.select(["a", "b"]).filter(pa.array(linked, pa.bool_()))
 
 
@@ -281,3 +281,17 @@ def one_of_each(docs: DataFrame) -> DataFrame:
     """The documents that stay: the smallest doc_id of each component, with all columns."""
     gone = near_groups(docs).where(~F.col("kept")).select(F.col("doc_id").alias("gone_doc_id")).distinct()
     return docs.join(gone, docs["doc_id"].cast("long") == gone["gone_doc_id"], "left_anti")
+
+
+#: The same components in DuckDB's SQL: all pairs that share a shingle, counted, and reached step by step.
+ORACLE = rf"""
+    WITH RECURSIVE d AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w FROM documents),
+    p AS (SELECT doc_id, w, unnest(range(0, greatest(len(w) - {WORDS - 1}, least(len(w), 1)))) AS k FROM d),
+    s AS (SELECT DISTINCT doc_id, md5(array_to_string(w[k + 1 : k + {WORDS}], ' ')) AS sh FROM p),
+    n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY 1),
+    c AS (SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS shared FROM s x JOIN s y USING (sh) WHERE x.doc_id < y.doc_id GROUP BY 1, 2),
+    l AS (SELECT a, b FROM c JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b WHERE 100 * shared >= {PERCENT} * (x.n + y.n - shared)),
+    u AS (SELECT a, b FROM l UNION ALL SELECT b, a FROM l),
+    r(id, low) AS (SELECT doc_id, doc_id FROM d UNION SELECT r.id, u.b FROM r JOIN u ON u.a = r.low),
+    m AS (SELECT id, min(low) AS component_id FROM r GROUP BY 1)
+    SELECT d.doc_id, coalesce(n.n, 0) AS n_shingles, component_id, d.doc_id = component_id AS kept FROM d LEFT JOIN n USING (doc_id) JOIN m ON m.id = d.doc_id"""

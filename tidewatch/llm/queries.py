@@ -8,11 +8,13 @@ from pyspark.sql import DataFrame, SparkSession
 
 from . import chat, quality, repeats, tokenbin, toxicity
 from .common import documents, table
+from .decontam import ORACLE as OVERLAP_SQL
 from .decontam import clean, overlaps
 from .exact_dedup import distinct_documents, exact_groups
-from .near_dedup import near_groups, one_of_each
 from .licenses import ORACLE as LICENSE_SQL
 from .licenses import scan
+from .near_dedup import ORACLE as NEAR_SQL
+from .near_dedup import near_groups, one_of_each
 from .packing import pack
 
 
@@ -78,6 +80,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 
 ORACLES: dict[str, str] = {
     "op1_snapshot_collapse": chat.ORACLE,
+    "op3_spaced_seeds": OVERLAP_SQL,
+    "op7_chosen_path": NEAR_SQL,
     "op9_license_diagonals": LICENSE_SQL,
     "op10_exact_dedup": """
         WITH d AS (SELECT doc_id, translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS body FROM documents)
