@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 import pandas as pd
 from pyspark.sql import Column
@@ -83,22 +83,24 @@ def surrogate_key(*columns: Column) -> Column:
     return F.md5(F.concat_ws("-", *[F.coalesce(c.cast("string"), F.lit("_null_")) for c in columns]).cast("binary"))
 
 
-def keyword_counts(text: Column, topics: dict[str, Sequence[str]]) -> list[Column]:
-    """For each topic, how many of its keywords occur in the text."""
-    body = F.lower(F.coalesce(text, F.lit("")))
-    return [sum((F.contains(body, F.lit(k)).cast("int") for k in words), F.lit(0)) for words in topics.values()]
+def let(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use`` of a value that is computed once, however often ``use`` names it."""
+    return F.transform(F.array(value), use)[0]
 
 
 def keyword_topic(text: Column, topics: dict[str, Sequence[str]]) -> Column:
     """(topic_id, topic_label, topic_id_source): the topic with most keywords, the first of equals; ids from 1, -1 for none."""
-    counts = keyword_counts(text, topics)
-    most = F.greatest(*counts)
-    label, number = F.lit(None).cast("string"), F.lit(-1)
-    for k, (name, count) in reversed(list(enumerate(zip(topics, counts, strict=True)))):
-        label = F.when(count == most, F.lit(name)).otherwise(label)
-        number = F.when(count == most, F.lit(k + 1)).otherwise(number)
-    none = most == 0
-    return F.struct(F.when(none, -1).otherwise(number).alias("topic_id"), F.when(none, F.lit(None)).otherwise(label).alias("topic_label"), F.when(none, "unclassified").otherwise("keyword_map").alias("topic_id_source"))
+    names = F.array(*[F.lit(n) for n in topics])
+
+    def counts(body: Column) -> Column:
+        return F.array(*[sum((F.contains(body, F.lit(k)).cast("int") for k in words), F.lit(0)) for words in topics.values()])
+
+    def best(c: Column) -> Column:
+        none = F.array_max(c) == 0
+        number = F.array_position(c, F.array_max(c)).cast("int")
+        return F.named_struct(F.lit("topic_id"), F.when(none, -1).otherwise(number), F.lit("topic_label"), F.when(~none, F.element_at(names, number)), F.lit("topic_id_source"), F.when(none, "unclassified").otherwise("keyword_map"))
+
+    return let(F.lower(F.coalesce(text, F.lit(""))), lambda body: let(counts(body), best))
 
 
 def sentences(text: Column, min_length: int = 20) -> Column:
