@@ -251,6 +251,8 @@ def remove_repeats(docs: DataFrame) -> DataFrame:
     runs = shards.where("blob is null").select("chunk", "at", "hash", "print", "pre", "len")
     chunks = shards.where("blob is not null").select("chunk", "doc_ids", "sizes", "blob")
     twice = runs.groupBy("hash").agg(F.count("*").alias("times")).where("times > 1").select("hash")
+    # A table of its own, so that the join below meets two plain shuffles and a hot anchor can be split.
+    twice = scratch(twice, "twice")
     runs = scratch(runs.join(twice, "hash", "left_semi"), "runs")
     # Equal runs, as inside of copies, fold into one row; only what differs around an anchor is compared.
     kinds = scratch(runs.groupBy("hash", "print").agg(F.count("*").alias("n"), F.min(F.struct("chunk", "at", "pre", "len")).alias("r")), "kinds")
