@@ -24,6 +24,8 @@ UPPER, DIGIT, LETTER, OTHER, EDGE = 59, 60, 61, 62, 63
 SYMBOLS = 64
 #: The share of trusted texts of a language that its threshold lets pass, and the texts it takes to set one.
 QUANTILE, LEAST_TRUSTED = 0.995, 50
+#: Thresholds that may be broadcast, one for each language; more are joined by a shuffle.
+BROADCAST_LINES = 10_000
 #: Characters counted at a time.
 SLICE = 2 << 20
 
@@ -163,8 +165,10 @@ def judge(docs: DataFrame, labels: DataFrame) -> DataFrame:
     line = F.percentile_approx("perplexity", F.lit(QUANTILE), F.lit(20_000)).alias("line")
     # One row for each language, and one for all.
     lines = good.groupBy(F.col("lang").alias("of_lang")).agg(line, F.count("*").alias("texts")).where((F.col("texts") >= LEAST_TRUSTED) & F.col("of_lang").isNotNull())
+    lines = scratch(lines.select("of_lang", "line"), "lines")
     overall = good.agg(line).withColumnRenamed("line", "all_line")
-    out = scored.join(lines, F.col("lang") == F.col("of_lang"), "left").crossJoin(F.broadcast(overall))
+    few = lines.count() <= BROADCAST_LINES
+    out = scored.join(F.broadcast(lines) if few else lines, F.col("lang") == F.col("of_lang"), "left").crossJoin(F.broadcast(overall))
     threshold = F.coalesce("line", "all_line")
     kept = F.col("perplexity").isNotNull() & F.coalesce(F.col("perplexity") <= threshold, F.lit(True))
     return out.select("doc_id", "lang", "n_symbols", "perplexity", threshold.alias("threshold"), kept.alias("kept"))
