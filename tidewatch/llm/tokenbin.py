@@ -227,7 +227,7 @@ def write(docs: DataFrame, tokenizer: str, name: str = "tokens") -> DataFrame:
             yield close()
 
     parts = max(1, int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")))
-    ordered = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").repartitionByRange(parts, F.asc_nulls_first("doc_id"), "text").sortWithinPartitions(F.asc_nulls_first("doc_id"), "text")
+    ordered = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").repartitionByRange(parts, F.asc_nulls_first("doc_id")).sortWithinPartitions(F.asc_nulls_first("doc_id"), "text")
     return scratch(ordered.mapInArrow(run, "shard int, seq int, doc_ids array<long>, sizes array<long>, n_ids long, segment binary"), name)
 
 
