@@ -216,3 +216,12 @@ def test_table_files(spark, tmp_path):
     io.save_mark(spark, f"{tmp_path}/marks", "p", "2024-01-01")
     assert io.read_mark(spark, f"{tmp_path}/marks", "p") == "2024-01-01" and io.read_mark(spark, f"{tmp_path}/marks", "q") is None
     assert io.cutoff("2023-01-01", "2024-06-01", "2024-01-01") == "2024-01-01"
+
+
+def test_connected_long_paths(spark):
+    """Labels that meet one edge at a time: a falling path, a shuffled one, a loop."""
+    falling = [1, *range(41, 1, -1)]
+    shuffled = random.Random(7).sample(range(100, 1100), 1000)
+    edges = [*zip(falling[:-1], falling[1:], strict=True), *zip(shuffled[:-1], shuffled[1:], strict=True), (5000, 5000)]
+    got = {r.id: r.component for r in graph.connected(spark.createDataFrame(edges, "a long, b long")).collect()}
+    assert got == {**dict.fromkeys(falling, 1), **dict.fromkeys(shuffled, 100), 5000: 5000}

@@ -10,6 +10,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..components import components, scratch
 from .series import _micros
 
 
@@ -209,23 +210,10 @@ def track(members: DataFrame, day: str = "day", region: str | None = None, thres
     return keyed.groupBy("_region").applyInPandas(run, schema)
 
 
-def connected(edges: DataFrame, a: str = "a", b: str = "b", max_rounds: int = 30) -> DataFrame:
-    """(id, component): the smallest id reachable. Labels spread along edges and jump to their label's label, so rounds grow with the logarithm of the diameter."""
-    spark = edges.sparkSession
-    both = edges.select(F.col(a).alias("u"), F.col(b).alias("v")).union(edges.select(F.col(b), F.col(a))).distinct()
-    if spark.conf.get("spark.checkpoint.dir", None) is None and not spark.sparkContext._jsc.sc().getCheckpointDir().isDefined():
-        import tempfile
-
-        spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="tidewatch-"))
-    both = both.checkpoint()
-    label = both.groupBy("u").agg(F.least(F.col("u"), F.min("v")).alias("label"))
-    for _ in range(max_rounds):
-        near = both.join(label.withColumnsRenamed({"u": "v", "label": "near"}), "v").groupBy("u").agg(F.min("near").alias("near"))
-        low = label.join(near, "u").select("u", F.col("label").alias("old"), F.least("label", "near").alias("label"))
-        jump = low.select(F.col("u").alias("label"), F.col("label").alias("further"))
-        new = low.join(jump, "label", "left").select("u", "old", F.coalesce("further", "label").alias("label")).checkpoint()
-        done = new.where("old != label").isEmpty()
-        label = new.select("u", "label")
-        if done:
-            break
-    return label.select(F.col("u").alias("id"), F.col("label").alias("component"))
+def connected(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
+    """(id, component): the smallest id reachable. It goes on until nothing changes, and raises if that never comes."""
+    pairs = scratch(edges.select(F.col(a).alias("a"), F.col(b).alias("b")), "pairs")
+    found = components(pairs)
+    # A vertex whose only edges are to itself is its own component.
+    alone = pairs.where("a = b").select(F.col("a").alias("id")).distinct().join(found, "id", "left_anti")
+    return found.unionByName(alone.withColumn("component", F.col("id")))
