@@ -361,6 +361,21 @@ def test_near_duplicates(spark):
     assert got == brute_components(rows)
 
 
+def test_near_duplicates_outside_a_crowd(spark):
+    """Groups of 200 long texts that differ in their last word, each with one text of similarity 0.77 to all of them."""
+    rows, want = [], {}
+    for g in (7, 15, 26, 30):
+        rng, first = random.Random(g), 1000 * g
+        base = [f"g{g}w{rng.randrange(10**6)}" for _ in range(2000)]
+        rows += [(first + k, " ".join([*base, f"end{k}"])) for k in range(200)]
+        far = list(base)
+        for at in rng.sample(range(10, 1990, 10), 53):
+            far[at] = "changed"
+        rows.append((first + 900, " ".join(far)))
+        want |= {d: first for d in [*range(first, first + 200), first + 900]}
+    assert {r.doc_id: r.component_id for r in near_groups(docs_of(spark, rows)).collect()} == want
+
+
 def test_near_duplicate_edges(spark):
     rows = [(None, "a b c d e f"), (4, "a b c d e f"), (2, "a b c d e f"), (2, "a b c d e f")]
     got = sorted((r.doc_id or -1, r.component_id, r.kept) for r in near_groups(docs_of(spark, rows)).collect())

@@ -224,16 +224,17 @@ def near_groups(docs: DataFrame) -> DataFrame:
         # Trees often come to the same documents: one node of each content is compared.
         leaves = nodes.where(F.col("size") <= SMALL).groupBy("content", "size").agg(F.min("node").alias("node"))
         small.append(members.join(leaves.select("node"), "node", "left_semi").select("node", "rep"))
-        large = nodes.where(F.col("size") > SMALL).groupBy("content", "size").agg(F.min("node").alias("node"), F.min("leader").alias("leader"))
-        large = scratch(large.select("node", "size", "leader"), "large")
+        # Large nodes stay apart until the last level: each tree branches by picks of its own.
+        large = scratch(nodes.where(F.col("size") > SMALL).select("node", "size", "content", "leader"), "large")
         if large.isEmpty():
             break
-        inside = members.join(large.select("node"), "node", "left_semi")
         if depth < DEPTH - 1:
+            inside = members.join(large.select("node"), "node", "left_semi")
             members = inside.join(sketches, "rep").select("node", "rep", "sketch").mapInArrow(_branch, "node long, rep long")
         else:
+            last = large.groupBy("content", "size").agg(F.min("node").alias("node"), F.min("leader").alias("leader"))
             blocks = F.ceil(F.col("size") / (SMALL // 2)).cast("long")
-            crowd = scratch(members.join(large, "node").select("node", "rep", "leader", blocks.alias("blocks"), F.pmod(F.xxhash64("rep"), blocks).alias("block")), "crowd")
+            crowd = scratch(members.join(last, "node").select("node", "rep", "leader", blocks.alias("blocks"), F.pmod(F.xxhash64("rep"), blocks).alias("block")), "crowd")
     leaf = small[0]
     for more in small[1:]:
         leaf = leaf.unionByName(more)
