@@ -225,3 +225,13 @@ def test_connected_long_paths(spark):
     edges = [*zip(falling[:-1], falling[1:], strict=True), *zip(shuffled[:-1], shuffled[1:], strict=True), (5000, 5000)]
     got = {r.id: r.component for r in graph.connected(spark.createDataFrame(edges, "a long, b long")).collect()}
     assert got == {**dict.fromkeys(falling, 1), **dict.fromkeys(shuffled, 100), 5000: 5000}
+
+
+def test_personas_content_bridge(spark):
+    """Shared content links handles of similarity 0.60 to 0.90, enumerated ones too, and nothing less alike."""
+    rows = [("f1", "facebook", "mariopaz", "", ["p", "q", "p"]), ("x1", "x", "pazmario", "", ["p", "q"]), ("f2", "facebook", "fan01", "", ["r"]), ("x2", "x", "fan02", "", ["r"]), ("f3", "facebook", "zzzz", "", ["q"]), ("f4", "facebook", "deeplake", "", [""]), ("x4", "x", "lakedeep", "", [""]), ("x5", "x", "bcdk", "", None)]
+    hs = identity.jaro_winkler_score("mariopaz", "pazmario")
+    assert 0.60 <= hs < 0.90
+    got = {r.author_key: (r.persona_id, r.confidence) for r in identity.personas(spark.createDataFrame(rows, "author_key string, platform string, handle string, display_name string, content_hashes array<string>")).collect()}
+    assert set(got) == {"f1", "x1", "f2", "x2"} and got["f1"] == got["x1"] != got["f2"] == got["x2"]
+    assert got["f1"][1] == pytest.approx(hs + 0.2) and got["f2"][1] == pytest.approx(1.0)

@@ -45,26 +45,39 @@ def jaro_winkler(a: pd.Series, b: pd.Series) -> pd.Series:
     return pd.Series([None if x is None or y is None else jaro_winkler_score(x, y) for x, y in zip(a, b, strict=True)])
 
 
-def personas(authors: DataFrame, handle_least: float = 0.90, name_least: float = 0.90) -> DataFrame:
+def personas(authors: DataFrame, handle_least: float = 0.90, name_least: float = 0.90, bridge_least: float = 0.60) -> DataFrame:
     """Accounts of one person on several platforms: (author_key, persona_id, confidence).
 
-    ``authors``: author_key, platform, handle, display_name. Only accounts that share a blocking
-    key (start of the handle, start of the folded name, handle without digits) are compared.
-    Handles that differ only in their number are different people. Accounts without a partner have
-    no persona; a persona's confidence is its weakest match.
+    ``authors``: author_key, platform, handle, display_name and, if there, content_hashes (an
+    array). Only accounts that share a blocking key (start of the handle, start of the folded name,
+    handle without digits, a content hash) are compared. Handles that differ only in their number
+    are different people, unless they share content. Shared content bridges handles from
+    ``bridge_least`` on; each shared hash adds 0.1 to their score, three at most. Accounts without
+    a partner have no persona; a persona's confidence is its weakest match.
     """
-    a = authors.select("author_key", "platform", F.lower(F.trim("handle")).alias("handle"), fold_accents(F.trim(F.coalesce("display_name", F.lit("")))).alias("name"))
+    hashes = F.col("content_hashes") if "content_hashes" in authors.columns else F.lit(None).cast("array<string>")
+    a = authors.select("author_key", "platform", F.coalesce(hashes, F.array().cast("array<string>")).alias("hashes"), F.lower(F.trim("handle")).alias("handle"), fold_accents(F.trim(F.coalesce("display_name", F.lit("")))).alias("name"))
     stem = F.regexp_replace("handle", r"[^a-z]", "")
-    keys = F.array_distinct(F.filter(F.array(F.concat(F.lit("h:"), F.substring("handle", 1, 4)), F.when(F.length("name") > 0, F.concat(F.lit("n:"), F.substring("name", 1, 5))), F.when(F.length(stem) > 0, F.concat(F.lit("s:"), stem))), lambda k: k.isNotNull()))
-    blocked = a.withColumn("key", F.explode(keys))
+    content = F.transform(F.filter("hashes", lambda h: h != ""), lambda h: F.concat(F.lit("c:"), h))
+    keys = F.array_distinct(F.filter(F.concat(content, F.array(F.concat(F.lit("h:"), F.substring("handle", 1, 4)), F.when(F.length("name") > 0, F.concat(F.lit("n:"), F.substring("name", 1, 5))), F.when(F.length(stem) > 0, F.concat(F.lit("s:"), stem)))), lambda k: k.isNotNull()))
+    # A row for each account and key, so that a hash counts once.
+    blocked = a.withColumn("key", F.explode(keys)).drop("hashes").dropDuplicates(["author_key", "key"])
     left, right = blocked.select([F.col(c).alias(f"{c}_l") for c in blocked.columns]), blocked.select([F.col(c).alias(f"{c}_r") for c in blocked.columns])
-    pairs = left.join(right, F.col("key_l") == F.col("key_r")).where("platform_l < platform_r").drop("key_l", "key_r").dropDuplicates(["author_key_l", "author_key_r"])
     numbered = lambda s: F.regexp_extract(f"handle_{s}", r"(\d+)$", 1)
     bare = lambda s: F.regexp_replace(f"handle_{s}", r"\d+$", "")
     enumerated = (bare("l") == bare("r")) & (numbered("l") != numbered("r")) & (numbered("l") != "") & (numbered("r") != "")
-    scored = pairs.where(~enumerated).withColumns({"hs": jaro_winkler("handle_l", "handle_r"), "ns": jaro_winkler("name_l", "name_r")})
+    met = left.join(right, F.col("key_l") == F.col("key_r")).where("platform_l < platform_r").withColumn("content", F.startswith("key_l", F.lit("c:")))
+    each = ["handle_l", "handle_r", "name_l", "name_r"]
+    enough = met.withColumn("enumerated", enumerated).where(F.col("content") | ~F.col("enumerated"))
+    pairs = enough.groupBy("author_key_l", "author_key_r").agg(F.count_if("content").alias("n_shared"), F.first("enumerated").alias("enumerated"), *[F.first(c).alias(c) for c in each])
+    scored = pairs.withColumns({"hs": jaro_winkler("handle_l", "handle_r"), "ns": jaro_winkler("name_l", "name_r")})
     named = (F.length("name_l") > 0) & (F.length("name_r") > 0) & (F.col("ns") >= name_least)
-    match = scored.where((F.col("hs") >= handle_least) | named).select(F.col("author_key_l").alias("a"), F.col("author_key_r").alias("b"), F.greatest("hs", F.when(named, F.col("ns")).otherwise(0.0)).alias("score"))
+    handled = F.col("hs") >= handle_least
+    plain = F.greatest("hs", F.when(named, F.col("ns")).otherwise(0.0))
+    bridge = F.when((F.col("n_shared") > 0) & (F.col("hs") >= bridge_least), F.least(F.lit(1.0), F.col("hs") + F.least(F.lit(0.3), 0.1 * F.col("n_shared"))))
+    # As in the reference: handle and name together decide first, then shared content.
+    score = F.when(~F.col("enumerated") & handled & named, plain).otherwise(F.coalesce(bridge, F.when(~F.col("enumerated") & (handled | named), plain)))
+    match = scored.select(F.col("author_key_l").alias("a"), F.col("author_key_r").alias("b"), score.alias("score")).where("score is not null")
     where = connected(match)
     weakest = match.join(where, F.col("a") == F.col("id")).groupBy("component").agg(F.min("score").alias("confidence"))
     return where.join(weakest, "component").select(F.col("id").alias("author_key"), F.substring(F.sha1(F.col("component").cast("string").cast("binary")), 1, 16).alias("persona_id"), "confidence")
