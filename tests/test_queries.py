@@ -51,3 +51,12 @@ def test_plans(spark, sf):
     assert "ReadSchema: struct<event_id:bigint,ts:timestamp_ntz>" in feeds
     pairs = queries.QUERIES["int_cross_post_pairs"](spark, sf)._jdf.queryExecution().executedPlan().toString()
     assert "NestedLoop" not in pairs and "CartesianProduct" not in pairs
+
+
+def test_every_customer_takes_part(spark, sf):
+    """Each supplier has the handle of the customer of its number, whatever that is; each customer is a mention and a person."""
+    customers, suppliers = (spark.read.parquet(f"{sf}/{name}.parquet") for name in ("customer", "supplier"))
+    pairs = customers.join(suppliers, customers["c_custkey"] == suppliers["s_suppkey"]).count()
+    assert pairs and queries.QUERIES["personas"](spark, sf).where("author_key like 'c%'").count() == pairs
+    people = queries.QUERIES["resolved_people"](spark, sf)
+    assert people.count() == customers.count() and people.where("person_id is null or person_id != mention_id").isEmpty()

@@ -113,11 +113,11 @@ def resolve_people(mentions: DataFrame, people: DataFrame, in_scope: float = 0.7
     """
     p = people.select("person_id", F.lower("handle").alias("p_handle"), fold_accents(F.col("name")).alias("p_name"), fold_accents(F.coalesce("city", F.lit(""))).alias("p_city"), F.lower(F.coalesce("party", F.lit(""))).alias("p_party"))
     m = mentions.select("mention_id", F.lower("handle").alias("m_handle"), fold_accents(F.coalesce("name", F.lit(""))).alias("m_name"), fold_accents(F.coalesce("context", F.lit(""))).alias("context"))
-    by_handle = m.join(F.broadcast(p), F.col("m_handle") == F.col("p_handle")).select("mention_id", "person_id", F.lit(1.0).alias("confidence"))
-    by_name = m.join(F.broadcast(p), F.col("m_name") == F.col("p_name")).select("mention_id", "person_id", F.lit(0.90).alias("confidence"))
+    by_handle = m.join(p, F.col("m_handle") == F.col("p_handle")).select("mention_id", "person_id", F.lit(1.0).alias("confidence"))
+    by_name = m.join(p, F.col("m_name") == F.col("p_name")).select("mention_id", "person_id", F.lit(0.90).alias("confidence"))
     tokens = lambda c: F.explode(F.filter(F.split(c, r"\s+"), lambda t: F.length(t) >= 3))
     about = 0.50 + F.when((F.col("p_city") != "") & F.contains("context", F.col("p_city")), 0.20).otherwise(0.0) + F.when((F.col("p_party") != "") & F.contains("context", F.col("p_party")), 0.10).otherwise(0.0)
-    by_token = m.withColumn("t", tokens(F.col("m_name"))).join(F.broadcast(p.withColumn("t", tokens(F.col("p_name")))), "t").select("mention_id", "person_id", F.least(about, F.lit(0.95)).alias("confidence"))
+    by_token = m.withColumn("t", tokens(F.col("m_name"))).join(p.withColumn("t", tokens(F.col("p_name"))), "t").select("mention_id", "person_id", F.least(about, F.lit(0.95)).alias("confidence"))
     every = by_handle.union(by_name).union(by_token).groupBy("mention_id", "person_id").agg(F.max("confidence").alias("confidence"))
     w = Window.partitionBy("mention_id").orderBy(F.desc("confidence"), "person_id")
     ranked = every.withColumns({"k": F.row_number().over(w), "next": F.lead("confidence").over(w)}).where("k = 1")

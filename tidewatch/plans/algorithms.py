@@ -192,7 +192,7 @@ def connected_components(t: Tables) -> DataFrame:
 @query()
 def personas(t: Tables) -> DataFrame:
     name = lambda c: F.regexp_replace(F.lower(c), r"[^a-z0-9]", "_")
-    a = t("customer").where("c_custkey % 10 = 0").select(F.concat(F.lit("c"), "c_custkey").alias("author_key"), F.lit("customer").alias("platform"), name(F.col("c_name")).alias("handle"), F.col("c_name").alias("display_name"))
+    a = t("customer").select(F.concat(F.lit("c"), "c_custkey").alias("author_key"), F.lit("customer").alias("platform"), name(F.col("c_name")).alias("handle"), F.col("c_name").alias("display_name"))
     b = t("supplier").select(F.concat(F.lit("s"), "s_suppkey").alias("author_key"), F.lit("supplier").alias("platform"), name(F.replace("s_name", F.lit("Supplier"), F.lit("Customer"))).alias("handle"), F.col("s_name").alias("display_name"))
     return identity.personas(a.unionByName(b))
 
@@ -206,8 +206,8 @@ def gazetteer_mentions(t: Tables) -> DataFrame:
 
 @query()
 def resolved_people(t: Tables) -> DataFrame:
-    people = t("customer").where("c_custkey < 100").select(F.col("c_custkey").alias("person_id"), F.col("c_name").alias("name"), F.concat(F.lit("c"), "c_custkey").alias("handle"), F.col("c_mktsegment").alias("city"), F.lit(None).cast("string").alias("party"))
-    m = t("customer").where("c_custkey < 200").select(F.col("c_custkey").alias("mention_id"), F.when(F.col("c_custkey") % 3 == 0, F.concat(F.lit("C"), "c_custkey")).alias("handle"), F.col("c_name").alias("name"), F.col("c_mktsegment").alias("context"))
+    people = t("customer").select(F.col("c_custkey").alias("person_id"), F.col("c_name").alias("name"), F.concat(F.lit("c"), "c_custkey").alias("handle"), F.col("c_mktsegment").alias("city"), F.lit(None).cast("string").alias("party"))
+    m = t("customer").select(F.col("c_custkey").alias("mention_id"), F.when(F.col("c_custkey") % 3 == 0, F.concat(F.lit("C"), "c_custkey")).alias("handle"), F.col("c_name").alias("name"), F.col("c_mktsegment").alias("context"))
     return identity.resolve_people(m, people)
 
 
