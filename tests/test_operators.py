@@ -235,3 +235,9 @@ def test_personas_content_bridge(spark):
     got = {r.author_key: (r.persona_id, r.confidence) for r in identity.personas(spark.createDataFrame(rows, "author_key string, platform string, handle string, display_name string, content_hashes array<string>")).collect()}
     assert set(got) == {"f1", "x1", "f2", "x2"} and got["f1"] == got["x1"] != got["f2"] == got["x2"]
     assert got["f1"][1] == pytest.approx(hs + 0.2) and got["f2"][1] == pytest.approx(1.0)
+
+
+def test_gazetteer_long_names(spark):
+    docs = spark.createDataFrame([(1, "o Rio Grande do Norte de Cima fica longe"), (2, "Rio Grande do Norte de")], "id long, body string")
+    names = spark.createDataFrame([("Rio Grande do Norte de Cima", "rgnc", "place")], "name string, entity string, kind string")
+    assert [(r.id, r.entity, r.first_at, r.n) for r in identity.gazetteer(docs, "id", F.col("body"), names).collect()] == [(1, "rgnc", 1, 1)]

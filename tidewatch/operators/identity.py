@@ -83,7 +83,7 @@ def personas(authors: DataFrame, handle_least: float = 0.90, name_least: float =
     return where.join(weakest, "component").select(F.col("id").alias("author_key"), F.substring(F.sha1(F.col("component").cast("string").cast("binary")), 1, 16).alias("persona_id"), "confidence")
 
 
-def gazetteer(docs: DataFrame, key: str, text: Column, names: DataFrame, longest: int = 4) -> DataFrame:
+def gazetteer(docs: DataFrame, key: str, text: Column, names: DataFrame) -> DataFrame:
     """Names of a catalogue in texts: key, entity, kind, first_at, n. ``names``: name, entity, kind.
 
     Word n-grams are joined to the folded names, so a catalogue of any size is one hash join. Only
@@ -94,7 +94,7 @@ def gazetteer(docs: DataFrame, key: str, text: Column, names: DataFrame, longest
     words = docs.select(key, F.posexplode(F.transform(split(text), lambda w: w)).alias("at", "word"))
     # Starts of names first: only words that begin a name are followed further.
     starts = folded.select(F.split_part("gram", F.lit(" "), F.lit(1)).alias("word"), "gram", "entity", "kind").withColumn("words", F.split("gram", " "))
-    begun = words.join(F.broadcast(starts) if names.count() <= 100_000 else starts, "word").where(F.size("words") <= longest)
+    begun = words.join(F.broadcast(starts) if names.count() <= 100_000 else starts, "word")
     single = begun.where(F.size("words") == 1).select(key, "at", "entity", "kind")
     rest = begun.where(F.size("words") > 1).select(key, "at", "entity", "kind", "gram", F.size("words").alias("size"), F.posexplode("words").alias("k", "want")).where("k > 0")
     follow = words.select(F.col(key).alias("_key"), (F.col("at")).alias("_at"), F.col("word").alias("_word"))
