@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import gc
 import tempfile
+import time
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -22,8 +23,17 @@ def shared_dir(spark: SparkSession) -> str:
     return path.rstrip("/")
 
 
+#: Seconds between two collections of the driver's garbage, which frees the shuffle files of finished jobs.
+COLLECT_EVERY = 4.0
+_collected = 0.0
+
+
 def scratch(df: DataFrame, name: str, *partition_by: str) -> DataFrame:
-    """Write a table to the shared folder and read it back: lineage ends there and a lost executor costs nothing."""
+    """Write a table to the shared folder and read it back: lineage ends there and a lost executor costs nothing.
+
+    The table stays until ``discard`` is called on what this returns.
+    """
+    global _collected
     spark = df.sparkSession
     ship(spark)
     path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
@@ -31,10 +41,22 @@ def scratch(df: DataFrame, name: str, *partition_by: str) -> DataFrame:
     if partition_by:
         writer = writer.partitionBy(*partition_by)
     writer.parquet(path)
-    # Shuffle files of the finished job go when the driver collects its references to them.
-    gc.collect()
-    spark.sparkContext._jvm.System.gc()
-    return spark.read.schema(df.schema).parquet(path)
+    # Shuffle files of finished jobs go when the driver collects its references to them.
+    if time.monotonic() - _collected > COLLECT_EVERY:
+        gc.collect()
+        spark.sparkContext._jvm.System.gc()
+        _collected = time.monotonic()
+    out = spark.read.schema(df.schema).parquet(path)
+    out._scratch_path = path
+    return out
+
+
+def discard(*tables: DataFrame) -> None:
+    """Delete tables that ``scratch`` wrote and nothing will read again."""
+    for df in tables:
+        jvm, spark = df.sparkSession.sparkContext._jvm, df.sparkSession
+        at = jvm.org.apache.hadoop.fs.Path(df._scratch_path)
+        at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(at, True)
 
 
 def components(edges: DataFrame, max_rounds: int = 40) -> DataFrame:
@@ -48,6 +70,7 @@ def components(edges: DataFrame, max_rounds: int = 40) -> DataFrame:
     cur = scratch(norm(edges), "edges")
     state = None
     for _ in range(max_rounds):
+        before = cur
         # Large star: every neighbour larger than u links to the least of u's neighbourhood.
         both = cur.select("u", "v").union(cur.select(F.col("v").alias("u"), F.col("u").alias("v")))
         least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
@@ -56,6 +79,7 @@ def components(edges: DataFrame, max_rounds: int = 40) -> DataFrame:
         low = large.groupBy("u").agg(F.min("v").alias("m"))
         small = large.join(low, "u").select(F.explode(F.array(F.struct("u", F.col("m").alias("v")), F.struct(F.col("v").alias("u"), F.col("m").alias("v")))).alias("e")).select("e.u", "e.v").where("u != v").distinct()
         cur = scratch(small, "stars")
+        discard(before)
         now = cur.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
         if now == state:
             break

@@ -22,9 +22,16 @@ def session(master: str = "local[*]", **conf: str) -> SparkSession:
     return builder.getOrCreate()
 
 
+#: Bytes and rows of an Arrow batch, so that a worker holds a few MB at a time however long the rows are.
+BATCH = {"spark.sql.execution.arrow.maxBytesPerBatch": "8m", "spark.sql.execution.arrow.maxRecordsPerBatch": "4000"}
+
+
 def ship(spark: SparkSession) -> None:
-    """Give the workers this package, once a context; they need not have it installed."""
+    """Give the workers this package, once a context; they need not have it installed. Batches are bounded where the session does not say."""
     context = spark.sparkContext
+    for key, value in BATCH.items():
+        if not context.getConf().contains(key):
+            spark.conf.set(key, value)
     if getattr(context, "_tidewatch_shipped", False):
         return
     package = os.path.dirname(os.path.abspath(__file__))
