@@ -384,6 +384,15 @@ def test_near_duplicate_edges(spark):
     assert near_groups(docs_of(spark, [])).count() == 0
 
 
+def test_near_duplicates_that_share_an_id(spark):
+    a, b = (" ".join(f"{c}{k}" for k in range(40)) for c in "ab")
+    rows = [(2, b), (3, b), (2, a), (5, a + " more"), (9, "x y")]
+    got = sorted((r.doc_id, r.n_shingles, r.component_id, r.kept) for r in near_groups(docs_of(spark, rows)).collect())
+    assert got == [(2, 36, 2, True), (2, 36, 2, True), (3, 36, 2, False), (5, 37, 2, False), (9, 1, 9, True)]
+    # The two texts of id 2 are apart, so both stay.
+    assert {(r.doc_id, r.text) for r in one_of_each(docs_of(spark, rows)).collect()} == {(2, a), (2, b), (9, "x y")}
+
+
 def test_components(spark):
     rng = random.Random(1)
     edges = [(i, i + 1) for i in range(60)] + [(100, 100 + k) for k in range(1, 40)] + [(rng.randrange(200, 260), rng.randrange(200, 260)) for _ in range(40)]

@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import LOWER, UPPER, components, scratch
+from .common import LOWER, UPPER, components, discard, scratch
 
 WORDS, PERCENT = 5, 75
 #: Independent trees, and coordinates that a node picks. A pair of similarity 0.75 stays together in
@@ -26,7 +26,7 @@ SMALL, DEPTH = 192, 4
 #: Coordinates of a sketch. Pairs whose sketches agree less than CUTOFF lie four deviations under the threshold.
 COORDS, CUTOFF = 128, 0.6
 #: Bytes of text hashed at a time.
-SLICE = 2 << 20
+SLICE = 1 << 18
 
 _FOLD = bytes.maketrans(UPPER.encode(), LOWER.encode())
 _BASE = np.uint64(0x9E3779B97F4A7C15)
@@ -102,24 +102,23 @@ def _texts(column: pa.Array) -> list[bytes]:
 
 
 def _sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Size, fingerprint, sketch and the first nodes of each text."""
-    old = np.seterr(over="ignore")
+    """Size, fingerprint, sketch and the first nodes of each text; some rows at a time."""
     seeds = _mix(np.arange(1, TREES * PICKS + 1, dtype=np.uint64))
-    for batch in batches:
-        n, fp1, fp2, sketch, roots = [], [], [], [], []
-        for s in shingle_sets(_texts(batch.column(1))):
-            least = _mix(_minwise(s))
-            n.append(len(s))
-            # Two sums of hashes of the members: equal for equal sets, and for others by chance only.
-            fp1.append(int(_mix(s).sum(dtype=np.uint64)) - (1 << 63))
-            fp2.append(int(_mix(s ^ _BASE).sum(dtype=np.uint64)) - (1 << 63))
-            sketch.append(least.astype(np.uint16).tobytes())
-            roots.append(_mix(least[: TREES * PICKS] ^ seeds).astype(np.int64) if len(s) else [])
-        yield pa.RecordBatch.from_arrays(
-            [batch.column(0), pa.array(n, pa.int64()), pa.array(fp1, pa.int64()), pa.array(fp2, pa.int64()), pa.array(sketch, pa.binary()), pa.array(roots, pa.list_(pa.int64()))],
-            ["doc_id", "n", "fp1", "fp2", "sketch", "roots"],
-        )
-    np.seterr(**old)
+    with np.errstate(over="ignore"):
+        for batch in (b.slice(a, 512) for b in batches for a in range(0, b.num_rows, 512)):
+            n, fp1, fp2, sketch, roots = [], [], [], [], []
+            for s in shingle_sets(_texts(batch.column(1))):
+                least = _mix(_minwise(s))
+                n.append(len(s))
+                # Two sums of hashes of the members: equal for equal sets, and for others by chance only.
+                fp1.append(int(_mix(s).sum(dtype=np.uint64)) - (1 << 63))
+                fp2.append(int(_mix(s ^ _BASE).sum(dtype=np.uint64)) - (1 << 63))
+                sketch.append(least.astype(np.uint16).tobytes())
+                roots.append(_mix(least[: TREES * PICKS] ^ seeds).astype(np.int64) if len(s) else [])
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0), batch.column(2), pa.array(n, pa.int64()), pa.array(fp1, pa.int64()), pa.array(fp2, pa.int64()), pa.array(sketch, pa.binary()), pa.array(roots, pa.list_(pa.int64()))],
+                ["doc_id", "which", "n", "fp1", "fp2", "sketch", "roots"],
+            )
 
 
 def _branch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -136,38 +135,48 @@ def _branch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _compare(every: bool):
-    """Pairs in one node whose sketches agree enough and that are in different components: all of them, or each document's best."""
+    """Pairs in one node whose sketches agree enough and that are in different components.
 
-    def pairs(rep: np.ndarray, n: np.ndarray, comp: np.ndarray, core: np.ndarray, values: np.ndarray) -> list[tuple[int, int, float]]:
-        out = []
+    All of them, or a forest of those that agree most, which holds every document with a partner.
+    Documents of one side that is not 0 are not compared with each other: that is done elsewhere.
+    """
+
+    def pairs(rep: np.ndarray, n: np.ndarray, comp: np.ndarray, side: np.ndarray, values: np.ndarray) -> list[tuple[int, int]]:
         size = len(rep)
         agree = np.zeros((size, size), np.float32)
-        step = max(1, (1 << 22) // (size * COORDS))
+        step = max(1, (1 << 20) // (size * COORDS))
         for a in range(0, size, step):
             agree[a : a + step] = (values[a : a + step, None, :] == values[None, :, :]).mean(2)
         ratio = 100 * np.minimum(n[:, None], n[None, :]) >= PERCENT * np.maximum(n[:, None], n[None, :])
-        agree[(comp[:, None] == comp[None, :]) | ~ratio | ~(core[:, None] | core[None, :]) | (agree < CUTOFF)] = -1
+        agree[(comp[:, None] == comp[None, :]) | ~ratio | ((side[:, None] == side[None, :]) & (side > 0)[:, None]) | (agree < CUTOFF)] = -1
         if every:
             i, j = np.nonzero(np.triu(agree >= 0, 1))
-        else:
-            i, j = np.flatnonzero(agree.max(1) >= 0), agree.argmax(1)[agree.max(1) >= 0]
-        out.extend(zip(rep[i].tolist(), rep[j].tolist(), agree[i, j].tolist(), strict=True))
+            return list(zip(rep[i].tolist(), rep[j].tolist(), strict=True))
+        out = []
+        # Grow a tree by the outside document that agrees most with an inside one.
+        best, source, outside = np.full(size, -1, np.float32), np.zeros(size, np.int64), (agree >= 0).any(1)
+        while outside.any():
+            k = int(np.where(outside, best, -2).argmax())
+            if best[k] >= 0:
+                out.append((int(rep[source[k]]), int(rep[k])))
+            outside[k] = False
+            closer = agree[k] > best
+            best[closer], source[closer] = agree[k][closer], k
         return out
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rest: pa.Table | None = None
 
         def close(t: pa.Table) -> pa.RecordBatch:
-            node, rep, n, comp = (t.column(c).to_numpy() for c in ("node", "rep", "n", "comp"))
-            core = t.column("core").to_numpy(zero_copy_only=False)
+            node, rep, n, comp, side = (t.column(c).to_numpy() for c in ("node", "rep", "n", "comp", "side"))
             values = np.frombuffer(b"".join(t.column("sketch").to_pylist()), np.uint16).reshape(-1, COORDS)
             cuts = np.concatenate([[0], np.flatnonzero(np.diff(node)) + 1, [len(node)]])
             out = []
             for a, b in zip(cuts[:-1].tolist(), cuts[1:].tolist(), strict=True):
                 if b - a > 1:
-                    out += pairs(rep[a:b], n[a:b], comp[a:b], core[a:b], values[a:b])
-            cols = list(zip(*out, strict=True)) if out else [[], [], []]
-            return pa.RecordBatch.from_arrays([pa.array(cols[0], pa.int64()), pa.array(cols[1], pa.int64()), pa.array(cols[2], pa.float64())], ["a", "b", "agree"])
+                    out += pairs(rep[a:b], n[a:b], comp[a:b], side[a:b], values[a:b])
+            cols = list(zip(*out, strict=True)) if out else [[], []]
+            return pa.RecordBatch.from_arrays([pa.array(cols[0], pa.int64()), pa.array(cols[1], pa.int64())], ["a", "b"])
 
         for batch in batches:
             t = pa.Table.from_batches([batch])
@@ -186,36 +195,70 @@ def _compare(every: bool):
 def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     with np.errstate(over="ignore"):
         for batch in batches:
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([s.tobytes() for s in shingle_sets(_texts(batch.column(1)))], pa.binary())], ["id", "members"])
-
-
-def _confirm(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Keep the pairs whose full sets are as similar as a link asks."""
-    for batch in batches:
-        linked = []
-        for x, y in zip(batch.column("x").to_pylist(), batch.column("y").to_pylist(), strict=True):
-            x, y = np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)
-            both = len(np.intersect1d(x, y, assume_unique=True))
-            linked.append(100 * both >= PERCENT * (len(x) + len(y) - both))
-        yield batch.select(["a", "b"]).filter(pa.array(linked, pa.bool_()))
-
-
-def near_groups(docs: DataFrame) -> DataFrame:
-    """Components of near-duplicate texts: doc_id, n_shingles, component_id, kept for each row.
-
-    Two texts are linked if their sets of five-word shingles have a Jaccard similarity of 0.75 or
-    more; shorter texts are one shingle, texts without words (null, empty) are linked with
-    nothing. Rows that share a doc_id are one document; a row without doc_id is kept and has no
-    component. Other columns play no part; no rows give no rows.
-    """
-    spark = docs.sparkSession
-    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    told = scratch(texts.mapInArrow(_sketch, "doc_id long, n long, fp1 long, fp2 long, sketch binary, roots array<long>"), "sketches")
-    # Equal sets are one vertex, named by the smallest doc_id that has it.
-    classes = told.where("n > 0 and doc_id is not null").groupBy("n", "fp1", "fp2").agg(F.min("doc_id").alias("rep"), F.first("sketch").alias("sketch"), F.first("roots").alias("roots"))
-    classes = scratch(classes, "classes")
-    sketches = classes.select("rep", "n", "sketch")
-
+            for a in range(0, batch.num_rows, 256):
+                part = batch.slice(a, 256)
+                yield pa.RecordBatch.from_arrays([part.column(0), pa.array([s.astype(np.int64) for s in shingle_sets(_texts(part.column(1)))], pa.list_(pa.int64()))], ["rep", "members"])
+
+
+def _sketched(docs: DataFrame) -> DataFrame:
+    """A row for each document row: doc_id, which (the text's hash), n, fp1, fp2, sketch, roots."""
+    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", F.xxhash64(F.coalesce("text", F.lit(""))).alias("which"))
+    return scratch(texts.mapInArrow(_sketch, "doc_id long, which long, n long, fp1 long, fp2 long, sketch binary, roots array<long>"), "sketches")
+
+
+def _components(docs: DataFrame) -> DataFrame:
+    """A row for each document row: doc_id, which, n, own (a number of the component's own), component (its smallest doc_id; null without doc_id)."""
+    told = _sketched(docs)
+    # Equal sets are one vertex; its number is unique, whatever ids its rows have.
+    classes = told.where("n > 0 and doc_id is not null").groupBy("n", "fp1", "fp2").agg(F.min(F.struct("doc_id", "which")).alias("first"), F.first("sketch").alias("sketch"), F.first("roots").alias("roots"))
+    classes = scratch(classes.select(F.monotonically_increasing_id().alias("rep"), "n", "fp1", "fp2", "first.doc_id", "first.which", "sketch", "roots"), "classes")
+    known = classes.select("rep", "n", "sketch", F.col("rep").alias("comp"))
+    leaf, crowd = _nodes(classes)
+
+    # Round one: a forest in each node, and in each block of a crowded one, which its leader joins.
+    rows = leaf.withColumn("side", F.lit(0))
+    if crowd is not None:
+        in_block = F.xxhash64("node", "block").alias("node")
+        lead = crowd.where("rep = leader").select("rep", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)).alias("at"), "node", "block").where("at != block")
+        own = crowd.select(in_block, "rep", F.lit(0).alias("side")).unionByName(lead.select(F.xxhash64("node", "at").alias("node"), "rep", F.lit(0).alias("side")))
+        rows = rows.unionByName(own)
+    pairs = scratch(_found(rows, known, every=False), "pairs")
+    # A forest has all documents with a partner in their node; only those, and the crowded ones, are compared again.
+    active = pairs.select(F.col("a").alias("rep")).union(pairs.select("b"))
+    active = scratch((active if crowd is None else active.union(crowd.select("rep"))).distinct(), "active")
+    at = F.xxhash64("doc_id", "which").alias("at")
+    wanted = active.join(classes.select("rep", "doc_id", "which"), "rep").select(at, "rep")
+    texts = docs.where("doc_id is not null").select(F.xxhash64(F.col("doc_id").cast("long"), F.xxhash64(F.coalesce("text", F.lit("")))).alias("at"), "text")
+    sets = scratch(texts.join(wanted, "at").dropDuplicates(["at", "rep"]).select("rep", "text").mapInArrow(_sets, "rep long, members array<long>"), "sets")
+    links = _confirmed(pairs, sets)
+    comps = components(links)
+
+    # Round two: whatever is still apart, all pairs of it.
+    known = scratch(active.join(known.drop("comp"), "rep").join(comps.withColumnRenamed("id", "rep").withColumnRenamed("component", "comp"), "rep", "left").withColumn("comp", F.coalesce("comp", "rep")), "known")
+    inside = leaf.join(known.select("rep", "comp"), "rep")
+    rows = inside.join(inside.groupBy("node").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo != hi").select("node"), "node", "left_semi").select("node", "rep", F.lit(0).alias("side"))
+    if crowd is not None:
+        inside = crowd.join(known.select("rep", "comp"), "rep")
+        lead = inside.where("rep = leader").select("node", F.col("comp").alias("lead_comp"))
+        apart = inside.join(lead, "node").where("comp != lead_comp").drop("lead_comp", "comp", "leader")
+        # What is not with the leader meets every block, in blocks of its own: a task holds two blocks at a time.
+        many = apart.groupBy("node").agg(F.ceil(F.count("*") / (SMALL // 2)).cast("long").alias("guest_blocks"))
+        apart = apart.join(many, "node").withColumn("guest_block", F.pmod(F.xxhash64("rep", F.lit(1)), "guest_blocks"))
+        guests = apart.select("node", "rep", "guest_block", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)).alias("block"), F.lit(2).alias("side"))
+        hosts = crowd.join(many, "node").select("node", "rep", F.explode(F.sequence(F.lit(0).cast("long"), F.col("guest_blocks") - 1)).alias("guest_block"), "block", F.lit(1).alias("side"))
+        rows = rows.unionByName(guests.unionByName(hosts).select(F.xxhash64("node", "block", "guest_block").alias("node"), "rep", "side"))
+    more = scratch(_found(rows, known, every=True), "pairs")
+    if not more.isEmpty():
+        comps = components(links.union(_confirmed(more, sets)))
+    named = classes.select("rep", "n", "fp1", "fp2", "doc_id").join(comps.withColumnRenamed("id", "rep"), "rep", "left").withColumn("component", F.coalesce("component", "rep"))
+    least = named.groupBy("component").agg(F.min("doc_id").alias("least"))
+    named = named.join(least, "component").select("n", "fp1", "fp2", F.col("component").alias("own"), F.col("least").alias("component"))
+    joined = told.select("doc_id", "which", "n", "fp1", "fp2").join(named, ["n", "fp1", "fp2"], "left")
+    return joined.select("doc_id", "which", "n", "own", F.when(F.col("doc_id").isNotNull(), F.coalesce("component", "doc_id")).alias("component"))
+
+
+def _nodes(classes: DataFrame) -> tuple[DataFrame, DataFrame | None]:
+    """(node, rep) of the nodes to compare, and (node, rep, leader, blocks, block) of those that stayed large."""
     small, crowd = [], None
     members = classes.select(F.explode("roots").alias("node"), "rep")
     for depth in range(DEPTH):
@@ -225,12 +268,12 @@ def near_groups(docs: DataFrame) -> DataFrame:
         leaves = nodes.where(F.col("size") <= SMALL).groupBy("content", "size").agg(F.min("node").alias("node"))
         small.append(members.join(leaves.select("node"), "node", "left_semi").select("node", "rep"))
         # Large nodes stay apart until the last level: each tree branches by picks of its own.
-        large = scratch(nodes.where(F.col("size") > SMALL).select("node", "size", "content", "leader"), "large")
+        large = nodes.where(F.col("size") > SMALL)
         if large.isEmpty():
             break
         if depth < DEPTH - 1:
             inside = members.join(large.select("node"), "node", "left_semi")
-            members = inside.join(sketches, "rep").select("node", "rep", "sketch").mapInArrow(_branch, "node long, rep long")
+            members = inside.join(classes.select("rep", "sketch"), "rep").select("node", "rep", "sketch").mapInArrow(_branch, "node long, rep long")
         else:
             last = large.groupBy("content", "size").agg(F.min("node").alias("node"), F.min("leader").alias("leader"))
             blocks = F.ceil(F.col("size") / (SMALL // 2)).cast("long")
@@ -238,50 +281,49 @@ def near_groups(docs: DataFrame) -> DataFrame:
     leaf = small[0]
     for more in small[1:]:
         leaf = leaf.unionByName(more)
-    leaf = scratch(leaf, "leaves").withColumn("core", F.lit(True))
-
-    active = scratch(leaf.select("rep").union(crowd.select("rep") if crowd is not None else leaf.select("rep").limit(0)).distinct(), "active")
-    sets = scratch(texts.join(active, F.col("doc_id") == F.col("rep"), "left_semi").dropDuplicates(["doc_id"]).mapInArrow(_sets, "id long, members binary"), "sets")
-    known = active.join(sketches, "rep").withColumn("comp", F.col("rep"))
-    links = tested = None
-    for every in (False, False, True):
-        rows = leaf
-        if crowd is not None:
-            in_block = F.xxhash64("node", "block").alias("node")
-            own = crowd.select(in_block, "rep", F.lit(True).alias("core"))
-            # Each block also holds the leader, and in the end all documents that are not with the leader by then.
-            guests = crowd.where("rep = leader")
-            if every:
-                comps = known.select("rep", "comp")
-                lead = crowd.select("node", "leader").distinct().join(comps.withColumnRenamed("rep", "leader").withColumnRenamed("comp", "lead_comp"), "leader")
-                guests = crowd.join(comps, "rep").join(lead.select("node", "lead_comp"), "node").where("comp != lead_comp")
-            spread = guests.select("node", "rep", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)).alias("at"), "block").where("at != block")
-            rows = rows.unionByName(own).unionByName(spread.select(F.xxhash64("node", "at").alias("node"), "rep", F.lit(True).alias("core")))
-        full = rows.join(known, "rep").select("node", "rep", "n", "comp", "core", "sketch")
-        found = full.repartition("node").sortWithinPartitions("node").mapInArrow(_compare(every), "a long, b long, agree double")
-        if not every:
-            found = found.groupBy("a").agg(F.max_by("b", F.struct("agree", -F.col("b"))).alias("b"))
-        pairs = found.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
-        if tested is not None:
-            pairs = pairs.join(tested, ["a", "b"], "left_anti")
-        pairs = scratch(pairs, "pairs")
-        if pairs.isEmpty():
-            continue
-        tested = pairs if tested is None else tested.union(pairs)
-        sized = pairs.join(sets.select(F.col("id").alias("b"), F.col("members").alias("y")), "b").join(sets.select(F.col("id").alias("a"), F.col("members").alias("x")), "a")
-        confirmed = scratch(sized.select("a", "b", "x", "y").mapInArrow(_confirm, "a long, b long"), "links")
-        links = confirmed if links is None else links.union(confirmed)
-        joined = components(links)
-        known = scratch(active.join(sketches, "rep").join(joined.withColumnRenamed("id", "rep"), "rep", "left").select("rep", "n", "sketch", F.coalesce("component", "rep").alias("comp")), "known")
-    named = told.select("doc_id", "n", "fp1", "fp2").join(classes.select("n", "fp1", "fp2", "rep"), ["n", "fp1", "fp2"], "left").join(known.select("rep", "comp"), "rep", "left")
-    component = F.coalesce("comp", "rep", "doc_id")
-    return named.select("doc_id", F.col("n").alias("n_shingles"), F.when(F.col("doc_id").isNotNull(), component).alias("component_id")).withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)))
+    return scratch(leaf, "leaves"), crowd
+
+
+def _found(rows: DataFrame, known: DataFrame, every: bool) -> DataFrame:
+    """Distinct pairs (a, b) that the comparison of rows (node, rep, side) finds."""
+    full = rows.join(known, "rep").select("node", "rep", "n", "comp", "side", "sketch")
+    found = full.repartition("node").sortWithinPartitions("node").mapInArrow(_compare(every), "a long, b long")
+    return found.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+
+
+def _confirmed(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+    """The pairs whose full sets are as similar as a link asks; row by row, so that two sets are held at a time."""
+    both = pairs.join(sets.select(F.col("rep").alias("b"), F.col("members").alias("y")), "b").join(sets.select(F.col("rep").alias("a"), F.col("members").alias("x")), "a")
+    shared = both.select("a", "b", F.size("x").alias("nx"), F.size("y").alias("ny"), F.size(F.array_intersect("x", "y")).alias("shared"))
+    return scratch(shared.where(100 * F.col("shared") >= PERCENT * (F.col("nx") + F.col("ny") - F.col("shared"))).select("a", "b"), "links")
+
+
+def near_groups(docs: DataFrame) -> DataFrame:
+    """Components of near-duplicate texts: doc_id, n_shingles, component_id, kept for each row.
+
+    Two texts are linked if their sets of five-word shingles have a Jaccard similarity of 0.75 or
+    more; shorter texts are one shingle, texts without words (null, empty) are linked with
+    nothing. Rows that share a doc_id are judged each by its own text, and kept says that the
+    doc_id is its component's; a row without doc_id is kept and has no component. Other columns
+    play no part; no rows give no rows.
+    """
+    return _components(docs).select("doc_id", F.col("n").alias("n_shingles"), F.col("component").alias("component_id"), F.coalesce(F.col("doc_id") == F.col("component"), F.lit(True)).alias("kept"))
 
 
 def one_of_each(docs: DataFrame) -> DataFrame:
-    """The documents that stay: the smallest doc_id of each component, with all columns."""
-    gone = near_groups(docs).where(~F.col("kept")).select(F.col("doc_id").alias("gone_doc_id")).distinct()
-    return docs.join(gone, docs["doc_id"].cast("long") == gone["gone_doc_id"], "left_anti")
+    """The documents that stay, with all columns: one text of each component, that of its smallest doc_id.
+
+    Texts without words and rows without doc_id stay. Where that doc_id has several texts in the
+    component, the one with the fewest shingles stays (ties by the text's hash); rows that repeat
+    doc_id and text alike are one document.
+    """
+    rows = scratch(_components(docs), "rows")
+    in_one = rows.where("n > 0 and component is not null")
+    stay = in_one.groupBy("own").agg(F.min(F.struct("doc_id", "n", "which")).alias("s"))
+    gone = in_one.join(stay.select("own", F.col("s.doc_id").alias("stay_id"), F.col("s.which").alias("stay_which")), "own").where("doc_id != stay_id or which != stay_which")
+    gone = gone.select(F.col("doc_id").alias("gone_doc_id"), F.col("which").alias("gone_which")).distinct()
+    which = F.xxhash64(F.coalesce(docs["text"], F.lit("")))
+    return docs.join(gone, (docs["doc_id"].cast("long") == gone["gone_doc_id"]) & (which == gone["gone_which"]), "left_anti")
 
 
 #: The same components in DuckDB's SQL: all pairs that share a shingle, counted, and reached step by step.
