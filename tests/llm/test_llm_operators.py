@@ -63,6 +63,25 @@ def test_ids_are_the_librarys(texts):
 ids_are = {}
 
 
+def test_added_tokens_are_the_librarys(enc):
+    from tokenizers import Tokenizer
+
+    own = Tokenizer.from_file(tokenizer())
+    texts = ["<|endoftext|>", "a<|endoftext|> b", "x <|endoftext|><|endoftext|>'s", "<|endof", "text|>", "<|endoftext", "é<|endoftext|>\n\n", ""]
+    got = [ids[a:b].tolist() for _, ids, o in enc.batches(pa.array(texts)) for a, b in zip(o[:-1], o[1:], strict=True)]
+    assert got == [x.ids for x in own.encode_batch(texts, add_special_tokens=False)] and got[0] == [50256]
+
+
+def test_other_tokenizers_go_through_the_library():
+    from tokenizers import Tokenizer
+
+    path, texts = tokenizer("word_bpe_49k.json"), ["Hello  World", "", "it's <|endoftext|> ok"]
+    e = Encoder(path)
+    assert not e.cuts_here
+    got = [ids[a:b].tolist() for _, ids, o in e.batches(pa.array(texts)) for a, b in zip(o[:-1], o[1:], strict=True)]
+    assert got == [x.ids for x in Tokenizer.from_file(path).encode_batch(texts, add_special_tokens=False)]
+
+
 def test_contractions_and_spaces(enc):
     texts = ["I'm don't we'll 'tis ''s ' s", "a  b   c ", "x'", "'", "  ", "it's\n\n  it'd", "the'rest 'd"]
     got = [ids[a:b].tolist() for _, ids, o in enc.batches(pa.array(texts)) for a, b in zip(o[:-1], o[1:], strict=True)]
@@ -269,6 +288,14 @@ def test_coder_blocks(n):
 
 
 def test_damage_is_seen():
+    x = np.random.default_rng(3).zipf(1.3, 5000).clip(0, 60_000).astype(np.uint32)
+    one = tokenbin.encode(x, [None, 7], [4000, 1000])
+    for k in range(-(-len(x) // tokenbin.BLOCK)):
+        assert (tokenbin.decode_block(one, k) == x[k * tokenbin.BLOCK : (k + 1) * tokenbin.BLOCK]).all()
+    held = tokenbin.Segment(one)
+    assert held.doc_ids.to_pylist() == [None, 7] and held.sizes.tolist() == [4000, 1000]
+    many = np.random.default_rng(4).permutation(300_000).astype(np.uint32)
+    assert (tokenbin.decode(tokenbin.encode(many)) == many).all()
     data = bytearray(tokenbin.encode(np.arange(5000, dtype=np.uint32) % 100))
     data[len(data) // 2] ^= 1
     with pytest.raises(ValueError):

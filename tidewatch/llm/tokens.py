@@ -2,13 +2,17 @@
 
 Most words of a corpus recur, and a byte-level BPE encodes each pre-token on its own. So a batch
 of texts is cut into pre-tokens with array operations, each distinct pre-token goes through the
-library's model once, and the ids are gathered back. ``tests/llm`` holds the result against the
-library's own encoding of the whole texts.
+library's model once, and the ids are gathered back. Strings of added tokens in a text become
+those tokens, as the library does. A tokenizer file of any other make (normalizer, pre-tokenizer,
+model) goes through the library text by text. ``tests/llm`` holds the result against the library's
+own encoding of the whole texts.
 """
 
 from __future__ import annotations
 
+import json
 import os
+import re
 from codecs import charmap_decode
 from collections.abc import Iterator
 
@@ -17,7 +21,7 @@ import pyarrow as pa
 
 END_ID = 2
 #: Distinct pre-tokens whose ids a worker remembers; at more it starts afresh.
-REMEMBERED = 600_000
+REMEMBERED = 300_000
 #: Bytes of text whose distinct pre-tokens are sought together, and that are cut at a time; a longer text stays whole.
 SLICE_BYTES, CUT_BYTES = 3 << 20, 1 << 17
 
@@ -40,8 +44,14 @@ class Encoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
+        made = json.loads(self.tokenizer.to_str())
+        cutter, added = made["pre_tokenizer"] or {}, made["added_tokens"]
+        plain = not any(t["single_word"] or t["lstrip"] or t["rstrip"] or t["normalized"] for t in added)
+        #: Whether pre-tokens can be cut here; else the library encodes whole texts.
+        self.cuts_here = plain and made["normalizer"] is None and cutter.get("type") == "ByteLevel" and cutter.get("use_regex") and not cutter.get("add_prefix_space") and made["model"]["type"] == "BPE" and not made["model"].get("dropout")
         self.model, self.cutter = self.tokenizer.model, self.tokenizer.pre_tokenizer
+        self.added = {t["content"].encode(): t["id"] for t in added}
+        self.find_added = re.compile(b"|".join(re.escape(t) for t in sorted(self.added, key=len, reverse=True))) if self.added else None
         self.alphabet = _byte_alphabet()
         self.classes = np.full(0x110000, _UNKNOWN, np.uint8)
         self._forget()
@@ -67,7 +77,7 @@ class Encoder:
         tokenize, alphabet, at = self.model.tokenize, self.alphabet, len(self.pool)
         for k, place in enumerate(found):
             if place is None:
-                ids += [t.id for t in tokenize(charmap_decode(words[k], "strict", alphabet)[0])]
+                ids += [t.id for t in tokenize(charmap_decode(words[k], "strict", alphabet)[0])] if words[k] not in self.added else [self.added[words[k]]]
                 ends.append(at + len(ids))
                 found[k] = self.places[words[k]] = len(self.places)
         if ends:
@@ -136,6 +146,11 @@ class Encoder:
         n = len(texts)
         if not n:
             return
+        if not self.cuts_here:
+            for row in range(0, n, 256):
+                found = [x.ids for x in self.tokenizer.encode_batch(texts.slice(row, 256).to_pylist(), add_special_tokens=False)]
+                yield row, np.array([i for ids in found for i in ids], np.uint32), np.cumsum([0, *map(len, found)])
+            return
         data = np.frombuffer(texts.buffers()[2] or b"", np.uint8)
         offsets = np.frombuffer(texts.buffers()[1], np.int64)[texts.offset : texts.offset + n + 1]
         row = 0
@@ -145,10 +160,22 @@ class Encoder:
             yield row, *self._encode(data[offsets[row] : offsets[upto]], at)
             row = upto
 
+    def _added(self, raw: np.ndarray, at: np.ndarray) -> np.ndarray:
+        """(start, end) of each added token's string inside of a text."""
+        body = raw.tobytes() if self.added else b""
+        if not any(t in body for t in self.added):
+            return np.empty((0, 2), np.int64)
+        return np.array([(a + m.start(), a + m.end()) for a, b in zip(at[:-1].tolist(), at[1:].tolist(), strict=True) for m in self.find_added.finditer(body[a:b])], np.int64).reshape(-1, 2)
+
     def _encode(self, raw: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         if not len(raw):
             return np.empty(0, np.uint32), np.zeros(len(at), np.int64)
-        cuts = np.concatenate(list(self._pieces(raw, np.unique(at))))
+        added = self._added(raw, at)
+        # An added token parts what stands before and behind it, as the ends of texts do.
+        cuts = np.concatenate(list(self._pieces(raw, np.unique(np.concatenate([at, added.ravel()])))))
+        if len(added):
+            owner = np.searchsorted(added[:, 0], cuts, "right") - 1
+            cuts = cuts[(owner < 0) | (cuts == added[owner, 0]) | (cuts >= added[owner, 1])]
         edges = np.append(cuts, len(raw)).astype(np.int32)
         words = pa.Array.from_buffers(pa.binary(), len(cuts), [None, pa.py_buffer(edges), pa.py_buffer(np.ascontiguousarray(raw))]).dictionary_encode()
         found = words.dictionary
