@@ -210,65 +210,78 @@ def test_clean_documents_stay(spark):
 # 4 --------------------------------------------------------------------------------------------
 
 
-def kneser_ney(counts):
-    """The model again, cell by cell."""
-    s = quality.SYMBOLS
-    three = {k: n for k, n in counts.items()}
-    two, one = collections.Counter(k % s**2 for k in three), collections.Counter()
-    for k in two:
-        one[k % s] += 1
-
-    def level(c, context):
+def kneser_ney(texts):
+    """The model again, with tuples of symbols for n-grams and dictionaries for tables."""
+    n, size = quality.ORDER, quality.SYMBOLS
+    levels = {n: collections.Counter(g for t in texts for g in grams_of(t))}
+    for k in range(n - 1, 0, -1):
+        levels[k] = collections.Counter(g[1:] for g in levels[k + 1])
+    share, weight = {}, {}
+    for c in levels.values():
         of = collections.Counter(c.values())
-        y = of[1] / (of[1] + 2 * of[2]) if of[1] + 2 * of[2] else 0.0
-        d = {k: max(0.0, k - (k + 1) * y * of[k + 1] / of[k]) if of[k] and y else 0.5 for k in (1, 2, 3)}
-        total, given_ = collections.Counter(), collections.Counter()
-        for k, n in c.items():
-            total[context(k)] += n
-            given_[context(k)] += d[min(n, 3)]
-        return {k: (n - d[min(n, 3)]) / total[context(k)] for k, n in c.items()}, {c: given_[c] / total[c] for c in total}
-
-    s3, w3 = level(three, lambda k: k // s)
-    s2, w2 = level(two, lambda k: k // s)
-    s1, w1 = level(one, lambda k: 0)
-
-    def logp(k):
-        ab, bc, c = k // s, k % s**2, k % s
-        p1 = s1.get(c, 0.0) + w1.get(0, 1.0) / s
-        p2 = s2.get(bc, 0.0) + w2.get(bc // s, 1.0) * p1
-        return math.log(max(s3.get(k, 0.0) + w3.get(ab, 1.0) * p2, 1e-9))
+        y = of[1] / (of[1] + 2 * of[2]) if of[1] else 0.0
+        d = {j: max(0.0, j - (j + 1) * y * of[j + 1] / of[j]) if of[j] and of[1] else 0.5 for j in (1, 2, 3)}
+        total, left = collections.Counter(), collections.Counter()
+        for g, m in c.items():
+            total[g[:-1]] += m
+            left[g[:-1]] += d[min(m, 3)]
+        share |= {g: (m - d[min(m, 3)]) / total[g[:-1]] for g, m in c.items()}
+        weight |= {g: left[g] / total[g] for g in total}
+
+    def logp(gram):
+        p = 1 / size
+        for k in range(1, n + 1):
+            p = share.get(gram[n - k :], 0.0) + weight.get(gram[n - k : -1], 1.0) * p
+        return math.log(max(p, 1e-9))
 
     return logp
 
 
-def keys_of(text):
-    codes = [quality.EDGE] * 2 + [int(quality.symbols()[ord(c)]) if ord(c) < 65536 else quality.OTHER for c in text] + [quality.EDGE]
-    return [(codes[i - 2] * 64 + codes[i - 1]) * 64 + codes[i] for i in range(2, len(codes))]
+def grams_of(text):
+    """Each symbol, and the end, with what stands before it."""
+    point = lambda c: max(ord(c), 1) if ord(c) < 1024 else 1024 + ord(c) % (quality.SYMBOLS - 1024)
+    codes = [0] * (quality.ORDER - 1) + [point(c) for c in text] + [0]
+    return [tuple(codes[k : k + quality.ORDER]) for k in range(len(codes) - quality.ORDER + 1)]
 
 
-def test_quality(spark):
+def test_quality(spark, monkeypatch):
     rng = random.Random(2)
-    good = [(k, " ".join(rng.choices(["the", "house", "stands", "on", "a", "hill", "été"], k=20))) for k in range(80)]
-    bad = [(100 + k, "".join(rng.choices("XQ!%$#09", k=60))) for k in range(10)]
-    rows = [*good, *bad, (200, None), (201, ""), (None, "the house"), (5, good[5][1])]
-    labels = spark.createDataFrame([(d, 1, 0, "x") for d, _ in good] + [(100, 0, 0, "x"), (3, 0, 0, "x"), (None, 1, 0, "x")], "doc_id long, quality int, toxic int, key string")
+    good = [(k, " ".join(rng.choices(["the", "house", "stands", "on", "a", "hill", "été", "日本", "😀"], k=20))) for k in range(120)]
+    bad = [(1000 + k, "".join(rng.choices("XQ!%$#09", k=60))) for k in range(10)]
+    rows = [*good, *bad, (2000, None), (2001, ""), (None, "the house"), (5, good[5][1]), (1003, good[6][1]), (2002, "the house " * 70_000)]
+    labels = spark.createDataFrame([(d, 1, 0, "x") for d, _ in good] + [(1000, 0, 0, "x"), (3, 0, 0, "x"), (None, 1, 0, "x"), (None, None, 0, "x")], "doc_id long, quality int, toxic int, key string")
     got = collections.defaultdict(list)
     for r in quality.judge(docs_of(spark, rows), labels).collect():
         got[r.doc_id].append(r)
-    counts = collections.Counter(k for _, t in [*good, good[5]] for k in keys_of(t))
-    logp = kneser_ney(counts)
+    back = {r.id for r in spark.range(200).where(F.pmod(F.xxhash64("id"), F.lit(quality.HELD_BACK)) == 0).collect()}
+    logp = kneser_ney([t for d, t in rows if d is not None and d < 1000 and d not in back])
+    want = lambda t: math.exp(-sum(map(logp, grams_of(t))) / len(grams_of(t)))
     for d, t in [*good, *bad]:
-        ks = keys_of(t)
-        assert got[d][0].perplexity == pytest.approx(math.exp(-sum(map(logp, ks)) / len(ks)), abs=2e-6)
-    assert not any(got[d][0].kept for d, _ in bad) and not got[200][0].kept and not got[201][0].kept
-    assert sum(got[d][0].kept for d, _ in good) >= 78 and len(got[5]) == 2 and len(got[None]) == 1
+        assert want(t) in [pytest.approx(r.perplexity, abs=2e-5) for r in got[d]]
+    assert not any(r.kept for d, _ in bad for r in got[d] if r.n_symbols == 61) and not got[2000][0].kept and not got[2001][0].kept
+    assert sum(got[d][0].kept for d, _ in good) >= 110 and len(got[5]) == 2 and len(got[None]) == 1 and got[2002][0].n_symbols == 700_001
     kept = quality.good_documents(docs_of(spark, rows), labels)
-    assert kept.columns == docs_of(spark, rows).columns and 100 not in {r.doc_id for r in kept.collect()}
+    assert kept.columns == docs_of(spark, rows).columns and 1000 not in {r.doc_id for r in kept.collect()}
+    # Of two texts of one id, the bad one goes.
+    assert {r.text for r in kept.where("doc_id = 1003").collect()} == {good[6][1]}
     assert quality.judge(docs_of(spark, []), labels).count() == 0
     none = labels.where("false")
     assert quality.judge(docs_of(spark, rows), none).where("kept").count() == len(rows) - 2
 
 
+def test_quality_of_several_languages(spark):
+    """Each language with enough trusted texts has a model of its own; the others share one."""
+    rng = random.Random(4)
+    words = {"xx": ["aba", "bab", "abba"], "yy": ["kek", "eke", "kekke"], "zz": ["mim", "imi"]}
+    rows = [(1000 * j + k, " ".join(rng.choices(words[lang], k=12)), lang) for j, lang in enumerate(words) for k in range(120 if lang != "zz" else 20)]
+    docs = spark.createDataFrame([*rows, (5000, rows[0][1], "yy"), (5001, rows[0][1], "xx"), (5002, rows[-1][1], None)], "doc_id long, text string, lang string")
+    labels = spark.createDataFrame([(d, 1) for d, _, _ in rows], "doc_id long, quality int")
+    got = {r.doc_id: r for r in quality.judge(docs, labels).collect()}
+    assert len(got) == docs.count()
+    assert got[5000].perplexity > 10 * got[5001].perplexity and got[5001].perplexity == got[0].perplexity
+    assert got[5002].perplexity == got[2019].perplexity and not got[5000].kept and got[5001].kept
+
+
 # 5 --------------------------------------------------------------------------------------------
 
 

@@ -1,9 +1,10 @@
-"""Quality by an interpolated modified Kneser-Ney model of trusted text.
+"""Quality by an interpolated modified Kneser-Ney model of trusted text, one for each language.
 
-The model is over trigrams of 64 character symbols, so its complete table has 64 ** 3 rows
-whatever the corpus holds. Counts of trusted text are summed in shards and joined level by level
-into that table; joining it to each text's trigram counts gives the perplexity, and a quantile of
-the trusted texts' perplexities in the same language is the threshold.
+The model is over character 5-grams of the whole Unicode range, and its tables grow with what
+trusted text holds. They are never gathered in one place: texts are taken in chunks, a chunk asks
+for the distinct n-grams it holds, a join with the sharded model answers it, and the chunk's texts
+are scored from the answers. A quantile of the perplexities of trusted texts that were held back
+from training is the threshold of their language.
 """
 
 from __future__ import annotations
@@ -12,169 +13,267 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import zstandard
 from pyspark import TaskContext
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import scratch
+from .common import discard, scratch
 
-#: The symbols; every other character belongs to a class.
-SINGLE = "abcdefghijklmnopqrstuvwxyz .,\n|!%$&*éèêëàâçîïôûœñóíúáäöüß-'"
-UPPER, DIGIT, LETTER, OTHER, EDGE = 59, 60, 61, 62, 63
-SYMBOLS = 64
-#: The share of trusted texts of a language that its threshold lets pass, and the texts it takes to set one.
+#: Symbols of an n-gram, and bits of a symbol: code points under 1024 stand for themselves, others share the rest by remainder; 0 is the edge of a text.
+ORDER, BITS = 5, 12
+SYMBOLS, SINGLE = 1 << BITS, 1024
+#: The share of trusted texts of a language that its threshold lets pass, and the texts it takes to set one or to train a model of its own.
 QUANTILE, LEAST_TRUSTED = 0.995, 50
-#: Thresholds that may be broadcast, one for each language; more are joined by a shuffle.
+#: One trusted text in so many is held back from training and sets thresholds.
+HELD_BACK = 5
+#: Thresholds and languages that may be broadcast; more are joined by a shuffle.
 BROADCAST_LINES = 10_000
-#: Characters counted at a time.
-SLICE = 2 << 20
-
-_table: np.ndarray | None = None
-
-
-def symbols() -> np.ndarray:
-    """The symbol of each code point of the first plane; later ones count as OTHER."""
-    global _table
-    if _table is None:
-        out = np.full(0x10000, OTHER, np.uint8)
-        for p in range(0x10000):
-            c = chr(p)
-            out[p] = UPPER if c.isupper() else DIGIT if c.isdigit() else LETTER if c.isalpha() else OTHER
-        for k, c in enumerate(SINGLE):
-            out[ord(c)] = k
-        _table = out
-    return _table
-
-
-def _keys(texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
-    """(text, trigram) of every character and end of some texts; each begins with two EDGE symbols and ends with one."""
-    points = np.frombuffer("".join(texts).encode("utf-32-le", "replace"), "<u4")
-    coded = np.where(points < 0x10000, symbols()[np.minimum(points, 0xFFFF)], OTHER).astype(np.int32)
-    sizes = np.fromiter(map(len, texts), np.int64, len(texts))
-    ends = np.cumsum(sizes)
-    stream = np.insert(coded, np.repeat(np.append(0, ends), 3 if len(texts) else 0)[: 3 * (len(texts) + 1)], EDGE)
-    # Text k now stands behind 3 * (k + 1) edges; the first of each three ends the text before.
-    key = stream[:-2] * (SYMBOLS * SYMBOLS) + stream[1:-1] * SYMBOLS + stream[2:]
-    starts = ends - sizes + 3 * np.arange(len(texts)) + 1
-    pick = np.ones(len(key), bool)
-    # A trigram is named by its third symbol: drop those that end on an opening edge.
-    owner = np.repeat(np.arange(len(texts)), sizes + 3)
-    at = np.arange(len(owner)) - np.repeat(ends - sizes + 3 * np.arange(len(texts)), sizes + 3)
-    pick = at >= 2
-    return owner[pick].astype(np.int64), key[np.arange(len(owner))[pick] - 1] if len(key) else key
-
-
-def _slices(texts: list[str | None]) -> Iterator[tuple[int, list[str]]]:
-    first, held, size = 0, [], 0
-    for k, t in enumerate(texts):
-        held.append(t or "")
-        size += len(held[-1])
-        if size >= SLICE or len(held) >= 4000:
-            yield first, held
-            first, held, size = k + 1, [], 0
-    if held:
-        yield first, held
-
-
-def trigrams(docs: DataFrame) -> DataFrame:
-    """Counts of each row's trigrams: rid (the row), doc_id, lang, key, n."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        rid = TaskContext.get().partitionId() << 33
-        for batch in batches:
-            for first, texts in _slices(batch.column(2).to_pylist()):
-                owner, key = _keys(texts)
-                both, n = np.unique((owner << 18 | key).astype(np.int32) if len(texts) < 8192 else owner << 18 | key, return_counts=True)
-                doc = (both >> 18).astype(np.int64)
-                at = pa.array(doc + first)
-                yield pa.RecordBatch.from_arrays([pa.array(doc + (rid + first)), batch.column(0).take(at), batch.column(1).take(at), pa.array((both & 0x3FFFF).astype(np.int32)), pa.array(n.astype(np.int32))], ["rid", "doc_id", "lang", "key", "n"])
-            rid += batch.num_rows
-
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("lang").cast("string").alias("lang"), "text").mapInArrow(run, "rid long, doc_id long, lang string, key int, n int")
-
-
-def counts(docs: DataFrame) -> DataFrame:
-    """Trigram counts over all texts: key, n; each task folds its own before the shuffle."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros(SYMBOLS**3, np.int64)
-        for batch in batches:
-            for _, texts in _slices(batch.column(0).to_pylist()):
-                total += np.bincount(_keys(texts)[1], minlength=SYMBOLS**3)
-        there = np.flatnonzero(total)
-        yield pa.RecordBatch.from_arrays([pa.array(there.astype(np.int32)), pa.array(total[there])], ["key", "n"])
-
-    return docs.select("text").mapInArrow(run, "key int, n long").groupBy("key").agg(F.sum("n").alias("n"))
-
-
-def _discounted(level: DataFrame, context: Column, name: str) -> DataFrame:
-    """Modified Kneser-Ney at one level (columns key, n): adds the discounted share of its context, and the context's weight for the level below."""
-    of = level.agg(*[F.coalesce(F.sum((F.col("n") == k).cast("int")), F.lit(0)).cast("double").alias(f"n{k}") for k in (1, 2, 3, 4)])
-    y = F.when(F.col("n1") + 2 * F.col("n2") > 0, F.col("n1") / (F.col("n1") + 2 * F.col("n2"))).otherwise(0.0)
-    d = lambda k: F.when((F.col(f"n{k}") > 0) & (y > 0), F.greatest(F.lit(0.0), k - (k + 1) * y * F.col(f"n{k + 1}") / F.col(f"n{k}"))).otherwise(0.5)
-    of = of.select(d(1).alias("d1"), d(2).alias("d2"), d(3).alias("d3"))
-    each = level.crossJoin(F.broadcast(of)).select(context.alias("context"), "key", "n", F.when(F.col("n") == 1, F.col("d1")).when(F.col("n") == 2, F.col("d2")).otherwise(F.col("d3")).alias("d"))
-    contexts = each.groupBy("context").agg(F.sum("n").alias("total"), F.sum("d").alias("given"))
-    return each.join(contexts, "context").select("key", ((F.col("n") - F.col("d")) / F.col("total")).alias(f"share{name}")), contexts.select(F.col("context").alias(f"context{name}"), (F.col("given") / F.col("total")).alias(f"weight{name}"))
+#: Symbols of a chunk, symbols that all open chunks of a task may hold, and symbols worked on at a time.
+CHUNK, OPEN, WINDOW = 12 << 20, 24 << 20, 1 << 19
 
+CHUNKS = "chunk long, lang string, doc_ids array<long>, which array<long>, sizes array<long>, blob binary, keys array<long>"
 
-def model(counted: DataFrame) -> DataFrame:
-    """The complete table (key, logp) of 64 ** 3 rows from trigram counts (key, n)."""
-    spark = counted.sparkSession
-    two = counted.groupBy((F.col("key") % SYMBOLS**2).alias("key")).agg(F.count("*").alias("n"))
-    one = two.groupBy((F.col("key") % SYMBOLS).alias("key")).agg(F.count("*").alias("n"))
-    s3, w3 = _discounted(counted, F.floor(F.col("key") / SYMBOLS), "3")
-    s2, w2 = _discounted(two, F.floor(F.col("key") / SYMBOLS), "2")
-    s1, w1 = _discounted(one, F.lit(0), "1")
-    full = spark.range(SYMBOLS**3).select(F.col("id").cast("int").alias("key"))
-    full = full.withColumns({"ab": F.floor(F.col("key") / SYMBOLS), "bc": F.col("key") % SYMBOLS**2, "c": F.col("key") % SYMBOLS})
-    full = full.withColumn("b", F.floor(F.col("bc") / SYMBOLS))
-    full = full.join(s3, "key", "left").join(w3, F.col("ab") == F.col("context3"), "left")
-    full = full.join(s2.withColumnRenamed("key", "bc"), "bc", "left").join(w2, F.col("b") == F.col("context2"), "left")
-    full = full.join(s1.withColumnRenamed("key", "c"), "c", "left").join(F.broadcast(w1), F.col("context1") == F.lit(0), "left")
-    zero, all_ = F.lit(0.0), F.lit(1.0)
-    p1 = F.coalesce("share1", zero) + F.coalesce("weight1", all_) / SYMBOLS
-    p2 = F.coalesce("share2", zero) + F.coalesce("weight2", all_) * p1
-    p3 = F.coalesce("share3", zero) + F.coalesce("weight3", all_) * p2
+
+def _mask(k: int) -> int:
+    return (1 << BITS * k) - 1
+
+
+def _tag(k: int) -> int:
+    return k << BITS * ORDER
+
+
+def symbols(text: str) -> np.ndarray:
+    """The symbols of a text."""
+    points = np.frombuffer(text.encode("utf-32-le", "replace"), "<u4")
+    return np.where(points < SINGLE, np.maximum(points, 1), SINGLE + points % (SYMBOLS - SINGLE)).astype(np.uint16)
+
+
+def _grams(stream: np.ndarray, sizes: np.ndarray) -> Iterator[np.ndarray]:
+    """The ORDER-gram that ends on each symbol and on the end of each text, window by window; texts begin with edges."""
+    # Edges between the texts: ORDER - 1 before each, one behind it.
+    out = np.zeros(len(stream) + ORDER * len(sizes), np.uint16)
+    out[np.arange(len(stream)) + np.repeat(ORDER * np.arange(len(sizes)) + ORDER - 1, sizes)] = stream
+    ends = np.cumsum(sizes + ORDER)
+    keep = np.ones(len(out), bool)
+    keep[((ends - sizes - ORDER)[:, None] + np.arange(ORDER - 1)).ravel()] = False
+    for a in range(0, len(out), WINDOW):
+        seg = out[max(0, a - ORDER + 1) : a + WINDOW].astype(np.int64)
+        if a == 0:
+            seg = np.concatenate([np.zeros(ORDER - 1, np.int64), seg])
+        n = len(seg) - ORDER + 1
+        key = seg[:n].copy()
+        for j in range(1, ORDER):
+            key <<= BITS
+            key |= seg[j : j + n]
+        yield key[keep[a : a + WINDOW]]
+
+
+def _distinct(key: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(distinct values, index of each in them)."""
+    found = pa.array(key).dictionary_encode()
+    return found.dictionary.to_numpy(), found.indices.to_numpy()
+
+
+def _asked(grams: np.ndarray) -> np.ndarray:
+    """Tagged n-grams of every order that the probabilities of some ORDER-grams rest on, sorted."""
+    out = [grams | _tag(ORDER)]
+    for k in range(1, ORDER):
+        out += [np.unique(grams & _mask(k)) | _tag(k), np.unique((grams >> BITS) & _mask(k)) | _tag(k)]
+    return np.unique(np.concatenate(out))
+
+
+def _squeeze(stream: np.ndarray) -> bytes:
+    return zstandard.ZstdCompressor(level=3).compress(np.concatenate([stream.astype(np.uint8), (stream >> 8).astype(np.uint8)]).tobytes())
+
+
+def _unsqueeze(blob: bytes) -> np.ndarray:
+    raw = np.frombuffer(zstandard.ZstdDecompressor().decompress(blob), np.uint8)
+    low, high = raw[: len(raw) // 2], raw[len(raw) // 2 :]
+    return low | high.astype(np.uint16) << 8
+
+
+def _chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Texts of one language by the chunk, with the n-grams that they ask for."""
+    number = TaskContext.get().partitionId() << 33
+    held: dict[str | None, list[tuple]] = {}
+    sizes: dict[str | None, int] = {}
+
+    def flush(lang: str | None) -> pa.RecordBatch:
+        nonlocal number
+        docs, which, parts = zip(*held.pop(lang), strict=True)
+        del sizes[lang]
+        stream, n = np.concatenate(parts), np.array([len(p) for p in parts], np.int64)
+        grams = np.unique(np.concatenate([_distinct(key)[0] for key in _grams(stream, n)]))
+        row = [[number], [lang], [list(docs)], [list(which)], [n], [_squeeze(stream)], [_asked(grams)]]
+        number += 1
+        types = [pa.int64(), pa.string(), pa.list_(pa.int64()), pa.list_(pa.int64()), pa.list_(pa.int64()), pa.binary(), pa.list_(pa.int64())]
+        return pa.RecordBatch.from_arrays([pa.array(v, t) for v, t in zip(row, types, strict=True)], ["chunk", "lang", "doc_ids", "which", "sizes", "blob", "keys"])
+
+    for batch in batches:
+        for doc, lang, text, which in zip(*(batch.column(k) for k in range(4)), strict=True):
+            lang, part = lang.as_py(), symbols(text.as_py() or "")
+            held.setdefault(lang, []).append((doc.as_py(), which.as_py(), part))
+            sizes[lang] = sizes.get(lang, 0) + len(part) + ORDER
+            if sizes[lang] >= CHUNK:
+                yield flush(lang)
+            elif sum(sizes.values()) >= OPEN:
+                yield flush(max(sizes, key=sizes.__getitem__))
+    for lang in list(held):
+        yield flush(lang)
+
+
+def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Counts of the ORDER-grams of a chunk's trusted texts."""
+    for batch in batches:
+        for lang, sizes, blob, trusted in zip(*(batch.column(c) for c in ("lang", "sizes", "blob", "trusted")), strict=True):
+            stream, n = _unsqueeze(blob.as_py()), np.array(sizes.as_py(), np.int64)
+            ends = np.cumsum(n)
+            picked = sorted(trusted.as_py())
+            some = np.concatenate([stream[ends[k] - n[k] : ends[k]] for k in picked])
+            parts = []
+            for key in _grams(some, n[picked]):
+                grams, at = _distinct(key)
+                parts.append((grams, np.bincount(at, minlength=len(grams))))
+            grams, at = np.unique(np.concatenate([g for g, _ in parts]), return_inverse=True)
+            total = np.bincount(at, np.concatenate([c for _, c in parts])).astype(np.int64)
+            yield pa.RecordBatch.from_arrays([pa.array([lang.as_py()] * len(grams), pa.string()), pa.array(grams | _tag(ORDER)), pa.array(total)], ["lang", "key", "n"])
+
+
+def log_probabilities(grams: np.ndarray, keys: np.ndarray, share: np.ndarray, weight: np.ndarray) -> np.ndarray:
+    """Log probability of the last symbol of each ORDER-gram after the others, from a table of tagged n-grams sorted by key."""
+
+    def look(q: np.ndarray, values: np.ndarray, default: float) -> np.ndarray:
+        if not len(keys):
+            return np.full(len(q), default)
+        at = np.minimum(np.searchsorted(keys, q), len(keys) - 1)
+        return np.where(keys[at] == q, values[at], default)
+
+    p = np.full(len(grams), 1 / SYMBOLS)
+    for k in range(1, ORDER + 1):
+        context = (grams >> BITS) & _mask(k - 1) | _tag(k - 1)
+        # A context that was never seen leaves everything to the order below.
+        p = look(grams & _mask(k) | _tag(k), share, 0.0) + look(context, weight, 1.0) * p
     # A discount of zero leaves no weight for what was not seen; the floor keeps every text finite.
-    return full.select("key", F.log(F.greatest(p3, F.lit(1e-9))).alias("logp"))
+    return np.log(np.maximum(p, 1e-9))
 
 
-def judge(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """Perplexity and verdict of each row: doc_id, lang, n_symbols, perplexity, threshold, kept.
+def _score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for lang, docs, which, sizes, blob, told in zip(*(batch.column(c) for c in ("lang", "doc_ids", "which", "sizes", "blob", "told")), strict=True):
+            stream, n = _unsqueeze(blob.as_py()), np.array(sizes.as_py(), np.int64)
+            windows = [_distinct(key) for key in _grams(stream, n)]
+            grams = np.unique(np.concatenate([g for g, _ in windows]))
+            if told.is_valid and len(told.values):
+                key, share, weight = (told.values.field(c).to_numpy() for c in ("key", "share", "weight"))
+                order = np.argsort(key)
+                key, share, weight = key[order], share[order], weight[order]
+            else:
+                key, share, weight = np.empty(0, np.int64), np.empty(0), np.empty(0)
+            # The empty context stands under every chunk's own order 1: its weight comes with the answers.
+            logs = log_probabilities(grams, key, share, weight)
+            each = np.concatenate([logs[np.searchsorted(grams, g)][at] for g, at in windows])
+            first = np.cumsum(n + 1) - (n + 1)
+            total = np.add.reduceat(each, first)
+            m = len(n)
+            yield pa.RecordBatch.from_arrays([docs.values, which.values, pa.array([lang.as_py()] * m, pa.string()), pa.array(n + 1), pa.array(total)], ["doc_id", "which", "lang", "n_symbols", "logp"])
+
+
+def model(counted: DataFrame) -> DataFrame:
+    """The model's table (grp, key, share, weight) from counts of tagged ORDER-grams (grp, key, n).
 
-    Trusted are texts labelled quality 1 (of an id labelled twice, the larger label counts). A
-    language with fewer than LEAST_TRUSTED of them, and null, take the threshold of all trusted
-    texts; without trusted text nothing is rejected. Null and empty texts have no perplexity and
-    are rejected. Repeated rows are judged each; other columns play no part; no rows give no rows.
+    share: the discounted share of an n-gram in its context; weight: what its discounts leave to
+    the order below where it is a context itself, null if it never is.
     """
-    trusted = labels.groupBy(F.col("doc_id").cast("long").alias("trusted_id")).agg(F.max("quality").alias("quality")).where("quality = 1").select("trusted_id")
-    texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("lang").cast("string").alias("lang"), "text")
-    # The same join at every size: ids by shuffle, whether or not they would fit a broadcast today.
-    counted = scratch(counts(texts.join(trusted.hint("merge"), F.col("doc_id") == F.col("trusted_id"), "left_semi").where("text != ''")), "counts")
+    level, out = counted, None
+    for k in range(ORDER, 0, -1):
+        context = (F.shiftright("key", BITS).bitwiseAND(F.lit(_mask(k - 1)))).bitwiseOR(F.lit(_tag(k - 1)))
+        of = level.groupBy("grp").agg(*[F.sum((F.col("n") == j).cast("int")).cast("double").alias(f"n{j}") for j in (1, 2, 3, 4)])
+        y = F.col("n1") / (F.col("n1") + 2 * F.col("n2"))
+        d = lambda j: F.when((F.col(f"n{j}") > 0) & (F.col("n1") > 0), F.greatest(F.lit(0.0), j - (j + 1) * y * F.col(f"n{j + 1}") / F.col(f"n{j}"))).otherwise(0.5)
+        of = of.select(F.col("grp").alias("of_grp"), d(1).alias("d1"), d(2).alias("d2"), d(3).alias("d3"))
+        each = level.join(of, F.col("grp") == F.col("of_grp")).select("grp", context.alias("context"), "key", "n", F.when(F.col("n") == 1, F.col("d1")).when(F.col("n") == 2, F.col("d2")).otherwise(F.col("d3")).alias("d"))
+        contexts = each.groupBy("grp", "context").agg(F.sum("n").alias("total"), F.sum("d").alias("given"))
+        shares = each.join(contexts, ["grp", "context"]).select("grp", "key", ((F.col("n") - F.col("d")) / F.col("total")).alias("share"), F.lit(None).cast("double").alias("weight"))
+        weights = contexts.select("grp", F.col("context").alias("key"), F.lit(None).cast("double").alias("share"), (F.col("given") / F.col("total")).alias("weight"))
+        both = shares.unionByName(weights)
+        out = both if out is None else out.unionByName(both)
+        if k == 1:
+            break
+        # The count of a shorter n-gram: how many symbols it follows.
+        level = scratch(level.groupBy("grp", (F.col("key").bitwiseAND(F.lit(_mask(k - 1)))).bitwiseOR(F.lit(_tag(k - 1))).alias("key")).agg(F.count("*").alias("n")), f"order{k - 1}")
+    return out.groupBy("grp", "key").agg(F.max("share").alias("share"), F.max("weight").alias("weight"))
+
+
+def _texts(docs: DataFrame) -> DataFrame:
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("lang").cast("string").alias("lang"), "text", which(docs).alias("which"))
+
+
+def which(docs: DataFrame):
+    """Tells rows that share a doc_id apart."""
+    return F.xxhash64(F.coalesce(docs["text"], F.lit("")), F.coalesce(docs["lang"].cast("string"), F.lit("")))
+
+
+def judged(docs: DataFrame, labels: DataFrame) -> DataFrame:
+    """As ``judge``, with which (see there) for each row."""
+    trusted = labels.groupBy(F.col("doc_id").cast("long").alias("trusted_id")).agg(F.max("quality").alias("quality")).where("quality = 1 and trusted_id is not null").select("trusted_id")
+    trusted = trusted.withColumn("back", F.pmod(F.xxhash64("trusted_id"), F.lit(HELD_BACK)) == 0)
+    texts = _texts(docs)
+    chunks = scratch(texts.select("doc_id", "lang", "text", "which").mapInArrow(_chunks, CHUNKS), "chunks")
+
+    # Where the texts to train on stand in the chunks. The same join at every size: ids by shuffle, whether or not they would fit a broadcast today.
+    placed = chunks.select("chunk", "lang", F.posexplode("doc_ids").alias("pos", "doc_id")).join(trusted.where("not back").hint("merge"), F.col("doc_id") == F.col("trusted_id"), "left_semi")
+    placed = scratch(placed.groupBy("chunk", "lang").agg(F.collect_list("pos").alias("trusted")), "placed")
+    own = placed.where("lang is not null").groupBy(F.col("lang").alias("own_lang")).agg(F.sum(F.size("trusted")).alias("texts")).where(F.col("texts") >= LEAST_TRUSTED).select("own_lang")
+    own = scratch(own, "own")
+    few = own.count() <= BROADCAST_LINES
+
+    def with_group(df: DataFrame) -> DataFrame:
+        """grp: a language with a model of its own, or the one that all others share."""
+        return df.join(F.broadcast(own) if few else own, F.col("lang") == F.col("own_lang"), "left").withColumn("grp", F.coalesce("own_lang", F.lit(""))).drop("own_lang")
+
+    counts = chunks.select("chunk", "sizes", "blob").join(placed, "chunk").select("lang", "sizes", "blob", "trusted").mapInArrow(_count, "lang string, key long, n long")
+    counted = scratch(with_group(counts).groupBy("grp", "key").agg(F.sum("n").alias("n")), "counts")
     table = scratch(model(counted), "model")
-    scored = (
-        trigrams(texts)
-        .join(F.broadcast(table), "key")  # 64 ** 3 rows, whatever the corpus holds
-        .groupBy("rid", "doc_id", "lang")
-        .agg(F.sum(F.col("n") * F.col("logp")).alias("logp"), F.sum("n").alias("n_symbols"))
-    )
+
+    asked = with_group(chunks.select("chunk", "lang", F.explode("keys").alias("key")))
+    root = with_group(chunks.select("chunk", "lang")).select("chunk", "grp", F.lit(_tag(0)).cast("long").alias("key"))
+    told = asked.select("chunk", "grp", "key").unionByName(root).join(table, ["grp", "key"])
+    told = told.groupBy("chunk").agg(F.collect_list(F.struct("key", F.coalesce("share", F.lit(0.0)).alias("share"), F.coalesce("weight", F.lit(1.0)).alias("weight"))).alias("told"))
+    scored = chunks.select("chunk", "lang", "doc_ids", "which", "sizes", "blob").join(told, "chunk", "left").drop("chunk").mapInArrow(_score, "doc_id long, which long, lang string, n_symbols long, logp double")
     perplexity = F.when(F.col("n_symbols") > 1, F.round(F.exp(-F.col("logp") / F.col("n_symbols")), 6))
-    scored = scratch(scored.select("doc_id", "lang", "n_symbols", perplexity.alias("perplexity")), "scored")
-    good = scored.join(trusted, F.col("doc_id") == F.col("trusted_id"), "left_semi").where("perplexity is not null")
+    scored = scratch(scored.select("doc_id", "which", "lang", "n_symbols", perplexity.alias("perplexity")), "scored")
+    discard(chunks, placed, counted, table)
+
+    good = scored.join(trusted, F.col("doc_id") == F.col("trusted_id")).where("perplexity is not null").select("lang", "perplexity", "back")
+    # Tables with too few trusted texts to hold any back set thresholds by those that were trained on.
+    held = good.where("back") if good.where("back").limit(1).count() else good
     line = F.percentile_approx("perplexity", F.lit(QUANTILE), F.lit(20_000)).alias("line")
     # One row for each language, and one for all.
-    lines = good.groupBy(F.col("lang").alias("of_lang")).agg(line, F.count("*").alias("texts")).where((F.col("texts") >= LEAST_TRUSTED) & F.col("of_lang").isNotNull())
+    lines = held.groupBy(F.col("lang").alias("of_lang")).agg(line, F.count("*").alias("texts")).where((F.col("texts") >= LEAST_TRUSTED) & F.col("of_lang").isNotNull())
     lines = scratch(lines.select("of_lang", "line"), "lines")
-    overall = good.agg(line).withColumnRenamed("line", "all_line")
-    few = lines.count() <= BROADCAST_LINES
-    out = scored.join(F.broadcast(lines) if few else lines, F.col("lang") == F.col("of_lang"), "left").crossJoin(F.broadcast(overall))
+    overall = held.agg(line).withColumnRenamed("line", "all_line")
+    few_lines = lines.count() <= BROADCAST_LINES
+    out = scored.join(F.broadcast(lines) if few_lines else lines, F.col("lang") == F.col("of_lang"), "left").crossJoin(F.broadcast(overall))
     threshold = F.coalesce("line", "all_line")
     kept = F.col("perplexity").isNotNull() & F.coalesce(F.col("perplexity") <= threshold, F.lit(True))
-    return out.select("doc_id", "lang", "n_symbols", "perplexity", threshold.alias("threshold"), kept.alias("kept"))
+    return out.select("doc_id", "which", "lang", "n_symbols", "perplexity", threshold.alias("threshold"), kept.alias("kept"))
+
+
+def judge(docs: DataFrame, labels: DataFrame) -> DataFrame:
+    """Perplexity and verdict of each row: doc_id, lang, n_symbols, perplexity, threshold, kept.
+
+    Trusted are texts labelled quality 1 (of an id labelled twice, the larger label counts); one in
+    HELD_BACK of them, by a hash of the id, sets thresholds and trains nothing. A language with
+    fewer than LEAST_TRUSTED texts to train on, and null, share one model; one with fewer held back
+    takes the threshold of all of those. Without trusted text nothing is rejected. Null and empty
+    texts have no perplexity and are rejected. Repeated rows are judged each; other columns play no
+    part; no rows give no rows.
+    """
+    return judged(docs, labels).drop("which")
 
 
 def good_documents(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """The documents that are kept, with all their columns; rows that share a doc_id stay if one of them is kept."""
-    kept = judge(docs, labels).where("kept").select(F.col("doc_id").alias("kept_doc_id")).distinct()
-    return docs.join(kept, docs["doc_id"].cast("long").eqNullSafe(kept["kept_doc_id"]), "left_semi")
+    """The documents that are kept, with all their columns; rows that share a doc_id are judged each by its own text and language."""
+    kept = judged(docs, labels).where("kept").select(F.col("doc_id").alias("kept_doc_id"), F.col("which").alias("kept_which")).distinct()
+    return docs.join(kept, docs["doc_id"].cast("long").eqNullSafe(kept["kept_doc_id"]) & (which(docs) == kept["kept_which"]), "left_semi")
