@@ -23,6 +23,8 @@ WORDS, PERCENT = 5, 75
 TREES, PICKS = 5, 2
 #: A node of at most so many documents is compared exhaustively; deeper ones than DEPTH are compared in blocks.
 SMALL, DEPTH = 192, 4
+#: Of a node compared in blocks: documents apart from the leader that a task holds, and others that it meets at a time.
+GUESTS, HOSTS = 512, 256
 #: Coordinates of a sketch. Pairs whose sketches agree less than CUTOFF lie four deviations under the threshold.
 COORDS, CUTOFF = 128, 0.6
 #: Bytes of text hashed at a time.
@@ -134,62 +136,129 @@ def _branch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(child)), pa.array(np.tile(batch.column("rep").to_numpy(), PICKS))], ["node", "rep"])
 
 
-def _compare(every: bool):
-    """Pairs in one node whose sketches agree enough and that are in different components.
+class _Rows:
+    """Documents of one node: their numbers, components, sizes and sketches, and their full sets where they come along."""
 
-    All of them, or a forest of those that agree most, which holds every document with a partner.
-    Documents of one side that is not 0 are not compared with each other: that is done elsewhere.
-    """
+    def __init__(self, batch: pa.RecordBatch):
+        self.rep, self.n, self.comp = (batch.column(c).to_numpy() for c in ("rep", "n", "comp"))
+        self.values = np.frombuffer(b"".join(batch.column("sketch").to_pylist()), np.uint16).reshape(-1, COORDS)
+        if "members" in batch.schema.names:
+            held = batch.column("members")
+            self.flat, self.ends = held.values.to_numpy(), held.offsets.to_numpy()
 
-    def pairs(rep: np.ndarray, n: np.ndarray, comp: np.ndarray, side: np.ndarray, values: np.ndarray) -> list[tuple[int, int]]:
-        size = len(rep)
-        agree = np.zeros((size, size), np.float32)
-        step = max(1, (1 << 20) // (size * COORDS))
-        for a in range(0, size, step):
-            agree[a : a + step] = (values[a : a + step, None, :] == values[None, :, :]).mean(2)
-        ratio = 100 * np.minimum(n[:, None], n[None, :]) >= PERCENT * np.maximum(n[:, None], n[None, :])
-        agree[(comp[:, None] == comp[None, :]) | ~ratio | ((side[:, None] == side[None, :]) & (side > 0)[:, None]) | (agree < CUTOFF)] = -1
-        if every:
-            i, j = np.nonzero(np.triu(agree >= 0, 1))
-            return list(zip(rep[i].tolist(), rep[j].tolist(), strict=True))
-        out = []
-        # Grow a tree by the outside document that agrees most with an inside one.
-        best, source, outside = np.full(size, -1, np.float32), np.zeros(size, np.int64), (agree >= 0).any(1)
+    def members(self, k: int) -> np.ndarray:
+        return self.flat[self.ends[k] : self.ends[k + 1]]
+
+    def agreement(self, other: _Rows) -> np.ndarray:
+        """Share of coordinates that agree, for pairs that may be links and are in different components; -1 for others."""
+        agree = np.empty((len(self.rep), len(other.rep)), np.float32)
+        step = max(1, (1 << 20) // (len(other.rep) * COORDS))
+        for a in range(0, len(self.rep), step):
+            agree[a : a + step] = (self.values[a : a + step, None, :] == other.values[None, :, :]).mean(2)
+        near = 100 * np.minimum(self.n[:, None], other.n[None, :]) >= PERCENT * np.maximum(self.n[:, None], other.n[None, :])
+        agree[(self.comp[:, None] == other.comp[None, :]) | ~near | (agree < CUTOFF)] = -1
+        return agree
+
+
+def _runs(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, int, pa.RecordBatch]]:
+    """(node, side, rows) of stretches of rows that are alike in both."""
+    for batch in batches:
+        node, side = batch.column("node").to_numpy(), batch.column("side").to_numpy()
+        cuts = np.flatnonzero((np.diff(node) != 0) | (np.diff(side) != 0)) + 1
+        for a, b in zip([0, *cuts.tolist()], [*cuts.tolist(), len(node)], strict=True):
+            if b > a:
+                yield int(node[a]), int(side[a]), batch.slice(a, b - a)
+
+
+def _whole(parts: list[pa.RecordBatch]) -> _Rows:
+    return _Rows(pa.Table.from_batches(parts).combine_chunks().to_batches()[0] if len(parts) > 1 else parts[0])
+
+
+def _pairs(rows: list[tuple[int, int]]) -> pa.RecordBatch:
+    cols = list(zip(*rows, strict=True)) if rows else [[], []]
+    return pa.RecordBatch.from_arrays([pa.array(cols[0], pa.int64()), pa.array(cols[1], pa.int64())], ["a", "b"])
+
+
+def _forest(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows sorted by node: a forest of the pairs of each node that agree most; it holds every document with a partner."""
+
+    def grow(rows: _Rows) -> list[tuple[int, int]]:
+        agree, out = rows.agreement(rows), []
+        best, source, outside = np.full(len(agree), -1, np.float32), np.zeros(len(agree), np.int64), (agree >= 0).any(1)
         while outside.any():
+            # The outside document that agrees most with an inside one.
             k = int(np.where(outside, best, -2).argmax())
             if best[k] >= 0:
-                out.append((int(rep[source[k]]), int(rep[k])))
+                out.append((int(rows.rep[source[k]]), int(rows.rep[k])))
             outside[k] = False
             closer = agree[k] > best
             best[closer], source[closer] = agree[k][closer], k
         return out
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        rest: pa.Table | None = None
-
-        def close(t: pa.Table) -> pa.RecordBatch:
-            node, rep, n, comp, side = (t.column(c).to_numpy() for c in ("node", "rep", "n", "comp", "side"))
-            values = np.frombuffer(b"".join(t.column("sketch").to_pylist()), np.uint16).reshape(-1, COORDS)
-            cuts = np.concatenate([[0], np.flatnonzero(np.diff(node)) + 1, [len(node)]])
+    out: list[tuple[int, int]] = []
+    current, held = None, []
+    for node, _, part in _runs(batches):
+        if node != current and held:
+            out += grow(_whole(held))
+            held = []
+        current = node
+        held.append(part)
+        if len(out) > 20_000:
+            yield _pairs(out)
             out = []
-            for a, b in zip(cuts[:-1].tolist(), cuts[1:].tolist(), strict=True):
-                if b - a > 1:
-                    out += pairs(rep[a:b], n[a:b], comp[a:b], side[a:b], values[a:b])
-            cols = list(zip(*out, strict=True)) if out else [[], []]
-            return pa.RecordBatch.from_arrays([pa.array(cols[0], pa.int64()), pa.array(cols[1], pa.int64())], ["a", "b"])
+    if held:
+        out += grow(_whole(held))
+    yield _pairs(out)
 
-        for batch in batches:
-            t = pa.Table.from_batches([batch])
-            t = pa.concat_tables([rest, t]).combine_chunks() if rest is not None and rest.num_rows else t
-            node = t.column("node").to_numpy()
-            whole = int(np.searchsorted(node, node[-1])) if len(node) else 0
-            if whole:
-                yield close(t.slice(0, whole))
-            rest = t.slice(whole)
-        if rest is not None and rest.num_rows:
-            yield close(rest)
 
-    return run
+def _linked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows sorted by node and side: links between components, confirmed on the full sets, as few as join them.
+
+    Documents of side 0 are compared with each other. Those of side 1 are held while those of side
+    2 pass by, however many they are.
+    """
+    root: dict[int, int] = {}
+
+    def find(c: int) -> int:
+        while (up := root.get(c, c)) != c:
+            root[c] = root.get(up, up)
+            c = up
+        return c
+
+    def compare(x: _Rows, y: _Rows) -> list[tuple[int, int]]:
+        agree = x.agreement(y)
+        i, j = np.nonzero(agree >= 0) if x is not y else np.nonzero(np.triu(agree >= 0, 1))
+        order = np.argsort(-agree[i, j], kind="stable")
+        out = []
+        for k, m in zip(i[order].tolist(), j[order].tolist(), strict=True):
+            a, b = find(int(x.comp[k])), find(int(y.comp[m]))
+            if a == b:
+                continue
+            one, two = x.members(k), y.members(m)
+            at = np.minimum(np.searchsorted(two, one), len(two) - 1)
+            both = int((two[at] == one).sum())
+            if 100 * both >= PERCENT * (len(one) + len(two) - both):
+                root[max(a, b)] = min(a, b)
+                out.append((int(x.rep[k]), int(y.rep[m])))
+        return out
+
+    current, held, rows = None, [], None
+    for node, side, part in _runs(batches):
+        if node != current:
+            if held and rows is None:
+                rows = _whole(held)
+                yield _pairs(compare(rows, rows))
+            current, held, rows = node, [], None
+            root.clear()
+        if side < 2:
+            held.append(part)
+        elif held:
+            rows = rows or _whole(held)
+            for a in range(0, part.num_rows, HOSTS):
+                yield _pairs(compare(rows, _Rows(part.slice(a, HOSTS))))
+    if held and rows is None:
+        rows = _whole(held)
+        yield _pairs(compare(rows, rows))
 
 
 def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -197,7 +266,7 @@ def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for a in range(0, batch.num_rows, 256):
                 part = batch.slice(a, 256)
-                yield pa.RecordBatch.from_arrays([part.column(0), pa.array([s.astype(np.int64) for s in shingle_sets(_texts(part.column(1)))], pa.list_(pa.int64()))], ["rep", "members"])
+                yield pa.RecordBatch.from_arrays([part.column(0), pa.array([np.sort(s.astype(np.int64)) for s in shingle_sets(_texts(part.column(1)))], pa.list_(pa.int64()))], ["rep", "members"])
 
 
 def _sketched(docs: DataFrame) -> DataFrame:
@@ -222,7 +291,9 @@ def _components(docs: DataFrame) -> DataFrame:
         lead = crowd.where("rep = leader").select("rep", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)).alias("at"), "node", "block").where("at != block")
         own = crowd.select(in_block, "rep", F.lit(0).alias("side")).unionByName(lead.select(F.xxhash64("node", "at").alias("node"), "rep", F.lit(0).alias("side")))
         rows = rows.unionByName(own)
-    pairs = scratch(_found(rows, known, every=False), "pairs")
+    full = rows.join(known, "rep").select("node", "side", "rep", "n", "comp", "sketch")
+    found = full.repartition("node").sortWithinPartitions("node").mapInArrow(_forest, "a long, b long")
+    pairs = scratch(found.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "pairs")
     # A forest has all documents with a partner in their node; only those, and the crowded ones, are compared again.
     active = pairs.select(F.col("a").alias("rep")).union(pairs.select("b"))
     active = scratch((active if crowd is None else active.union(crowd.select("rep"))).distinct(), "active")
@@ -233,23 +304,24 @@ def _components(docs: DataFrame) -> DataFrame:
     links = _confirmed(pairs, sets)
     comps = components(links)
 
-    # Round two: whatever is still apart, all pairs of it.
-    known = scratch(active.join(known.drop("comp"), "rep").join(comps.withColumnRenamed("id", "rep").withColumnRenamed("component", "comp"), "rep", "left").withColumn("comp", F.coalesce("comp", "rep")), "known")
+    # Round two: all pairs of what is still apart. Full sets come along, so only confirmed links leave a node.
+    known = active.join(known.drop("comp"), "rep").join(comps.withColumnRenamed("id", "rep").withColumnRenamed("component", "comp"), "rep", "left").withColumn("comp", F.coalesce("comp", "rep"))
+    known = scratch(known.join(sets, "rep"), "known")
     inside = leaf.join(known.select("rep", "comp"), "rep")
     rows = inside.join(inside.groupBy("node").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo != hi").select("node"), "node", "left_semi").select("node", "rep", F.lit(0).alias("side"))
     if crowd is not None:
         inside = crowd.join(known.select("rep", "comp"), "rep")
         lead = inside.where("rep = leader").select("node", F.col("comp").alias("lead_comp"))
-        apart = inside.join(lead, "node").where("comp != lead_comp").drop("lead_comp", "comp", "leader")
-        # What is not with the leader meets every block, in blocks of its own: a task holds two blocks at a time.
-        many = apart.groupBy("node").agg(F.ceil(F.count("*") / (SMALL // 2)).cast("long").alias("guest_blocks"))
-        apart = apart.join(many, "node").withColumn("guest_block", F.pmod(F.xxhash64("rep", F.lit(1)), "guest_blocks"))
-        guests = apart.select("node", "rep", "guest_block", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)).alias("block"), F.lit(2).alias("side"))
-        hosts = crowd.join(many, "node").select("node", "rep", F.explode(F.sequence(F.lit(0).cast("long"), F.col("guest_blocks") - 1)).alias("guest_block"), "block", F.lit(1).alias("side"))
-        rows = rows.unionByName(guests.unionByName(hosts).select(F.xxhash64("node", "block", "guest_block").alias("node"), "rep", "side"))
-    more = scratch(_found(rows, known, every=True), "pairs")
+        apart = inside.join(lead, "node").where("comp != lead_comp").select("node", "rep")
+        # What is not with the leader meets all of the node, which passes by so many of them at a time.
+        many = apart.groupBy("node").agg(F.ceil(F.count("*") / GUESTS).cast("long").alias("parts"))
+        guests = apart.join(many, "node").select(F.xxhash64("node", F.pmod(F.xxhash64("rep", F.lit(1)), "parts")).alias("node"), "rep", F.lit(1).alias("side"))
+        hosts = crowd.join(many, "node").select("node", "rep", F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1)).alias("part"))
+        rows = rows.unionByName(guests).unionByName(hosts.select(F.xxhash64("node", "part").alias("node"), "rep", F.lit(2).alias("side")))
+    full = rows.join(known, "rep").select("node", "side", "rep", "n", "comp", "sketch", "members")
+    more = scratch(full.repartition("node").sortWithinPartitions("node", "side").mapInArrow(_linked, "a long, b long").distinct(), "more")
     if not more.isEmpty():
-        comps = components(links.union(_confirmed(more, sets)))
+        comps = components(links.union(more))
     named = classes.select("rep", "n", "fp1", "fp2", "doc_id").join(comps.withColumnRenamed("id", "rep"), "rep", "left").withColumn("component", F.coalesce("component", "rep"))
     least = named.groupBy("component").agg(F.min("doc_id").alias("least"))
     named = named.join(least, "component").select("n", "fp1", "fp2", F.col("component").alias("own"), F.col("least").alias("component"))
@@ -284,13 +356,6 @@ def _nodes(classes: DataFrame) -> tuple[DataFrame, DataFrame | None]:
     return scratch(leaf, "leaves"), crowd
 
 
-def _found(rows: DataFrame, known: DataFrame, every: bool) -> DataFrame:
-    """Distinct pairs (a, b) that the comparison of rows (node, rep, side) finds."""
-    full = rows.join(known, "rep").select("node", "rep", "n", "comp", "side", "sketch")
-    found = full.repartition("node").sortWithinPartitions("node").mapInArrow(_compare(every), "a long, b long")
-    return found.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
-
-
 def _confirmed(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     """The pairs whose full sets are as similar as a link asks; row by row, so that two sets are held at a time."""
     both = pairs.join(sets.select(F.col("rep").alias("b"), F.col("members").alias("y")), "b").join(sets.select(F.col("rep").alias("a"), F.col("members").alias("x")), "a")
