@@ -1,6 +1,6 @@
 """Quality by an interpolated modified Kneser-Ney model of trusted text, one for each language.
 
-The model is over character 5-grams of the whole Unicode range, and its tables grow with what
+The model is over character 4-grams of the whole Unicode range, and its tables grow with what
 trusted text holds. They are never gathered in one place: texts are taken in chunks, a chunk asks
 for the distinct n-grams it holds, a join with the sharded model answers it, and the chunk's texts
 are scored from the answers. A quantile of the perplexities of trusted texts that were held back
@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 from .common import discard, scratch
 
 #: Symbols of an n-gram, and bits of a symbol: code points under 1024 stand for themselves, others share the rest by remainder; 0 is the edge of a text.
-ORDER, BITS = 5, 12
+ORDER, BITS = 4, 12
 SYMBOLS, SINGLE = 1 << BITS, 1024
 #: The share of trusted texts of a language that its threshold lets pass, and the texts it takes to set one or to train a model of its own.
 QUANTILE, LEAST_TRUSTED = 0.995, 50
@@ -84,7 +84,7 @@ def _asked(grams: np.ndarray) -> np.ndarray:
 
 
 def _squeeze(stream: np.ndarray) -> bytes:
-    return zstandard.ZstdCompressor(level=3).compress(np.concatenate([stream.astype(np.uint8), (stream >> 8).astype(np.uint8)]).tobytes())
+    return zstandard.ZstdCompressor(level=6).compress(np.concatenate([stream.astype(np.uint8), (stream >> 8).astype(np.uint8)]).tobytes())
 
 
 def _unsqueeze(blob: bytes) -> np.ndarray:
