@@ -24,7 +24,7 @@ def shared_dir(spark: SparkSession) -> str:
 
 
 #: Seconds between two collections of the driver's garbage, which frees the shuffle files of finished jobs.
-COLLECT_EVERY = 4.0
+COLLECT_EVERY = 2.0
 _collected = 0.0
 
 
