@@ -28,12 +28,19 @@ COLLECT_EVERY = 2.0
 _collected = 0.0
 
 
+def free_shuffles(spark: SparkSession) -> None:
+    """Shuffle files of finished jobs go when the driver collects its references to them: have it do so."""
+    global _collected
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+    _collected = time.monotonic()
+
+
 def scratch(df: DataFrame, name: str, *partition_by: str) -> DataFrame:
     """Write a table to the shared folder and read it back: lineage ends there and a lost executor costs nothing.
 
     The table stays until ``discard`` is called on what this returns.
     """
-    global _collected
     spark = df.sparkSession
     ship(spark)
     path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
@@ -41,11 +48,8 @@ def scratch(df: DataFrame, name: str, *partition_by: str) -> DataFrame:
     if partition_by:
         writer = writer.partitionBy(*partition_by)
     writer.parquet(path)
-    # Shuffle files of finished jobs go when the driver collects its references to them.
     if time.monotonic() - _collected > COLLECT_EVERY:
-        gc.collect()
-        spark.sparkContext._jvm.System.gc()
-        _collected = time.monotonic()
+        free_shuffles(spark)
     out = spark.read.schema(df.schema).parquet(path)
     out._scratch_path = path
     return out
