@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..components import components, discard, scratch, shared_dir
+from ..components import components, discard, free_shuffles, scratch, shared_dir
 from ..session import ship
 
 #: A-Z and a-z, for folds that must leave every other letter alone.
