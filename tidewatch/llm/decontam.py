@@ -14,9 +14,10 @@ from pyspark.sql import functions as F
 from .common import scratch
 from .licenses import WORD, words_of
 
-#: Positions that a seed reads. The last is for items too short for the others.
+#: Positions that a seed reads.
 MASKS = ("111011", "1101011", "10110011")
-SHORT_MASK = "1111"
+#: Words of the longest seed for items too short for some mask: four in a row, or the whole item if it has fewer.
+SHORT = 4
 #: Words compared around a hit (fewer if the item is shorter) and the share that must agree.
 WINDOW, SHARE = 16, 0.75
 #: Rows of (doc_id, item_id, diagonal, item) and of ids that may be broadcast, some 30 MB each; more are joined by a shuffle.
@@ -46,15 +47,21 @@ def overlaps(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
 
     An overlap is a stretch of WINDOW words (all of an item that has fewer) along one diagonal, of
     which SHARE agree; first_word is where it starts in the document, the best one of a pair is
-    returned, ties by the first. Items under four words match nothing; null texts have no words.
+    returned, ties by the first. An item under four words must stand in the document as a whole;
+    null texts, and items without words, match nothing.
     Rows that share a doc_id (null is one too) count as one document, repeated items as one. Other
     columns play no part; empty tables give no rows.
     """
-    items = benchmark.select(F.col("item_id").cast("long").alias("item_id"), words_of(F.col("text")).alias("item")).where(F.size("item") >= len(SHORT_MASK)).dropDuplicates(["item_id", "item"])
-    short = F.size("item") < max(map(len, MASKS))
-    tests = items.select("item_id", F.explode(F.when(short, _seeds(F.col("item"), (*MASKS, SHORT_MASK))).otherwise(_seeds(F.col("item"), MASKS))).alias("s")).select("item_id", F.col("s.pos").alias("tpos"), "s.seed")
+    items = benchmark.select(F.col("item_id").cast("long").alias("item_id"), words_of(F.col("text")).alias("item")).where(F.size("item") > 0).dropDuplicates(["item_id", "item"])
+    longest = max(map(len, MASKS))
+    # Most benchmarks have no item as short as that; texts are cut into such seeds only where one does.
+    lengths = sorted(r["n"] for r in items.where(F.size("item") < longest).select(F.least(F.size("item"), F.lit(SHORT)).alias("n")).distinct().collect())
+    none = F.array().cast("array<struct<pos:int,seed:bigint>>")
+    of_length = lambda n: (F.size("item") < longest) & (F.least(F.size("item"), F.lit(SHORT)) == n)
+    seeds = F.concat(_seeds(F.col("item"), MASKS), *[F.when(of_length(n), _seeds(F.col("item"), ("1" * n,))).otherwise(none) for n in lengths])
+    tests = items.select("item_id", F.explode(seeds).alias("s")).select("item_id", F.col("s.pos").alias("tpos"), "s.seed")
     tests = scratch(tests, "seeds")
-    masks = (*MASKS, SHORT_MASK) if items.where(short).limit(1).count() else MASKS
+    masks = (*MASKS, *["1" * n for n in lengths])
     train = docs.select(F.col("doc_id").cast("long").alias("doc_id"), words_of(F.col("text")).alias("w")).select("doc_id", F.explode(_seeds(F.col("w"), masks)).alias("s")).select("doc_id", F.col("s.pos").alias("pos"), "s.seed")
     small = tests.count() <= BROADCAST_SEEDS
     hits = train.join(F.broadcast(tests) if small else tests, "seed").select("doc_id", "item_id", (F.col("pos") - F.col("tpos")).alias("diagonal")).distinct()
@@ -88,14 +95,14 @@ def _oracle() -> str:
 
     def seeds(source: str, key: str) -> str:
         parts = []
-        for mask in (*MASKS, SHORT_MASK):
+        for mask in (*MASKS, *["1" * n for n in range(1, SHORT + 1)]):
             seed = " || ' ' || ".join(f"w[p + {j + 1}]" for j, c in enumerate(mask) if c == "1")
-            only = f" AND len(w) < {short}" if mask == SHORT_MASK and key == "item_id" else ""
-            parts.append(f"SELECT {key}, p, '{mask}' || {seed} AS seed FROM (SELECT {key}, w, unnest(range(0, len(w) - {len(mask) - 1})) AS p FROM {source}){' WHERE ' + only[5:] if only else ''}")
+            only = "" if mask in MASKS or key != "item_id" else f" WHERE len(w) < {short} AND least(len(w), {SHORT}) = {len(mask)}"
+            parts.append(f"SELECT {key}, p, '{mask} ' || {seed} AS seed FROM (SELECT {key}, w, unnest(range(0, len(w) - {len(mask) - 1})) AS p FROM {source}){only}")
         return " UNION ALL ".join(parts)
 
     return f"""
-    WITH i AS (SELECT DISTINCT item_id, w FROM (SELECT item_id, {words} AS w FROM benchmark) WHERE len(w) >= {len(SHORT_MASK)}), d AS (SELECT doc_id, {words} AS w FROM documents),
+    WITH i AS (SELECT DISTINCT item_id, w FROM (SELECT item_id, {words} AS w FROM benchmark) WHERE len(w) > 0), d AS (SELECT doc_id, {words} AS w FROM documents),
     s AS ({seeds("i", "item_id")}), t AS ({seeds("d", "doc_id")}),
     h AS (SELECT DISTINCT doc_id, item_id, t.p - s.p AS diagonal FROM t JOIN s USING (seed)),
     m AS (SELECT h.doc_id, h.item_id, diagonal, least({WINDOW}, len(i.w)) AS n, list_transform(range(0, len(i.w)), lambda j: CASE WHEN diagonal + j >= 0 AND d.w[diagonal + j + 1] = i.w[j + 1] THEN 1 ELSE 0 END) AS same FROM h JOIN i USING (item_id) JOIN d USING (doc_id)),
