@@ -206,7 +206,8 @@ def fit(docs: DataFrame, labels: DataFrame) -> Model:
     known = known.groupBy("doc_id").agg(F.max("toxic").alias("toxic")).orderBy(F.xxhash64("doc_id"), "doc_id").limit(MAX_LABELLED)
     aside = (F.pmod(F.xxhash64("doc_id"), F.lit(4)) == 0).alias("aside")
     sample = scratch(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(F.broadcast(known), "doc_id").select("text", "toxic", aside), "labelled")
-    lexicon = mine(sample)
+    # Neither the lexicon nor the trees see the rows that the calibration is fitted on.
+    lexicon = mine(sample.where("not aside"))
 
     def features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         of = Features(lexicon)
