@@ -102,6 +102,16 @@ def test_snapshots_collapse(spark):
     assert got[3][:2] == (3, 2) and got[5] == (1, 1, "<|user|>\nx<|end|>\n") and got[6][2] == "<|user|>\n<|end|>\n"
 
 
+def test_snapshots_of_odd_turns(spark):
+    """Null and tied turn numbers, repeated rows, and one conversation of very many turns."""
+    rows = [(1, None, "user", "z"), (1, 0, "user", "b"), (1, 0, "user", "a"), (1, 0, "user", "a"), (2, 0, "user", "a"), (2, 1, "user", "b"), (3, 0, "user", "a")]
+    rows += [(9, k, "user", str(k % 7)) for k in range(30_000)] + [(8, k, "user", str(k % 7)) for k in range(29_999)] + [(7, k, "user", str(k % 7)) for k in range(30_000)]
+    got = {r.conv_id: (r.n_turns, r.n_copies, r.rendered) for r in chat.maximal(spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")).collect()}
+    turn = "<|user|>\n{}<|end|>\n".format
+    assert set(got) == {1, 2, 7} and got[7][:2] == (30_000, 2) and got[7][2] == "".join(turn(k % 7) for k in range(30_000))
+    assert got[1] == (3, 1, turn("z") + turn("a") + turn("b")) and got[2] == (2, 1, turn("a") + turn("b"))
+
+
 def test_snapshots_of_nothing(spark):
     assert chat.maximal(spark.createDataFrame([], "conv_id long, turn long, role string, text string")).count() == 0
 
@@ -198,6 +208,13 @@ def test_overlaps(spark):
     assert all(found[k] == want[k] for k in found)
 
 
+def test_items_of_few_words_count_as_a_whole(spark):
+    items = [(1, "blue owl"), (2, "grey"), (3, "one two three"), (4, "one two six seven"), (5, "!!")]
+    docs = [(1, "a blue owl sat"), (2, "Grey, blue"), (3, "one two three"), (4, "one two"), (5, "x one two six seven y"), (6, "owl blue")]
+    found = {(r.doc_id, r.item_id, r.n_same, r.first_word) for r in overlaps(docs_of(spark, docs), spark.createDataFrame(items, "item_id long, text string")).collect()}
+    assert found == {(1, 1, 2, 1), (2, 2, 1, 0), (3, 3, 3, 0), (5, 4, 4, 1)}
+
+
 def test_clean_documents_stay(spark):
     docs = [(1, "one two three four five six seven eight nine ten eleven twelve"), (2, "nothing of it is here at all today my friend"), (None, "x"), (3, None)]
     bench = spark.createDataFrame([(7, "two three four five six seven eight nine ten eleven")], "item_id long, text string")
@@ -531,6 +548,14 @@ def test_distinct_documents(spark, odd_rows):
     assert out.count() == len({(t or "").translate(LOWER) for _, t in odd_rows})
 
 
+def test_distinct_documents_with_clashing_names(spark):
+    rows = [(1, "A b", "K1", "s1", "e"), (1, "a B", "K2", "s2", "f"), (2, "c", "K3", "s3", "g"), (None, None, "K4", "s4", "h"), (None, "", "K5", "s5", "i")]
+    out = distinct_documents(spark.createDataFrame(rows, "doc_id long, text string, _id string, _sha string, stays_sha string")).collect()
+    assert len(out) == 3 and all(tuple(r) in rows for r in out)
+    again = distinct_documents(spark.createDataFrame(rows[::-1], "doc_id long, text string, _id string, _sha string, stays_sha string")).collect()
+    assert {r._id for r in out} == {r._id for r in again}
+
+
 def test_directory_doubles_where_it_must():
     counts = {0: 10_000, 1: 5, 40_000: 3}
     bucket = directory(counts, capacity=100)

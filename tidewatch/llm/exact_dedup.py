@@ -1,9 +1,10 @@
 """Exact deduplication by an extendible-hash index on shared files.
 
 Map tasks fold the copies they meet into one entry a text and write entries and members to the
-shared folder. A directory over the leading bits of the hash doubles until no bucket is overfull.
-Owner tasks then take the buckets of their key ranges, chain texts that collide and compare bytes,
-so a group is exactly the texts that are the same.
+shared folder. A directory over the leading bits of the hash doubles until no bucket is overfull,
+and as far as the corpus needs; buckets that still are, are split by the bits that follow. Owner
+tasks take key ranges of buckets, chain texts that collide and compare bytes, so a group is exactly
+the texts that are the same.
 """
 
 from __future__ import annotations
@@ -21,10 +22,10 @@ from pyspark.sql import functions as F
 from .common import LOWER, UPPER, ascii_lower, scratch
 
 _FOLD = bytes.maketrans(UPPER.encode(), LOWER.encode())
-#: A bucket of more entries splits; the directory stops doubling at 2 ** MAX_DEPTH slots (65,536 numbers).
+#: A bucket of more entries splits; the directory that the driver holds doubles up to 2 ** MAX_DEPTH slots (65,536 numbers).
 BUCKET_ENTRIES, MAX_DEPTH = 4096, 16
 #: Bytes of text for which a map task remembers entries before it starts a new set.
-FOLD_BYTES = 48 << 20
+FOLD_BYTES = 16 << 20
 
 INDEX = "entry long, hash long, body binary, doc_id long, best boolean, n long, sha string"
 
@@ -67,26 +68,38 @@ def _fold(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def directory(counts: dict[int, int], capacity: int = BUCKET_ENTRIES, max_depth: int = MAX_DEPTH) -> np.ndarray:
-    """The bucket of each slot of the deepest directory. counts: entries by leading ``max_depth`` bits.
+    """The bucket of each value of the leading ``max_depth`` bits. counts: entries by those bits.
 
-    A bucket over capacity splits on its next bit, and the directory doubles where the bucket was
-    already as deep as it; a bucket of the last depth stays overfull and is chained by its owner.
+    The directory starts with one slot. It doubles while a bucket as deep as itself is overfull;
+    such a bucket splits on its next bit, and the slots of a shallower one stay together.
     """
     held = np.zeros(1 << max_depth, np.int64)
     for slot, n in counts.items():
         held[slot] = n
-    bucket = np.zeros(1 << max_depth, np.int32)
-    depth, todo, n = 0, [(0, 0)], 0
-    while todo:
-        start, local = todo.pop()
-        span = 1 << (max_depth - local)
-        if local < max_depth and held[start : start + span].sum() > capacity:
-            depth = max(depth, local + 1)
-            todo += [(start + span // 2, local + 1), (start, local + 1)]
-        else:
-            bucket[start : start + span] = n
-            n += 1
-    return bucket
+    depth, slots = 0, np.zeros(1, np.int64)
+    local = np.zeros(1, np.int64)
+    while depth < max_depth:
+        sizes = np.bincount(slots, held.reshape(1 << depth, -1).sum(1), len(local))
+        splits = np.flatnonzero((sizes > capacity) & (local == depth))
+        if not len(splits):
+            break
+        depth += 1
+        slots = np.repeat(slots, 2)
+        local[splits] += 1
+        # The right half of a bucket that splits is a bucket of its own.
+        new = len(local) + np.arange(len(splits))
+        right = np.zeros(len(slots), bool)
+        right[1::2] = True
+        of = np.full(len(local), -1, np.int64)
+        of[splits] = new
+        moved = right & (of[slots] >= 0)
+        slots[moved] = of[slots[moved]]
+        local = np.concatenate([local, np.full(len(splits), depth)])
+    # Buckets are numbered as their key ranges ascend.
+    order = np.unique(slots, return_index=True)[1].argsort(kind="stable")
+    rank = np.empty(len(order), np.int64)
+    rank[np.unique(slots)[order]] = np.arange(len(order))
+    return np.repeat(rank[slots], 1 << (max_depth - depth))
 
 
 def _own(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -138,12 +151,16 @@ def exact_groups(docs: DataFrame) -> DataFrame:
     entries = index.where("body is not null").select("entry", "hash", "body", "doc_id", "n")
     slot = F.shiftrightunsigned("hash", 64 - MAX_DEPTH)
     counts = {r["slot"]: r["count"] for r in entries.groupBy(slot.alias("slot")).count().collect()}
-    buckets = spark.createDataFrame([(int(k), int(b)) for k, b in enumerate(directory(counts)) if k in counts], "slot int, bucket int")
+    # At most 2 ** MAX_DEPTH pairs of numbers; hashes ascend with their buckets, so ranges of both are ranges of keys.
+    of = spark.createDataFrame([(k, int(b)) for k, b in enumerate(directory(counts)) if k in counts], "slot int, bucket int")
+    parts = max(1, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    key = F.col("hash").bitwiseXOR(F.lit(-(1 << 63)))
     found = (
         entries.withColumn("slot", slot.cast("int"))
-        .join(F.broadcast(buckets), "slot")  # at most 2 ** MAX_DEPTH pairs of numbers
-        .repartition("bucket")
-        .sortWithinPartitions("bucket", "hash")
+        .join(F.broadcast(of), "slot")
+        # A bucket that is overfull at the last depth is split by the rest of its hash.
+        .repartitionByRange(parts, "bucket", key)
+        .sortWithinPartitions("bucket", key)
         .select("entry", "hash", "body", "doc_id", "n")
         .mapInArrow(_own, "entry long, keep_id long, group_size long, stays boolean")
     )
@@ -152,14 +169,18 @@ def exact_groups(docs: DataFrame) -> DataFrame:
 
 
 def distinct_documents(docs: DataFrame) -> DataFrame:
-    """The documents that stay, with all their columns: one row of each group of equal texts."""
+    """The documents that stay, with all their columns: one row of each group of equal texts.
+
+    Of rows that share doc_id and folded text but differ in other columns, the one whose columns
+    have the least hash stays.
+    """
     groups = scratch(exact_groups(docs), "groups")
     stays = groups.where("kept").select(F.col("doc_id").alias("stays_id"), F.col("text_sha256").alias("stays_sha"))
-    sha = F.sha2(ascii_lower(F.coalesce(docs["text"], F.lit(""))).cast("binary"), 256)
-    out = docs.join(stays, docs["doc_id"].cast("long").eqNullSafe(stays["stays_id"]) & (sha == stays["stays_sha"]), "left_semi")
+    sha = lambda d: F.sha2(ascii_lower(F.coalesce(d["text"], F.lit(""))).cast("binary"), 256)
+    out = docs.join(stays, docs["doc_id"].cast("long").eqNullSafe(stays["stays_id"]) & (sha(docs) == stays["stays_sha"]), "left_semi")
     # Rows that repeat doc_id and text alike both match; only then is one of them picked.
     if groups.groupBy("doc_id", "text_sha256").count().where("count > 1").isEmpty():
         return out
-    names = out.columns
-    twins = out.withColumns({"_sha": F.sha2(ascii_lower(F.coalesce(F.col("text"), F.lit(""))).cast("binary"), 256), "_id": F.col("doc_id").cast("long")})
-    return twins.dropDuplicates(["_id", "_sha"]).select(*[F.col(f"`{n}`") for n in names])
+    row = F.struct(*[out[f"`{n}`"] for n in out.columns])
+    hashed = [out[f"`{n}`"] for n, kind in out.dtypes if "map<" not in kind]
+    return out.groupBy(out["doc_id"].cast("long"), sha(out)).agg(F.min_by(row, F.xxhash64(*hashed)).alias("row")).select("row.*")
