@@ -526,6 +526,15 @@ def test_licenses(spark):
     assert scan(docs_of(spark, [])).count() == 0
 
 
+def test_licenses_are_verified(spark):
+    """Repeated words vote once, and votes that lie far apart are no span."""
+    own = (("x", "red red red red blue green"), ("y", "one two three four five six seven eight"))
+    far = " ".join(f"one two three filler{k} " * 2 for k in range(9))
+    rows = [(1, "red red red red red red red red"), (2, "red red red red blue green"), (3, far + "four five six seven"), (4, "one two three oops four five six seven eight"), (5, "red red red red blue " * 40 + "green")]
+    got = {r.doc_id: (r.labels, r.score) for r in scan(docs_of(spark, rows), own).collect()}
+    assert got[1] == ("", 0.0) and got[2] == ("x", 1.0) and got[3][0] == "" and got[4] == ("", 0.0) and got[5][0] == "x"
+
+
 # 10 -------------------------------------------------------------------------------------------
 
 

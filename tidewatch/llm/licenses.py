@@ -1,9 +1,11 @@
 """License scan by diagonal voting.
 
 All rolling word k-gram hashes of a text are joined to the positions of the same k-grams in license
-templates. A hit votes for its diagonal (text position less template position); neighbouring
-diagonals, as inserted or lost words make them, are merged, and a span counts if enough of its
-template stands in it. All of it is DataFrame expressions; only per-text sums are shuffled.
+templates, and the words at both places compared. A hit votes for its diagonal (text position less
+template position); neighbouring diagonals, as inserted or lost words make them, are merged. A span
+counts if enough different positions of its template stand in it, over no more than STRETCH times
+the template's words; a merged span that is longer falls back to its best diagonal. All of it is
+DataFrame expressions; only per-text sums are shuffled.
 """
 
 from __future__ import annotations
@@ -16,8 +18,8 @@ from .common import ascii_lower
 K = 3
 #: Diagonals that lie at most this far apart are one span.
 NEAR = 2
-#: A span counts if this share of its template's k-grams voted for it.
-SHARE = 0.75
+#: A span counts if this share of its template's k-grams voted for it, and if it is at most so many times as long as the template.
+SHARE, STRETCH = 0.75, 1.5
 #: Words, as the contract of the scan defines them.
 WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 #: Phrases that alone name a license, and its label.
@@ -51,10 +53,10 @@ def _positions(words: Column) -> Column:
 
 
 def templates(spark: SparkSession, texts: tuple[tuple[str, str], ...] = TEMPLATES) -> DataFrame:
-    """Rows (template, label, grams, gram, tpos); as many as the given notices have k-grams, a few hundred."""
+    """Rows (template, label, grams, gram, word, tpos); as many as the given notices have k-grams, a few hundred."""
     df = spark.createDataFrame([(k, label, text) for k, (label, text) in enumerate(texts)], "template int, label string, body string")
     df = df.select("template", "label", words_of(F.col("body")).alias("w"))
-    return df.select("template", "label", (F.size("w") - K + 1).alias("grams"), F.explode(F.transform(_positions(F.col("w")), lambda i: F.struct(i.alias("tpos"), _gram(F.col("w"), i).alias("gram")))).alias("g")).select("template", "label", "grams", "g.*")
+    return df.select("template", "label", (F.size("w") - K + 1).alias("grams"), F.explode(F.transform(_positions(F.col("w")), lambda i: F.struct(i.alias("tpos"), _gram(F.col("w"), i).alias("gram"), F.get(F.col("w"), i).alias("word")))).alias("g")).select("template", "label", "grams", "g.*")
 
 
 def _base(words: Column, body: Column) -> Column:
@@ -85,15 +87,21 @@ def scan(docs: DataFrame, texts: tuple[tuple[str, str], ...] = TEMPLATES) -> Dat
         "doc_id", "rid", F.size("w").cast("long").alias("n_words"), F.size("base").cast("long").alias("n_base"),
         F.array_min(F.transform("base", lambda s: s["at"])).cast("long").alias("first_word"), F.array_max(F.transform("base", lambda s: s["at"])).cast("long").alias("last_word"),
         F.array_sort(F.array_distinct(base["label"])).alias("base_set"),
-        F.transform(_positions(w), lambda i: _gram(w, i)).alias("grams_"),
+        F.transform(_positions(w), lambda i: F.struct(_gram(w, i).alias("gram"), F.get(w, i).alias("word"))).alias("grams_"),
     )
     keys = ["rid", "doc_id", "n_words", "n_base", "first_word", "last_word", "base_set"]
-    hits = read.select(*keys, F.posexplode_outer("grams_").alias("pos", "gram")).join(F.broadcast(templates(docs.sparkSession, texts)), "gram", "left")
+    hits = read.select(*keys, F.posexplode_outer("grams_").alias("pos", "g")).select(*keys, "pos", "g.*").join(F.broadcast(templates(docs.sparkSession, texts)), ["gram", "word"], "left")
     # A diagonal's votes; all of a text's positions without a hit fold into one row before the shuffle.
-    votes = hits.groupBy(*keys, "template", "label", "grams", (F.col("pos") - F.col("tpos")).alias("diagonal")).agg(F.count("tpos").alias("votes"), F.min("pos").alias("lo"), F.max("pos").alias("hi"))
+    votes = hits.groupBy(*keys, "template", "label", "grams", (F.col("pos") - F.col("tpos")).alias("diagonal")).agg(F.collect_set("tpos").alias("tposes"), F.min("pos").alias("lo"), F.max("pos").alias("hi"))
     by = Window.partitionBy("rid", "template").orderBy("diagonal")
     apart = F.when(F.col("diagonal") - F.lag("diagonal").over(by) <= NEAR, 0).otherwise(1)
-    merged = votes.withColumn("apart", apart).withColumn("span", F.sum("apart").over(by)).groupBy(*keys, "template", "label", "grams", "span").agg(F.sum("votes").alias("votes"), F.min("lo").alias("lo"), (F.max("hi") + K - 1).alias("hi"))
+    spans = votes.withColumn("apart", apart).withColumn("span", F.sum("apart").over(by)).groupBy(*keys, "template", "label", "grams", "span")
+    merged = spans.agg(
+        F.struct(F.size(F.array_distinct(F.flatten(F.collect_list("tposes")))).alias("votes"), (-F.min("lo")).alias("from"), F.max("hi").alias("to")).alias("all"),
+        F.max(F.struct(F.size("tposes").alias("votes"), (-F.col("lo")).alias("from"), F.col("hi").alias("to"))).alias("best"),
+    )
+    long = F.col("all.to") + F.col("all.from") + K > STRETCH * (F.col("grams") + K - 1)
+    merged = merged.withColumn("s", F.when(long, F.col("best")).otherwise(F.col("all"))).select(*keys, "template", "label", "grams", "s.votes", (-F.col("s.from")).alias("lo"), (F.col("s.to") + K - 1).alias("hi"))
     share = F.least(F.lit(1.0), F.col("votes") / F.col("grams"))
     good = F.when(F.col("template").isNotNull() & (F.col("votes") >= F.ceil(SHARE * F.col("grams"))), F.struct("template", "label", F.col("lo").alias("first_word"), F.col("hi").alias("last_word"), share.alias("share")))
     return (
@@ -121,10 +129,11 @@ ORACLE = rf"""
     p AS (SELECT rid, pos, array_to_string(w[pos + 1 : pos + {K}], ' ') AS gram, w[pos + 1] AS a, w[pos + 2] AS b, w[pos + 3] AS c FROM p0),
     b0 AS (SELECT rid, pos, CASE WHEN a = 'mit' AND b = 'license' THEN 'mit' WHEN a = 'apache' AND b = 'license' THEN 'apache' WHEN a = 'general' AND b = 'public' AND c = 'license' THEN 'gpl' END AS label FROM p),
     b AS (SELECT rid, count(*) AS n_base, min(pos) AS first_word, max(pos) AS last_word, string_agg(DISTINCT label, ',' ORDER BY label) AS base_labels FROM b0 WHERE label IS NOT NULL GROUP BY rid),
-    v AS (SELECT rid, template, label, grams, pos - tpos AS diagonal, count(*) AS votes FROM p JOIN t USING (gram) GROUP BY ALL),
+    v AS (SELECT rid, template, label, grams, pos - tpos AS diagonal, list(tpos) AS tposes, min(pos) AS lo, max(pos) AS hi FROM p JOIN t USING (gram) GROUP BY ALL),
     a AS (SELECT *, CASE WHEN diagonal - lag(diagonal) OVER (PARTITION BY rid, template ORDER BY diagonal) <= {NEAR} THEN 0 ELSE 1 END AS apart FROM v),
     s AS (SELECT *, sum(apart) OVER (PARTITION BY rid, template ORDER BY diagonal) AS span FROM a),
-    g AS (SELECT rid, label, least(1.0, sum(votes) / max(grams))::DOUBLE AS share FROM s GROUP BY rid, template, label, span HAVING sum(votes) >= ceil({SHARE} * max(grams))),
+    q AS (SELECT rid, label, max(grams) AS grams, CASE WHEN max(hi) - min(lo) + {K} > {STRETCH} * (max(grams) + {K - 1}) THEN max(len(tposes)) ELSE len(list_distinct(flatten(list(tposes)))) END AS votes FROM s GROUP BY rid, template, label, span),
+    g AS (SELECT rid, label, least(1.0, votes / grams)::DOUBLE AS share FROM q WHERE votes >= ceil({SHARE} * grams)),
     n AS (SELECT rid, label FROM g UNION SELECT rid, label FROM b0 WHERE label IS NOT NULL),
     l AS (SELECT rid, string_agg(label, ',' ORDER BY label) AS labels FROM n GROUP BY rid),
     m AS (SELECT rid, max(share) AS score FROM g GROUP BY rid)
