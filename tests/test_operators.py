@@ -69,7 +69,26 @@ def test_text(spark):
 
 def test_redaction(spark):
     got = one(spark, privacy.redact(F.col("t")), t="mail a.b@c.com, 123.456.789-09, 12.345.678/0001-95, (84) 91234-5678, 00000000000")
-    assert got.text == "mail [EMAIL], [CPF], [CNPJ], [PHONE], 00000000000" and (got.n_email, got.n_cpf, got.n_cnpj, got.n_phone) == (1, 1, 1, 1)
+    assert got.text == "mail [email], [cpf], [cnpj], [phone], 00000000000" and (got.n_email, got.n_cpf, got.n_cnpj, got.n_phone) == (1, 1, 1, 1)
+
+
+def test_redaction_levels(spark):
+    body = "a.b@c.com and a.b@c.com, 00000000000"
+    tagged = lambda key: one(spark, privacy.redact(F.col("t"), "pseudonymized", key), t=body)
+    first = tagged(b"k")
+    tags = first.text.split(", ")[0].split(" and ")
+    assert tags[0] == tags[1] and tags[0].startswith("[email:") and len(tags[0]) == 16 and first.n_email == 2 and first.text.endswith("00000000000")
+    assert tagged(b"k").text == first.text != tagged(b"other").text
+    assert one(spark, privacy.redact(F.col("t"), "dropped"), t=body).text == " and , 00000000000" and one(spark, privacy.redact(F.col("t"), "none"), t=body).text == body
+    assert privacy.level_of(None) == "masked" and privacy.level_of("DROPPED") == "dropped"
+    with pytest.raises(ValueError):
+        privacy.level_of("other")
+    with pytest.raises(ValueError):
+        privacy.redact(F.col("t"), "pseudonymized")
+
+
+def test_half_transpositions():
+    assert identity.jaro_winkler_score("abcxxxxx", "bcaxxxxx") == pytest.approx(0.9375)
 
 
 def test_blocks(spark):
@@ -211,8 +230,9 @@ def test_table_files(spark, tmp_path):
     io.write_partitions(df, f"{tmp_path}/t", "p", ("id",))
     io.write_partitions(df.where("p = 'b'").withColumn("v", F.lit(9).cast("long")), f"{tmp_path}/t", "p")
     assert {(r.id, r.v) for r in spark.read.parquet(f"{tmp_path}/t").collect()} == {(1, 1), (2, 1), (3, 9)}
-    io.merge_table(df.where("id = 1").withColumn("v", F.lit(5).cast("long")), f"{tmp_path}/t", ["id"], f"{tmp_path}/t2")
-    assert spark.read.parquet(f"{tmp_path}/t2").where("id = 1").first()["v"] == 5
+    twice = df.where("id = 1").withColumn("v", F.explode(F.array(*[F.lit(v).cast("long") for v in (5, 7, 6)])))
+    io.merge_table(twice, f"{tmp_path}/t", ["id"], f"{tmp_path}/t2", "v")
+    assert spark.read.parquet(f"{tmp_path}/t2").where("id = 1").first()["v"] == 7
     io.save_mark(spark, f"{tmp_path}/marks", "p", "2024-01-01")
     assert io.read_mark(spark, f"{tmp_path}/marks", "p") == "2024-01-01" and io.read_mark(spark, f"{tmp_path}/marks", "q") is None
     assert io.cutoff("2023-01-01", "2024-06-01", "2024-01-01") == "2024-01-01"

@@ -33,7 +33,7 @@ def test_agrees_with_sql(spark, sf, con, name):
 
 @pytest.mark.parametrize("name", sorted(set(queries.QUERIES) - set(queries.ORACLES)))
 def test_runs(spark, sf, name):
-    assert queries.QUERIES[name](spark, sf).count() >= 0
+    assert queries.QUERIES[name](spark, sf).collect()
 
 
 def test_driver_contract(spark):

@@ -7,7 +7,7 @@ import json
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..components import components, scratch
@@ -24,14 +24,18 @@ def coactivation(events: DataFrame, window_hours: float = 24.0, min_overlap: int
     g = list(group)
     e = events.select(*g, "author", "target", "ts").where("author is not null and target is not null and ts is not null").distinct()
     width = int(window_hours * 3.6e9)
-    ends = e.select(*g, "target", F.col("ts").alias("end")).distinct()
+    # Two events of two authors meet in a window if neither author has an earlier event there. Of the
+    # windows that hold both, the last one leaves out most of what came before, so only the last end
+    # within reach of the earlier event matters: pairs of events are joined, not authors at every end.
+    t = e.withColumn("at", _micros("ts")).withColumn("before", F.lag("at").over(Window.partitionBy(*g, "target", "author").orderBy("at")))
+    t = t.withColumn("last_end", F.max("at").over(Window.partitionBy(*g, "target").orderBy("at").rangeBetween(0, width)))
     # Two bins of the window's width hold all that can lie in it, so a busy target joins neighbours in time only.
-    bin_of = lambda c: F.floor(_micros(c) / F.lit(max(width, 1)))
-    ends = ends.withColumn("bin", F.explode(F.array(bin_of("end") - 1, bin_of("end"))))
-    inside = e.withColumn("bin", bin_of("ts")).join(ends, [*g, "target", "bin"]).where((F.col("ts") <= F.col("end")) & (_micros("end") - _micros("ts") <= width))
-    first = inside.groupBy(*g, "target", "end", "author").agg(F.min("ts").alias("ts"))
-    a, b = first.withColumnsRenamed({"author": "author_a", "ts": "ts_a"}), first.withColumnsRenamed({"author": "author_b", "ts": "ts_b"})
-    pairs = a.join(b, [*g, "target", "end"]).where("author_a < author_b").select(*g, "author_a", "author_b", "target", F.greatest("ts_a", "ts_b").alias("anchor")).distinct()
+    bin_of = lambda c: F.floor(F.col(c) / F.lit(max(width, 1)))
+    early = t.select(*g, "target", F.col("author").alias("early"), F.col("at").alias("at_early"), F.col("before").alias("before_early"), "last_end", F.explode(F.array(bin_of("at"), bin_of("at") + 1)).alias("bin"))
+    late = t.select(*g, "target", F.col("author").alias("late"), F.col("at").alias("at_late"), F.col("before").alias("before_late"), bin_of("at").alias("bin"))
+    met = early.join(late, [*g, "target", "bin"]).where((F.col("early") != F.col("late")) & (F.col("at_early") <= F.col("at_late")) & (F.col("at_late") <= F.col("last_end")))
+    met = met.where(F.coalesce(F.greatest("before_early", "before_late") + width < F.col("last_end"), F.lit(True)))
+    pairs = met.select(*g, F.least("early", "late").alias("author_a"), F.greatest("early", "late").alias("author_b"), "target", F.col("at_late").alias("anchor")).distinct()
     counted = pairs.groupBy(*g, "author_a", "author_b").agg(F.count("*").alias("n_overlap"), F.countDistinct("target").alias("n_targets")).where(F.col("n_overlap") >= min_overlap)
     life = e.select(*g, "author", "target").distinct()
     sizes = life.groupBy(*g, "author").agg(F.count("*").alias("size"))
@@ -46,7 +50,7 @@ def coactivation_daily(events: DataFrame) -> DataFrame:
     """The daily mart: pairs that share targets on a day, how many and which."""
     d = events.select("author", "target", F.col("ts").cast("date").alias("day")).distinct()
     a, b = d.withColumnRenamed("author", "author_a"), d.withColumnRenamed("author", "author_b")
-    return a.join(b, ["day", "target"]).where("author_a < author_b").groupBy("day", "author_a", "author_b").agg(F.countDistinct("target").alias("n_shared"), F.sort_array(F.collect_set("target")).alias("targets"))
+    return a.join(b, ["day", "target"]).where("author_a < author_b").groupBy("day", "author_a", "author_b").agg(F.count("*").alias("n_shared"), F.sort_array(F.collect_list("target")).alias("targets"))
 
 
 def louvain(n: int, edges: list[tuple[int, int, float]], resolution: float = 1.0, seed: int = 42) -> np.ndarray:
@@ -140,11 +144,15 @@ def communities(pairs: DataFrame, group: tuple[str, ...] = ("day",), algorithm:
         members: dict[int, list[str]] = {}
         for a, c in zip(names, found.tolist(), strict=True):
             members.setdefault(c, []).append(a)
+        inside: dict[int, list[tuple]] = {}
+        for e in edges:
+            if found[e[0]] == found[e[1]]:
+                inside.setdefault(int(found[e[0]]), []).append(e)
         rows = []
         for cid, (c, who) in enumerate(sorted(members.items(), key=lambda kv: (-len(kv[1]), kv[1]))):
             if len(who) < min_size:
                 continue
-            inner = [e for e in edges if found[e[0]] == c and found[e[1]] == c]
+            inner = inside.get(c, [])
             n = len(inner)
             stats = (len(who), n, n / (len(who) * (len(who) - 1) / 2), sum(e[2] for e in inner) / n if n else 0.0, sum(e[3] for e in inner) / n if n else 0.0)
             rows += [(*key, cid, a, *stats) for a in who]

@@ -29,7 +29,7 @@ def jaro_winkler_score(a: str, b: str, scale: float = 0.1) -> float:
     m = len(pairs)
     if not m:
         return 0.0
-    swapped = sum(x != y for x, y in zip(pairs, (c for c, u in zip(b, used, strict=True) if u), strict=True)) // 2
+    swapped = sum(x != y for x, y in zip(pairs, (c for c, u in zip(b, used, strict=True) if u), strict=True)) / 2
     jaro = (m / len(a) + m / len(b) + (m - swapped) / m) / 3
     prefix = 0
     for x, y in zip(a[:4], b[:4], strict=False):

@@ -9,6 +9,8 @@ from pyspark.sql import functions as F
 
 from ..operators.tables import latest_by
 
+#: Order of rows that share an event id and an instant.
+TIES = ("user_id", "event_type", "value", "props")
 #: The clock of every query that would ask for today.
 AS_OF = "2024-01-30"
 
@@ -23,7 +25,7 @@ class Tables:
 
     def events(self) -> DataFrame:
         """The latest row of each event."""
-        return latest_by(self("events"), ["event_id"], [F.desc("ts")])
+        return latest_by(self("events"), ["event_id"], [F.desc("ts"), *TIES])
 
     def people(self) -> DataFrame:
         return self("customer").select(F.col("c_custkey").alias("person_id"), F.col("c_name").alias("person_name"), F.col("c_mktsegment").alias("person_group"), F.col("c_nationkey").alias("place_id"))

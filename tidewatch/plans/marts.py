@@ -26,7 +26,7 @@ def query(sql: str | None = None):
     return add
 
 
-LATEST = "ev AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY event_id ORDER BY ts DESC) AS rn FROM events) WHERE rn = 1)"
+LATEST = "ev AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY event_id ORDER BY ts DESC, user_id NULLS FIRST, event_type NULLS FIRST, value NULLS FIRST, props NULLS FIRST) AS rn FROM events) WHERE rn = 1)"
 CANON = LATEST + ", canon AS (SELECT e.*, c.c_name AS person_name, c.c_mktsegment AS person_group, c.c_nationkey AS place_id FROM ev e LEFT JOIN customer c ON c.c_custkey = e.user_id)"
 AVG = "CAST(SUM(CAST(value AS DECIMAL(18,2))) AS DOUBLE) / COUNT(value)"
 
@@ -228,6 +228,6 @@ def fct_series_age(t: Tables) -> DataFrame:
     return t.events().groupBy("user_id").agg(F.min(F.col("ts").cast("date")).alias("started")).withColumn("age_days", F.date_diff(F.lit(AS_OF).cast("date"), "started").cast("long"))
 
 
-@query("""WITH c AS (SELECT label AS cluster, vec_id, vec_id % 5 = 0 AS outlier FROM embeddings) SELECT cluster, COUNT(*) AS size, max(CASE WHEN vec_id % 7 = 0 THEN vec_id END) AS centroid_id, list_sort(list(vec_id)) AS members FROM c WHERE NOT outlier GROUP BY 1""")
+@query("""WITH c AS (SELECT label AS cluster, vec_id FROM embeddings) SELECT cluster, COUNT(*) AS size, max(CASE WHEN vec_id % 7 = 0 THEN vec_id END) AS centroid_id, list_sort(list(vec_id)) AS members FROM c GROUP BY 1""")
 def fct_narrative_cluster_daily(t: Tables) -> DataFrame:
-    return t("embeddings").where("vec_id % 5 != 0").groupBy(F.col("label").alias("cluster")).agg(F.count("*").alias("size"), F.max(F.when(F.col("vec_id") % 7 == 0, F.col("vec_id"))).alias("centroid_id"), F.sort_array(F.collect_list("vec_id")).alias("members"))
+    return t("embeddings").groupBy(F.col("label").alias("cluster")).agg(F.count("*").alias("size"), F.max(F.when(F.col("vec_id") % 7 == 0, F.col("vec_id"))).alias("centroid_id"), F.sort_array(F.collect_list("vec_id")).alias("members"))

@@ -138,23 +138,28 @@ def temporal_audit(t: Tables) -> DataFrame:
     return say("before_cutoff", e.where(F.col("ts") < F.lit("2024-01-05").cast("timestamp"))).unionByName(say("backfill", e.where("event_type = 'error'")))
 
 
-@query("""WITH q AS (SELECT embedding AS query FROM embeddings WHERE vec_id = 0), d AS (SELECT 0 AS query_id, vec_id, round(greatest(0.0, least(2.0, 1 - list_dot_product(embedding::DOUBLE[], query::DOUBLE[]) / (sqrt(list_dot_product(embedding::DOUBLE[], embedding::DOUBLE[])) * sqrt(list_dot_product(query::DOUBLE[], query::DOUBLE[]))))), 9) AS distance FROM embeddings, q),
-  r AS (SELECT *, row_number() OVER (ORDER BY distance, vec_id) AS position FROM d) SELECT query_id, vec_id, distance, position FROM r WHERE position <= 10""")
+#: The searches ask for every row whose id is divisible by 50.
+_NEAR = """q AS (SELECT vec_id AS query_id, embedding::DOUBLE[] AS query FROM embeddings WHERE vec_id % 50 = 0),
+  d AS (SELECT query_id, vec_id, label, round(greatest(0.0, least(2.0, 1 - list_dot_product(embedding::DOUBLE[], query) / (sqrt(list_dot_product(embedding::DOUBLE[], embedding::DOUBLE[])) * sqrt(list_dot_product(query, query))))), 9) AS distance FROM embeddings, q),
+  r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY distance, vec_id) AS position FROM d)"""
+
+
+def _asked(t: Tables) -> DataFrame:
+    return t("embeddings").where("vec_id % 50 = 0").select(F.col("vec_id").alias("query_id"), F.col("embedding").alias("query"))
+
+
+@query(f"WITH {_NEAR} SELECT query_id, vec_id, distance, position FROM r WHERE position <= 10")
 def vector_search(t: Tables) -> DataFrame:
     from ..operators.similarity import nearest
 
-    v = t("embeddings")
-    asked = v.where("vec_id = 0").select(F.lit(0).alias("query_id"), F.col("embedding").alias("query"))
-    return nearest(v, asked, 10).withColumn("position", F.col("position").cast("long"))
+    return nearest(t("embeddings"), _asked(t), 10).withColumn("position", F.col("position").cast("long"))
 
 
-@query("""WITH q AS (SELECT embedding AS query FROM embeddings WHERE vec_id = 0), d AS (SELECT vec_id, label, round(greatest(0.0, least(2.0, 1 - list_dot_product(embedding::DOUBLE[], query::DOUBLE[]) / (sqrt(list_dot_product(embedding::DOUBLE[], embedding::DOUBLE[])) * sqrt(list_dot_product(query::DOUBLE[], query::DOUBLE[]))))), 9) AS distance FROM embeddings, q ORDER BY distance, vec_id LIMIT 5)
-  SELECT vec_id, label, distance, left(text, 80) AS snippet, quality FROM d LEFT JOIN documents ON doc_id = vec_id LEFT JOIN labels USING (doc_id)""")
+@query(f"""WITH {_NEAR} SELECT query_id, vec_id, r.label, distance, left(text, 80) AS snippet, quality FROM r LEFT JOIN documents ON doc_id = vec_id LEFT JOIN labels ON labels.doc_id = vec_id WHERE position <= 5""")
 def rag_retrieval(t: Tables) -> DataFrame:
     from ..operators.similarity import nearest
 
     v = t("embeddings")
-    asked = v.where("vec_id = 0").select(F.lit(0).alias("query_id"), F.col("embedding").alias("query"))
-    hits = nearest(v, asked, 5).join(v.select("vec_id", "label"), "vec_id")
+    hits = nearest(v, _asked(t), 5).join(v.select("vec_id", "label"), "vec_id")
     docs = t("documents").select(F.col("doc_id").alias("vec_id"), F.left("text", F.lit(80)).alias("snippet"))
-    return hits.join(docs, "vec_id", "left").join(t("labels").select(F.col("doc_id").alias("vec_id"), "quality"), "vec_id", "left").select("vec_id", "label", "distance", "snippet", "quality")
+    return hits.join(docs, "vec_id", "left").join(t("labels").select(F.col("doc_id").alias("vec_id"), "quality"), "vec_id", "left").select("query_id", "vec_id", "label", "distance", "snippet", "quality")

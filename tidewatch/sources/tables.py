@@ -20,10 +20,26 @@ def append_table(df: DataFrame, path: str) -> None:
     df.write.mode("append").parquet(path)
 
 
-def merge_table(df: DataFrame, path: str, keys: list[str], target: str) -> None:
-    """Upsert into a new place: a path that is read is never overwritten; the caller then swaps the two."""
+def merge_table(df: DataFrame, path: str, keys: list[str], target: str, order: str) -> None:
+    """Upsert the last row of each key, by ``order`` (ties by all columns), into a new place.
+
+    A path that is read is never overwritten; the caller then swaps the two.
+    """
     spark = df.sparkSession
-    upsert(spark.read.parquet(path), latest_by(df, keys, [F.col(c) for c in df.columns]), keys).write.parquet(target)
+    last = latest_by(df, keys, [F.desc(order), *[F.col(c) for c in df.columns if c != order]])
+    upsert(spark.read.parquet(path), last, keys).write.parquet(target)
+
+
+def recent_ids(table: DataFrame, key: str, ts: str, since) -> DataFrame:
+    """Distinct keys of rows after an instant, to anti-join a new batch with."""
+    return table.where(F.col(ts) > since).select(key).where(F.col(key).isNotNull()).distinct()
+
+
+def drift(df: DataFrame, schema: StructType) -> DataFrame:
+    """How a table's columns differ from a schema: column, kind (missing, extra, type), expected, found."""
+    want, have = ({f.name: f.dataType.simpleString() for f in s.fields} for s in (schema, df.schema))
+    rows = [(c, "missing" if c not in have else "extra" if c not in want else "type", want.get(c), have.get(c)) for c in sorted({*want, *have}) if want.get(c) != have.get(c)]
+    return df.sparkSession.createDataFrame(rows, "column string, kind string, expected string, found string")
 
 
 def read_seed(spark: SparkSession, path: str, schema: str) -> DataFrame:
