@@ -274,7 +274,7 @@ def test_quality(spark, monkeypatch):
     logp = kneser_ney([t for d, t in rows if d is not None and d < 1000 and d not in back])
     want = lambda t: math.exp(-sum(map(logp, grams_of(t))) / len(grams_of(t)))
     for d, t in [*good, *bad]:
-        assert want(t) in [pytest.approx(r.perplexity, abs=2e-5) for r in got[d]]
+        assert want(t) in [pytest.approx(r.perplexity, rel=1e-6) for r in got[d]]
     assert not any(r.kept for d, _ in bad for r in got[d] if r.n_symbols == 61) and not got[2000][0].kept and not got[2001][0].kept
     assert sum(got[d][0].kept for d, _ in good) >= 110 and len(got[5]) == 2 and len(got[None]) == 1 and got[2002][0].n_symbols == 700_001
     kept = quality.good_documents(docs_of(spark, rows), labels)

@@ -18,7 +18,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import discard, scratch
+from .common import discard, free_shuffles, scratch
 
 #: Symbols of an n-gram, and bits of a symbol: code points under 1024 stand for themselves, others share the rest by remainder; 0 is the edge of a text.
 ORDER, BITS = 4, 12
@@ -30,7 +30,7 @@ HELD_BACK = 5
 #: Thresholds and languages that may be broadcast; more are joined by a shuffle.
 BROADCAST_LINES = 10_000
 #: Symbols of a chunk, symbols that all open chunks of a task may hold, and symbols worked on at a time.
-CHUNK, OPEN, WINDOW = 12 << 20, 24 << 20, 1 << 19
+CHUNK, OPEN, WINDOW = 8 << 20, 16 << 20, 1 << 19
 
 CHUNKS = "chunk long, lang string, doc_ids array<long>, which array<long>, sizes array<long>, blob binary, keys array<long>"
 
@@ -52,11 +52,13 @@ def symbols(text: str) -> np.ndarray:
 def _grams(stream: np.ndarray, sizes: np.ndarray) -> Iterator[np.ndarray]:
     """The ORDER-gram that ends on each symbol and on the end of each text, window by window; texts begin with edges."""
     # Edges between the texts: ORDER - 1 before each, one behind it.
-    out = np.zeros(len(stream) + ORDER * len(sizes), np.uint16)
-    out[np.arange(len(stream)) + np.repeat(ORDER * np.arange(len(sizes)) + ORDER - 1, sizes)] = stream
     ends = np.cumsum(sizes + ORDER)
-    keep = np.ones(len(out), bool)
+    keep = np.ones(len(stream) + ORDER * len(sizes), bool)
     keep[((ends - sizes - ORDER)[:, None] + np.arange(ORDER - 1)).ravel()] = False
+    keep[ends - 1] = False
+    out = np.zeros(len(keep), np.uint16)
+    out[keep] = stream
+    keep[ends - 1] = True
     for a in range(0, len(out), WINDOW):
         seg = out[max(0, a - ORDER + 1) : a + WINDOW].astype(np.int64)
         if a == 0:
@@ -160,21 +162,24 @@ def log_probabilities(grams: np.ndarray, keys: np.ndarray, share: np.ndarray, we
 
 def _score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        for lang, docs, which, sizes, blob, told in zip(*(batch.column(c) for c in ("lang", "doc_ids", "which", "sizes", "blob", "told")), strict=True):
-            stream, n = _unsqueeze(blob.as_py()), np.array(sizes.as_py(), np.int64)
+        for row in range(batch.num_rows):
+            lang, docs, which, sizes, blob, keys, pos, share, weight = (batch.column(c)[row] for c in ("lang", "doc_ids", "which", "sizes", "blob", "keys", "pos", "share", "weight"))
+            stream, n = _unsqueeze(blob.as_py()), sizes.values.to_numpy()
             windows = [_distinct(key) for key in _grams(stream, n)]
+            del stream
             grams = np.unique(np.concatenate([g for g, _ in windows]))
-            if told.is_valid and len(told.values):
-                key, share, weight = (told.values.field(c).to_numpy() for c in ("key", "share", "weight"))
-                order = np.argsort(key)
-                key, share, weight = key[order], share[order], weight[order]
-            else:
-                key, share, weight = np.empty(0, np.int64), np.empty(0), np.empty(0)
-            # The empty context stands under every chunk's own order 1: its weight comes with the answers.
-            logs = log_probabilities(grams, key, share, weight)
-            each = np.concatenate([logs[np.searchsorted(grams, g)][at] for g, at in windows])
-            first = np.cumsum(n + 1) - (n + 1)
-            total = np.add.reduceat(each, first)
+            # The answers by their place among what was asked, the empty context before all.
+            asked = np.concatenate([[_tag(0)], keys.values.to_numpy()])
+            told_share, told_weight = np.zeros(len(asked)), np.ones(len(asked))
+            if pos.is_valid:
+                at = pos.values.to_numpy() + 1
+                told_share[at], told_weight[at] = share.values.to_numpy(), weight.values.to_numpy()
+            logs = log_probabilities(grams, asked, told_share, told_weight)
+            ends, total, done = np.cumsum(n + 1), np.zeros(len(n)), 0
+            for g, at in windows:
+                owner = np.searchsorted(ends, np.arange(done, done + len(at)), "right")
+                total += np.bincount(owner, logs[np.searchsorted(grams, g)][at], len(n))
+                done += len(at)
             m = len(n)
             yield pa.RecordBatch.from_arrays([docs.values, which.values, pa.array([lang.as_py()] * m, pa.string()), pa.array(n + 1), pa.array(total)], ["doc_id", "which", "lang", "n_symbols", "logp"])
 
@@ -218,7 +223,7 @@ def judged(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """As ``judge``, with which (see there) for each row."""
     trusted = labels.groupBy(F.col("doc_id").cast("long").alias("trusted_id")).agg(F.max("quality").alias("quality")).where("quality = 1 and trusted_id is not null").select("trusted_id")
     trusted = trusted.withColumn("back", F.pmod(F.xxhash64("trusted_id"), F.lit(HELD_BACK)) == 0)
-    texts = _texts(docs)
+    texts, spark = _texts(docs), docs.sparkSession
     chunks = scratch(texts.select("doc_id", "lang", "text", "which").mapInArrow(_chunks, CHUNKS), "chunks")
 
     # Where the texts to train on stand in the chunks. The same join at every size: ids by shuffle, whether or not they would fit a broadcast today.
@@ -236,14 +241,18 @@ def judged(docs: DataFrame, labels: DataFrame) -> DataFrame:
     counted = scratch(with_group(counts).groupBy("grp", "key").agg(F.sum("n").alias("n")), "counts")
     table = scratch(model(counted), "model")
 
-    asked = with_group(chunks.select("chunk", "lang", F.explode("keys").alias("key")))
-    root = with_group(chunks.select("chunk", "lang")).select("chunk", "grp", F.lit(_tag(0)).cast("long").alias("key"))
-    told = asked.select("chunk", "grp", "key").unionByName(root).join(table, ["grp", "key"])
-    told = told.groupBy("chunk").agg(F.collect_list(F.struct("key", F.coalesce("share", F.lit(0.0)).alias("share"), F.coalesce("weight", F.lit(1.0)).alias("weight"))).alias("told"))
-    scored = chunks.select("chunk", "lang", "doc_ids", "which", "sizes", "blob").join(told, "chunk", "left").drop("chunk").mapInArrow(_score, "doc_id long, which long, lang string, n_symbols long, logp double")
+    asked = with_group(chunks.select("chunk", "lang", F.posexplode("keys").alias("pos", "key")))
+    # The empty context stands before all that a chunk asks for.
+    root = with_group(chunks.select("chunk", "lang", F.lit(-1).alias("pos"), F.lit(_tag(0)).cast("long").alias("key")))
+    told = asked.unionByName(root).join(table, ["grp", "key"])
+    numbers = {"pos": F.col("pos"), "share": F.coalesce("share", F.lit(0.0)).cast("float"), "weight": F.coalesce("weight", F.lit(1.0)).cast("float")}
+    told = scratch(told.groupBy("chunk").agg(*[F.collect_list(c).alias(name) for name, c in numbers.items()]), "told")
+    discard(placed, counted, table)
+    free_shuffles(spark)
+    scored = chunks.select("chunk", "lang", "doc_ids", "which", "sizes", "blob", "keys").join(told, "chunk", "left").drop("chunk").mapInArrow(_score, "doc_id long, which long, lang string, n_symbols long, logp double")
     perplexity = F.when(F.col("n_symbols") > 1, F.round(F.exp(-F.col("logp") / F.col("n_symbols")), 6))
     scored = scratch(scored.select("doc_id", "which", "lang", "n_symbols", perplexity.alias("perplexity")), "scored")
-    discard(chunks, placed, counted, table)
+    discard(chunks, told)
 
     good = scored.join(trusted, F.col("doc_id") == F.col("trusted_id")).where("perplexity is not null").select("lang", "perplexity", "back")
     # Tables with too few trusted texts to hold any back set thresholds by those that were trained on.
