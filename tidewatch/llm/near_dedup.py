@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import LOWER, UPPER, components, discard, scratch
+from .common import LOWER, UPPER, components, release_memory, scratch
 
 WORDS, PERCENT = 5, 75
 #: Independent trees, and coordinates that the root of each picks. Inner nodes pick one or two, as their hash says:
@@ -123,6 +123,7 @@ def _sketch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 [batch.column(0), batch.column(2), pa.array(n, pa.int64()), pa.array(fp1, pa.int64()), pa.array(fp2, pa.int64()), pa.array(sketch, pa.binary()), pa.array(roots, pa.list_(pa.int64()))],
                 ["doc_id", "which", "n", "fp1", "fp2", "sketch", "roots"],
             )
+    release_memory()
 
 
 def _branch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -18,7 +18,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import discard, free_shuffles, scratch
+from .common import discard, free_shuffles, release_memory, scratch
 
 #: Symbols of an n-gram, and bits of a symbol: code points under 1024 stand for themselves, others share the rest by remainder; 0 is the edge of a text.
 ORDER, BITS = 4, 12
@@ -123,6 +123,7 @@ def _chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 yield flush(max(sizes, key=sizes.__getitem__))
     for lang in list(held):
         yield flush(lang)
+    release_memory()
 
 
 def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -182,6 +183,7 @@ def _score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 done += len(at)
             m = len(n)
             yield pa.RecordBatch.from_arrays([docs.values, which.values, pa.array([lang.as_py()] * m, pa.string()), pa.array(n + 1), pa.array(total)], ["doc_id", "which", "lang", "n_symbols", "logp"])
+    release_memory()
 
 
 def model(counted: DataFrame) -> DataFrame:

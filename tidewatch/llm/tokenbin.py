@@ -26,7 +26,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import scratch
+from .common import release_memory, scratch
 from .tokens import encoder, with_end
 
 MAGIC, BLOCK = 0x32435754, 1024
@@ -394,6 +394,8 @@ def write(docs: DataFrame, tokenizer: str, name: str = "tokens") -> DataFrame:
                     docs_, sizes, parts, seq, held = [], [], [], seq + 1, 0
         if docs_:
             yield close()
+        parts.clear()
+        release_memory()
 
     parts = max(1, int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")))
     # Rows that share a doc_id (null is one too) are told apart by a hash of the text, so they can be split as well.
@@ -415,6 +417,7 @@ def read(files: DataFrame) -> DataFrame:
                 crc = [zlib.crc32(raw[4 * (e - n) : 4 * e]) for n, e in zip(size.tolist(), end.tolist(), strict=True)]
                 n = len(size)
                 yield pa.RecordBatch.from_arrays([pa.array([shard.as_py()] * n, pa.int32()), pa.array([seq.as_py()] * n, pa.int32()), s.doc_ids, pa.array(end - size), pa.array(size), pa.array(crc, pa.int64())], ["shard", "seq", "doc_id", "inside", "n_tokens", "ids_crc32"])
+        release_memory()
 
     texts = files.select("shard", "seq", "segment").mapInArrow(run, "shard int, seq int, doc_id long, inside long, n_tokens long, ids_crc32 long")
     # Running sums over one row a shard, then over a shard's segments.
