@@ -111,9 +111,9 @@ def fetch_cooldowns(t: Tables) -> DataFrame:
 
 
 @query(f"""WITH {LATEST}, f AS (SELECT user_id AS feed, ts, value < 40 AS ok, value FROM ev), l AS (SELECT feed, max(ts) FILTER (WHERE ok) AS last_ok FROM f GROUP BY 1)
-  SELECT feed, round(avg(ok::INT), 6) AS availability, round(CAST(SUM(CAST(value AS DECIMAL(18,4))) AS DOUBLE) / COUNT(*), 3) AS avg_latency_ms, COUNT(*) FILTER (WHERE last_ok IS NULL OR ts > last_ok) AS consecutive_failures FROM f JOIN l USING (feed) GROUP BY 1""")
+  SELECT feed, round(avg(ok::INT), 6) AS availability, round(CAST(SUM(CAST(value AS DECIMAL(18,4))) AS DOUBLE) / COUNT(*), 6) AS avg_latency_ms, COUNT(*) FILTER (WHERE last_ok IS NULL OR ts > last_ok) AS consecutive_failures FROM f JOIN l USING (feed) GROUP BY 1""")
 def feed_health(t: Tables) -> DataFrame:
-    return files.feed_health(_fetches(t)).select("feed", F.round("availability", 6).alias("availability"), F.round("avg_latency_ms", 3).alias("avg_latency_ms"), "consecutive_failures")
+    return files.feed_health(_fetches(t)).select("feed", F.round("availability", 6).alias("availability"), F.round("avg_latency_ms", 6).alias("avg_latency_ms"), "consecutive_failures")
 
 
 @query(f"""WITH {LATEST} SELECT event_type, user_id, event_id FROM (SELECT *, row_number() OVER (PARTITION BY event_type, user_id ORDER BY ts DESC) AS r FROM ev) WHERE r = 1""")

@@ -130,7 +130,7 @@ def cooldowns(fetches: DataFrame, base_seconds: int = 900, cap_seconds: int = 36
 
 
 def feed_health(fetches: DataFrame) -> DataFrame:
-    """Availability, mean latency and trailing failures of each feed (feed, at, ok, latency_ms)."""
+    """Availability, mean latency (by a decimal sum, whatever the order of rows) and trailing failures of each feed (feed, at, ok, latency_ms)."""
     last_ok = Window.partitionBy("feed").orderBy(F.desc("at")).rowsBetween(Window.unboundedPreceding, 0)
     marked = fetches.withColumn("_seen_ok", F.max(F.col("ok").cast("int")).over(last_ok))
-    return marked.groupBy("feed").agg(F.avg(F.col("ok").cast("double")).alias("availability"), F.avg("latency_ms").alias("avg_latency_ms"), F.count_if(F.col("_seen_ok") == 0).alias("consecutive_failures"))
+    return marked.groupBy("feed").agg(F.avg(F.col("ok").cast("double")).alias("availability"), F.avg(F.col("latency_ms").cast("decimal(18,4)")).cast("double").alias("avg_latency_ms"), F.count_if(F.col("_seen_ok") == 0).alias("consecutive_failures"))
