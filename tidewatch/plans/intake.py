@@ -2,14 +2,17 @@
 
 from __future__ import annotations
 
+import uuid
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..components import shared_dir
 from ..sources import social
 from ..sources import tables as files
 from .bindings import AS_OF, Tables
+from ..streaming import events as streams
 from .marts import LATEST, ORACLES, QUERIES, query
 
 _K = "CAST(json_extract_string(props, '$.k') AS BIGINT)"
@@ -133,3 +136,34 @@ def schema_drift(t: Tables) -> DataFrame:
     d = t("documents")
     want = StructType([StructField(f.name, IntegerType() if f.name == "doc_id" else f.dataType) for f in d.schema.fields])
     return files.drift(d.drop("text").withColumn("ingested_at", F.lit(AS_OF).cast("date")), want)
+
+
+def _messages(t: Tables) -> tuple[DataFrame, str]:
+    """The events as a stream of base64 messages, each delivered twice and every seventh damaged; and a folder for its state."""
+    base = f"{shared_dir(t.spark)}/stream-{uuid.uuid4().hex}"
+    body = F.to_json(F.struct(F.concat(F.lit("h"), "event_id").alias("content_hash"), F.date_format("ts", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'").alias("published_at"), F.col("user_id").alias("person_id"), F.col("event_type").alias("source_type"), F.lit("text").alias("text"), F.col("value").alias("engagement")))
+    coded = F.base64(F.when(F.col("event_id") % 7 == 0, F.lit("{")).otherwise(body).cast("binary"))
+    once = t.events().select(F.regexp_replace(coded, r"\s", "").alias("value"))
+    once.unionByName(once).write.text(f"{base}/in")
+    return streams.file_stream(t.spark, f"{base}/in", "value string", "text"), base
+
+
+def _labelled(batch: DataFrame) -> DataFrame:
+    """What each message goes through on its way: the scope rule and the label."""
+    return batch.withColumns({"in_scope": F.col("engagement") >= 50, "label": F.when(F.col("engagement") >= 250, "ALERT").when(F.col("engagement") >= 100, "WARNING").otherwise("FAVORABLE")})
+
+
+@query(f"""WITH {LATEST} SELECT 'h' || event_id AS content_hash, user_id AS person_id, event_type AS source_type, value AS engagement, value >= 50 AS in_scope, CASE WHEN value >= 250 THEN 'ALERT' WHEN value >= 100 THEN 'WARNING' ELSE 'FAVORABLE' END AS label FROM ev WHERE event_id % 7 <> 0""")
+def stream_upserts(t: Tables) -> DataFrame:
+    raw, base = _messages(t)
+    good, _ = streams.decode_messages(raw)
+    streams.upsert_stream(streams.deduplicated(good, delay="40 days"), f"{base}/out", f"{base}/state", "content_hash", _labelled).awaitTermination()
+    return streams.read_upserts(t.spark, f"{base}/out", "content_hash").select("content_hash", "person_id", "source_type", "engagement", "in_scope", "label")
+
+
+@query(f"WITH {LATEST} SELECT DISTINCT 'ew==' AS payload FROM ev WHERE event_id % 7 = 0")
+def stream_rejected(t: Tables) -> DataFrame:
+    raw, base = _messages(t)
+    _, bad = streams.decode_messages(raw)
+    streams.upsert_stream(bad, f"{base}/out", f"{base}/state", "payload").awaitTermination()
+    return streams.read_upserts(t.spark, f"{base}/out", "payload").select("payload")
