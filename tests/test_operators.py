@@ -261,3 +261,19 @@ def test_gazetteer_long_names(spark):
     docs = spark.createDataFrame([(1, "o Rio Grande do Norte de Cima fica longe"), (2, "Rio Grande do Norte de")], "id long, body string")
     names = spark.createDataFrame([("Rio Grande do Norte de Cima", "rgnc", "place")], "name string, entity string, kind string")
     assert [(r.id, r.entity, r.first_at, r.n) for r in identity.gazetteer(docs, "id", F.col("body"), names).collect()] == [(1, "rgnc", 1, 1)]
+
+
+def test_people_by_tiers(spark):
+    """Handle, whole name or alias, name token: the first that says anything, with what the context adds."""
+    people = spark.createDataFrame(
+        [(1, "Maria Silva", "mariasilva", "Natal", "ABC", ["Dona Maria"], "mayor", True), (2, "Ana Silva", "ana", "Caicó", "XYZ", [], "governor", False)],
+        "person_id long, name string, handle string, city string, party string, aliases array<string>, role string, is_incumbent boolean",
+    )
+    rows = [
+        (1, "@MariaSilva", "Ana Silva", ""), (2, None, "dona maria", ""), (3, None, "Maria Silva", "em natal"), (4, None, "Maria Silva", "em outro lugar"), (5, None, "Silva", "a prefeita de Natal, ABC, RN"), (6, None, "Silva", "sem contexto"),
+        (7, None, "Maria Souza", "rn"), (8, None, "Ninguem", "natal"), (9, None, None, "natal"),
+    ]
+    got = {r.mention_id: (r.person_id, r.confidence, r.status, r.candidates) for r in identity.resolve_people(spark.createDataFrame(rows, "mention_id long, handle string, name string, context string"), people).collect()}
+    assert got[1] == (1, 1.0, "IN_SCOPE", None) and got[2] == (1, 0.9, "IN_SCOPE", None) and got[3] == (1, 0.9, "IN_SCOPE", None)
+    assert got[4] == (None, 0.55, "AMBIGUOUS", [1]) and got[5] == (1, 0.95, "IN_SCOPE", None) and got[6] == (None, 0.5, "AMBIGUOUS", [1, 2])
+    assert got[7] == (None, 0.55, "AMBIGUOUS", [1]) and got[8] == got[9] == (None, 0.0, "OUT_OF_SCOPE", None)

@@ -104,26 +104,68 @@ def gazetteer(docs: DataFrame, key: str, text: Column, names: DataFrame) -> Data
     return hits.groupBy(key, "entity", "kind").agg(F.min("at").alias("first_at"), F.count("*").alias("n"))
 
 
+#: Words of a context that speak for a role.
+ROLE_WORDS = {"mayor": ("prefeito", "prefeita", "prefeitura"), "governor": ("governador", "governadora", "governo do estado"), "governor_candidate": ("candidato", "candidata", "campanha")}
+#: Fixed value: the word of a context that speaks for an incumbent.
+REGION_WORD = "rn"
+
+
+def corroboration(context: Column, city: Column, party: Column, role: Column, incumbent: Column) -> Column:
+    """What a folded context says for a person: 0.50, and more for the city, the party, the role and the region; 0.95 at most."""
+    told = lambda part: (part != "") & F.contains(context, part)
+    spoken = F.lit(False)
+    for name, words in ROLE_WORDS.items():
+        for w in words:
+            spoken = spoken | ((role == name) & F.contains(context, F.lit(w)))
+    region = incumbent & F.array_contains(F.split(context, r"\s+"), REGION_WORD)
+    parts = ((told(city), 0.20), (told(party), 0.10), (spoken, 0.10), (region, 0.05))
+    total = F.lit(0.50)
+    for holds, more in parts:
+        total = total + F.when(holds, more).otherwise(0.0)
+    return F.when(F.trim(context) == "", 0.50).otherwise(F.least(F.round(total, 2), F.lit(0.95)))
+
+
 def resolve_people(mentions: DataFrame, people: DataFrame, in_scope: float = 0.70, ambiguous: float = 0.40) -> DataFrame:
-    """Best person of each mention: mention_id, person_id, confidence, status.
+    """Best person of each mention: mention_id, person_id, confidence, status, candidates (three at most, if it is not in scope).
 
     ``mentions``: mention_id, handle, name, context (text). ``people``: person_id, name, handle,
-    city, party. A known handle or a full name decides; else people that share a name token are
-    scored by what the context says of them, and a lead under 0.15 is ambiguous.
+    city, party and, if there, aliases (array), role, is_incumbent. A known handle decides. Else a
+    whole name or alias does, unless the context does not corroborate it (a namesake). Else people
+    that share a name token are scored by the context, and a lead under 0.15 is ambiguous.
     """
-    p = people.select("person_id", F.lower("handle").alias("p_handle"), fold_accents(F.col("name")).alias("p_name"), fold_accents(F.coalesce("city", F.lit(""))).alias("p_city"), F.lower(F.coalesce("party", F.lit(""))).alias("p_party"))
-    m = mentions.select("mention_id", F.lower("handle").alias("m_handle"), fold_accents(F.coalesce("name", F.lit(""))).alias("m_name"), fold_accents(F.coalesce("context", F.lit(""))).alias("context"))
-    by_handle = m.join(p, F.col("m_handle") == F.col("p_handle")).select("mention_id", "person_id", F.lit(1.0).alias("confidence"))
-    by_name = m.join(p, F.col("m_name") == F.col("p_name")).select("mention_id", "person_id", F.lit(0.90).alias("confidence"))
-    tokens = lambda c: F.explode(F.filter(F.split(c, r"\s+"), lambda t: F.length(t) >= 3))
-    about = 0.50 + F.when((F.col("p_city") != "") & F.contains("context", F.col("p_city")), 0.20).otherwise(0.0) + F.when((F.col("p_party") != "") & F.contains("context", F.col("p_party")), 0.10).otherwise(0.0)
-    by_token = m.withColumn("t", tokens(F.col("m_name"))).join(p.withColumn("t", tokens(F.col("p_name"))), "t").select("mention_id", "person_id", F.least(about, F.lit(0.95)).alias("confidence"))
-    every = by_handle.union(by_name).union(by_token).groupBy("mention_id", "person_id").agg(F.max("confidence").alias("confidence"))
+    has = lambda c, otherwise: F.col(c) if c in people.columns else F.lit(otherwise)
+    aliases = F.transform(has("aliases", None).cast("array<string>"), fold_accents)
+    p = people.select(
+        "person_id", F.lower(F.ltrim(F.trim("handle"), F.lit("@"))).alias("p_handle"), fold_accents(F.col("name")).alias("p_name"), fold_accents(F.coalesce("city", F.lit(""))).alias("p_city"), fold_accents(F.coalesce("party", F.lit(""))).alias("p_party"),
+        F.coalesce(has("role", ""), F.lit("")).alias("p_role"), F.coalesce(has("is_incumbent", False), F.lit(False)).alias("p_incumbent"), F.coalesce(aliases, F.array().cast("array<string>")).alias("p_aliases"),
+    )
+    m = mentions.select("mention_id", F.lower(F.ltrim(F.trim("handle"), F.lit("@"))).alias("m_handle"), fold_accents(F.trim(F.coalesce("name", F.lit("")))).alias("m_name"), fold_accents(F.coalesce("context", F.lit(""))).alias("context"))
+    about = corroboration(F.col("context"), F.col("p_city"), F.col("p_party"), F.col("p_role"), F.col("p_incumbent"))
+    names = p.select("*", F.explode(F.array_distinct(F.concat(F.array("p_name"), "p_aliases"))).alias("called")).where("called != ''")
+    row = lambda df, tier, score: df.select("mention_id", "person_id", F.lit(tier).alias("tier"), score.alias("confidence"))
+    by_handle = row(m.join(p, F.col("m_handle") == F.col("p_handle")), 1, F.lit(1.0))
+    exact = F.when(F.trim("context") == "", 0.90).when(about >= 0.60, F.least(F.round(about + 0.20, 2), F.lit(0.97))).otherwise(0.55)
+    by_name = row(m.join(names, F.col("m_name") == F.col("called")), 2, exact)
+    tokens = lambda c: F.explode(F.array_distinct(F.filter(F.split(c, r"\s+"), lambda t: F.length(t) >= 3)))
+    by_token = row(m.withColumn("t", tokens(F.col("m_name"))).join(names.withColumn("t", tokens(F.col("called"))), "t"), 3, about)
+    every = by_handle.union(by_name).union(by_token).groupBy("mention_id", "tier", "person_id").agg(F.max("confidence").alias("confidence"))
+    # The first tier that says anything speaks alone.
+    first = every.join(every.groupBy("mention_id").agg(F.min("tier").alias("tier")), ["mention_id", "tier"])
     w = Window.partitionBy("mention_id").orderBy(F.desc("confidence"), "person_id")
-    ranked = every.withColumns({"k": F.row_number().over(w), "next": F.lead("confidence").over(w)}).where("k = 1")
-    close = F.coalesce(F.col("confidence") - F.col("next") < 0.15, F.lit(False))
-    status = F.when((F.col("confidence") >= in_scope) & ~close, "IN_SCOPE").when(F.col("confidence") >= ambiguous, "AMBIGUOUS").otherwise("OUT_OF_SCOPE")
-    return mentions.select("mention_id").join(ranked, "mention_id", "left").select("mention_id", "person_id", F.coalesce("confidence", F.lit(0.0)).alias("confidence"), F.when(F.col("person_id").isNull(), "OUT_OF_SCOPE").otherwise(status).alias("status"))
+    ranked = first.withColumns({"k": F.row_number().over(w), "next": F.lead("confidence").over(w)}).where("k <= 3")
+    top = ranked.groupBy("mention_id", "tier").agg(F.min_by(F.struct("person_id", "confidence", "next"), "k").alias("best"), F.transform(F.array_sort(F.collect_list(F.struct("k", "person_id"))), lambda x: x["person_id"]).alias("candidates"))
+    sure, close = F.col("best.confidence"), F.coalesce(F.col("best.confidence") - F.col("best.next") < 0.15, F.lit(False)) & (F.col("tier") == 3)
+    status = F.when((sure >= in_scope) & ~close, "IN_SCOPE").when((sure >= ambiguous) | close, "AMBIGUOUS").otherwise("OUT_OF_SCOPE")
+    found = top.select("mention_id", sure.alias("confidence"), status.alias("status"), F.col("best.person_id").alias("best_id"), "candidates")
+    inside = F.col("status") == "IN_SCOPE"
+    out = mentions.select("mention_id").join(found, "mention_id", "left")
+    return out.select("mention_id", F.when(inside, F.col("best_id")).alias("person_id"), F.coalesce("confidence", F.lit(0.0)).alias("confidence"), F.coalesce("status", F.lit("OUT_OF_SCOPE")).alias("status"), F.when(~inside, F.col("candidates")).alias("candidates"))
+
+
+def resolve_best(resolved: DataFrame, content: str) -> DataFrame:
+    """One result for each content: the surest in scope, else the surest ambiguous one, else the surest of the rest."""
+    rank = F.when(F.col("status") == "IN_SCOPE", 0).when(F.col("status") == "AMBIGUOUS", 1).otherwise(2)
+    return resolved.groupBy(content).agg(F.min_by(F.struct("person_id", "confidence", "status"), F.struct(rank, -F.col("confidence"), "mention_id")).alias("r")).select(content, "r.*")
 
 
 def merge_mentions(*arrays: Column) -> Column:

@@ -208,7 +208,17 @@ def gazetteer_mentions(t: Tables) -> DataFrame:
 def resolved_people(t: Tables) -> DataFrame:
     people = t("customer").select(F.col("c_custkey").alias("person_id"), F.col("c_name").alias("name"), F.concat(F.lit("c"), "c_custkey").alias("handle"), F.col("c_mktsegment").alias("city"), F.lit(None).cast("string").alias("party"))
     m = t("customer").select(F.col("c_custkey").alias("mention_id"), F.when(F.col("c_custkey") % 3 == 0, F.concat(F.lit("C"), "c_custkey")).alias("handle"), F.col("c_name").alias("name"), F.col("c_mktsegment").alias("context"))
-    return identity.resolve_people(m, people)
+    return identity.resolve_people(m, people).drop("candidates")
+
+
+@query(f"""WITH {LATEST} SELECT user_id % 20 AS content_id, CASE WHEN bool_or(event_type = 'view') THEN 1 END AS person_id, CASE WHEN bool_or(event_type = 'view') THEN 0.9 WHEN bool_or(event_type = 'click') THEN 0.55 ELSE 0.0 END::DOUBLE AS confidence,
+  CASE WHEN bool_or(event_type = 'view') THEN 'IN_SCOPE' WHEN bool_or(event_type = 'click') THEN 'AMBIGUOUS' ELSE 'OUT_OF_SCOPE' END AS status FROM ev GROUP BY 1""")
+def resolved_contents(t: Tables) -> DataFrame:
+    """Several mentions a content: an alias in a corroborating context, a namesake in another one, an unknown name."""
+    people = t.spark.createDataFrame([(1, "Maria Silva", "maria", "Natal", "ABC", ["Dona Maria"], "mayor", True), (2, "Joao Souza", "joao", "Caico", "XYZ", [], "governor", False)], "person_id int, name string, handle string, city string, party string, aliases array<string>, role string, is_incumbent boolean")
+    kind = F.col("event_type")
+    m = t.events().select(F.col("event_id").alias("mention_id"), (F.col("user_id") % 20).alias("content_id"), F.lit(None).cast("string").alias("handle"), F.when(kind == "view", "DONA MARIA").when(kind == "click", "João Souza").otherwise("Nobody").alias("name"), F.when(kind == "view", "em Natal hoje").otherwise("longe").alias("context"))
+    return identity.resolve_best(identity.resolve_people(m, people).join(m.select("mention_id", "content_id"), "mention_id"), "content_id")
 
 
 @query("""WITH RECURSIVE v AS (SELECT vec_id, label, embedding::DOUBLE[] AS x FROM embeddings), n AS (SELECT *, sqrt(list_dot_product(x, x)) AS len FROM v),

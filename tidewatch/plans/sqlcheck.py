@@ -56,7 +56,7 @@ ORACLES["centroid_roles"] = """WITH v AS (SELECT label, vec_id, embedding::DOUBL
 ORACLES["resolved_people"] = f"""WITH p AS (SELECT c_custkey AS person_id, lower('c' || c_custkey) AS handle, {_fold("c_name")} AS name, {_fold("c_mktsegment")} AS city FROM customer),
     m AS (SELECT c_custkey AS mention_id, CASE WHEN c_custkey % 3 = 0 THEN lower('C' || c_custkey) END AS handle, {_fold("c_name")} AS name, {_fold("c_mktsegment")} AS context FROM customer),
     mt AS (SELECT DISTINCT * FROM (SELECT mention_id, context, unnest(regexp_split_to_array(name, '\\s+')) AS t FROM m) WHERE length(t) >= 3), pt AS (SELECT DISTINCT * FROM (SELECT person_id, city, unnest(regexp_split_to_array(name, '\\s+')) AS t FROM p) WHERE length(t) >= 3),
-    x AS (SELECT mention_id, person_id, 1.0::DOUBLE AS c FROM m JOIN p USING (handle) UNION ALL SELECT mention_id, person_id, 0.90 FROM m JOIN p USING (name) UNION ALL SELECT mention_id, person_id, 0.50 + CASE WHEN city <> '' AND contains(context, city) THEN 0.20 ELSE 0 END FROM mt JOIN pt USING (t)),
+    x AS (SELECT mention_id, person_id, 1.0::DOUBLE AS c FROM m JOIN p USING (handle) UNION ALL SELECT mention_id, person_id, CASE WHEN context = '' THEN 0.90 WHEN city <> '' AND contains(context, city) THEN 0.90 ELSE 0.55 END FROM m JOIN p USING (name) UNION ALL SELECT mention_id, person_id, 0.50 + CASE WHEN city <> '' AND contains(context, city) THEN 0.20 ELSE 0 END FROM mt JOIN pt USING (t)),
     b AS (SELECT mention_id, person_id, max(c) AS c FROM x GROUP BY 1, 2), w AS (SELECT *, row_number() OVER o AS k, lead(c) OVER o AS next FROM b WINDOW o AS (PARTITION BY mention_id ORDER BY c DESC, person_id))
     SELECT m.mention_id, w.person_id, coalesce(w.c, 0.0)::DOUBLE AS confidence, CASE WHEN w.person_id IS NULL THEN 'OUT_OF_SCOPE' WHEN w.c >= 0.70 AND NOT coalesce(w.c - next < 0.15, FALSE) THEN 'IN_SCOPE' WHEN w.c >= 0.40 THEN 'AMBIGUOUS' ELSE 'OUT_OF_SCOPE' END AS status
     FROM m LEFT JOIN w ON w.mention_id = m.mention_id AND w.k = 1"""
