@@ -277,3 +277,34 @@ def test_people_by_tiers(spark):
     assert got[1] == (1, 1.0, "IN_SCOPE", None) and got[2] == (1, 0.9, "IN_SCOPE", None) and got[3] == (1, 0.9, "IN_SCOPE", None)
     assert got[4] == (None, 0.55, "AMBIGUOUS", [1]) and got[5] == (1, 0.95, "IN_SCOPE", None) and got[6] == (None, 0.5, "AMBIGUOUS", [1, 2])
     assert got[7] == (None, 0.55, "AMBIGUOUS", [1]) and got[8] == got[9] == (None, 0.0, "OUT_OF_SCOPE", None)
+
+
+def test_stores(spark, tmp_path):
+    from tidewatch.sources import storage
+
+    df = spark.createDataFrame([(1, "a", 1), (2, "b", 1)], "id long, v string, at long")
+    for scheme in ("parquet", "json", "orc"):
+        store = storage.open_store(spark, f"{scheme}:{tmp_path}/{scheme}")
+        store.append(df, "t")
+        store.append(df.where("id = 1"), "t")
+        assert store.read("t").count() == 3
+        store.replace(df, "t")
+        storage.merge_into(store, spark.createDataFrame([(2, "c", 2), (2, "d", 3), (3, "e", 1)], df.schema), "t", "u", ["id"], "at")
+        assert {(r.id, r.v) for r in store.read("u").collect()} == {(1, "a"), (2, "d"), (3, "e")}
+        storage.audit(store, spark.createDataFrame([("call", "x", "ok")], "kind string, subject string, status string"))
+        assert store.read("audit").where("kind = 'call' and status = 'ok' and at is not null").count() == 1
+    none = storage.open_store(spark, "none:")
+    none.append(df, "t")
+    assert none.read("t").count() == 0
+    with pytest.raises(ValueError):
+        storage.open_store(spark, "ftp:x")
+
+
+def test_batches(spark):
+    from tidewatch.operators import checks
+
+    rules = [*checks.required("v"), checks.between("n", 0, 5), checks.covered("v", F.col("v") == "a", 0.9, rows=2), checks.spread("n", 0.1, rows=3), checks.agrees("same", F.col("n") == F.col("n"))]
+    got = {r.check: (r.actual, r.status) for r in checks.batch_report(spark.createDataFrame([("a", 1), (" ", 9)], "v string, n long"), rules).collect()}
+    assert got["v_present"] == (0.5, "FAIL") and got["n_range"] == (0.5, "FAIL") and got["v_coverage"] == (0.5, "WARN") and got["n_spread"][1] == "SKIP" and got["same"] == (0.0, "PASS")
+    empty = checks.batch_report(spark.createDataFrame([], "v string, n long"), rules)
+    assert {r.status for r in empty.collect()} == {"SKIP"} and checks.batch_status(empty).first().status == "PASS"

@@ -136,3 +136,32 @@ def quality_report(t: Tables) -> DataFrame:
 def quality_core(t: Tables) -> DataFrame:
     named = ("relationship_lineitem_l_orderkey", "relationship_orders_o_custkey", "unique_lineitem_l_orderkey_l_linenumber", "length_matches_text", "score_range_event_value")
     return report(t, [c for c in CHECKS if c.name in named]).select("check", "violations")
+
+
+_BATCH = """m AS (SELECT COUNT(*) AS n, avg((d.text IS NULL OR trim(d.text) = '')::INT) AS no_text, avg((d.lang IS NULL OR trim(d.lang) = '')::INT) AS no_lang, avg(coalesce(d.lang NOT IN ('en', 'fr', 'de'), FALSE)::INT) AS odd_lang, avg((NOT n_chars BETWEEN 1 AND 1000000)::INT) AS odd_length,
+  avg((l.quality IS NOT NULL)::INT) AS labelled, avg((d.doc_id < 10)::INT) AS early, stddev_samp(n_chars) AS spread, avg((n_chars <> length(d.text))::INT) AS unequal FROM documents d LEFT JOIN (SELECT doc_id, max(quality) AS quality FROM labels GROUP BY 1) l USING (doc_id)),
+  r AS (SELECT unnest([{'category': 'completeness', 'check': 'text_present', 'actual': no_text, 'bad': no_text > 0, 'how': 'FAIL'}, {'category': 'completeness', 'check': 'lang_present', 'actual': no_lang, 'bad': no_lang > 0, 'how': 'FAIL'}, {'category': 'validity', 'check': 'lang_accepted', 'actual': odd_lang, 'bad': odd_lang > 0, 'how': 'FAIL'},
+    {'category': 'validity', 'check': 'n_chars_range', 'actual': odd_length, 'bad': odd_length > 0, 'how': 'FAIL'}, {'category': 'enrichment', 'check': 'quality_coverage', 'actual': labelled, 'bad': labelled < 0.5, 'how': 'WARN'}, {'category': 'temporal', 'check': 'doc_id_cutoff', 'actual': early, 'bad': early > 0, 'how': 'FAIL'},
+    {'category': 'distribution', 'check': 'n_chars_spread', 'actual': spread, 'bad': spread < 0.1, 'how': 'WARN'}, {'category': 'consistency', 'check': 'length_matches_text', 'actual': unequal, 'bad': unequal > 0, 'how': 'FAIL'}]) AS c, n FROM m),
+  report AS (SELECT c.category, c."check", n AS n_rows, round(c.actual, 4)::DOUBLE AS actual, CASE WHEN c.bad THEN c.how ELSE 'PASS' END AS status FROM r)"""
+
+
+def _batch(t: Tables) -> DataFrame:
+    from ..operators import checks
+
+    known = t("labels").groupBy("doc_id").agg(F.max("quality").alias("quality"))
+    rows = t("documents").join(known, "doc_id", "left")
+    rules = [*checks.required("text", "lang"), checks.accepted("lang", ("en", "fr", "de")), checks.between("n_chars", 1, 1_000_000), checks.covered("quality", F.col("quality").isNotNull(), 0.5), checks.not_before("doc_id", F.lit(10)), checks.spread("n_chars", 0.1), checks.agrees("length_matches_text", F.col("n_chars") == F.length("text"))]
+    return checks.batch_report(rows, rules)
+
+
+@query(f"WITH {_BATCH} SELECT * FROM report")
+def batch_quality(t: Tables) -> DataFrame:
+    return _batch(t).withColumn("actual", F.round("actual", 4))
+
+
+@query(f"WITH {_BATCH} SELECT CASE WHEN bool_or(status = 'FAIL') THEN 'FAIL' WHEN bool_or(status = 'WARN') THEN 'WARN' ELSE 'PASS' END AS status, round(avg((status = 'PASS')::INT), 6)::DOUBLE AS pass_rate, COUNT(*) FILTER (WHERE status = 'SKIP') AS n_skipped FROM report")
+def batch_quality_status(t: Tables) -> DataFrame:
+    from ..operators import checks
+
+    return checks.batch_status(_batch(t))
