@@ -308,3 +308,15 @@ def test_batches(spark):
     assert got["v_present"] == (0.5, "FAIL") and got["n_range"] == (0.5, "FAIL") and got["v_coverage"] == (0.5, "WARN") and got["n_spread"][1] == "SKIP" and got["same"] == (0.0, "PASS")
     empty = checks.batch_report(spark.createDataFrame([], "v string, n long"), rules)
     assert {r.status for r in empty.collect()} == {"SKIP"} and checks.batch_status(empty).first().status == "PASS"
+
+
+def test_extraction(spark):
+    """Longest names first, offices as names, a recognizer's names beside the catalogue's."""
+    docs = spark.createDataFrame([(1, "A prefeita de Natal falou no Rio Grande do Norte"), (2, "Norte e Sul"), (3, "nada"), (4, None)], "id long, body string")
+    names = spark.createDataFrame([("Rio Grande do Norte", "rn", "state"), ("Norte", "norte", "word"), ("Natal", "natal", "city")], "name string, entity string, kind string")
+    holders = spark.createDataFrame([("Maria", "mayor", "Natal")], "entity string, role string, place string")
+    every = names.unionByName(identity.role_names(holders, {"mayor": ("prefeito", "prefeita")}))
+    got = {r.id: r for r in identity.extract(docs, "id", F.col("body"), every, ["city", "state", "word"], ["city", "state"], ["ana"], F.when(F.col("id") == 3, F.array(F.lit("Ana"))).when(F.col("id") == 1, F.array(F.lit("MARIA")))).collect()}
+    assert (got[1].city, got[1].state, got[1].word, got[1].persons, got[1].is_relevant) == ([], ["rn"], [], ["Maria"], True)
+    assert (got[2].word, got[2].persons, got[2].is_relevant) == (["norte"], [], False)
+    assert got[3].persons == ["Ana"] and got[3].is_relevant and not got[4].is_relevant and got[4].city == []

@@ -83,11 +83,12 @@ def personas(authors: DataFrame, handle_least: float = 0.90, name_least: float =
     return where.join(weakest, "component").select(F.col("id").alias("author_key"), F.substring(F.sha1(F.col("component").cast("string").cast("binary")), 1, 16).alias("persona_id"), "confidence")
 
 
-def gazetteer(docs: DataFrame, key: str, text: Column, names: DataFrame) -> DataFrame:
+def gazetteer(docs: DataFrame, key: str, text: Column, names: DataFrame, longest_first: bool = True) -> DataFrame:
     """Names of a catalogue in texts: key, entity, kind, first_at, n. ``names``: name, entity, kind.
 
     Word n-grams are joined to the folded names, so a catalogue of any size is one hash join. Only
-    the key goes with the n-grams, not the text.
+    the key goes with the n-grams, not the text. With ``longest_first`` a name inside of a longer
+    name's place does not count.
     """
     split = lambda c: F.regexp_extract_all(fold_accents(c), F.lit(r"[\p{L}\p{N}]+"), F.lit(0))
     folded = names.select(F.array_join(split(F.col("name")), " ").alias("gram"), "entity", "kind").where("gram != ''").distinct()
@@ -95,15 +96,43 @@ def gazetteer(docs: DataFrame, key: str, text: Column, names: DataFrame) -> Data
     # Starts of names first: only words that begin a name are followed further.
     starts = folded.select(F.split_part("gram", F.lit(" "), F.lit(1)).alias("word"), "gram", "entity", "kind").withColumn("words", F.split("gram", " "))
     begun = words.join(F.broadcast(starts) if names.count() <= 100_000 else starts, "word")
-    single = begun.where(F.size("words") == 1).select(key, "at", "entity", "kind")
+    single = begun.where(F.size("words") == 1).select(key, "at", "entity", "kind", F.lit(1).alias("size"))
     rest = begun.where(F.size("words") > 1).select(key, "at", "entity", "kind", "gram", F.size("words").alias("size"), F.posexplode("words").alias("k", "want")).where("k > 0")
     follow = words.select(F.col(key).alias("_key"), (F.col("at")).alias("_at"), F.col("word").alias("_word"))
     met = rest.join(follow, (F.col(key) == F.col("_key")) & (F.col("at") + F.col("k") == F.col("_at")) & (F.col("want") == F.col("_word")))
-    several = met.groupBy(key, "at", "entity", "kind", "gram", "size").agg(F.count("*").alias("found")).where("found = size - 1").select(key, "at", "entity", "kind")
+    several = met.groupBy(key, "at", "entity", "kind", "gram", "size").agg(F.count("*").alias("found")).where("found = size - 1").select(key, "at", "entity", "kind", "size")
     hits = single.unionByName(several).distinct()
+    if longest_first:
+        over = hits.where("size > 1").select(F.col(key).alias("_key"), F.explode(F.sequence("at", F.col("at") + F.col("size") - 1)).alias("_at"), (F.col("at") + F.col("size")).alias("_end"), F.col("size").alias("_size")).distinct()
+        hits = hits.join(over, (F.col(key) == F.col("_key")) & (F.col("at") == F.col("_at")) & (F.col("_size") > F.col("size")) & (F.col("_end") >= F.col("at") + F.col("size")), "left_anti")
     return hits.groupBy(key, "entity", "kind").agg(F.min("at").alias("first_at"), F.count("*").alias("n"))
 
 
+def role_names(holders: DataFrame, titles: dict[str, Sequence[str]], links: Sequence[str] = ("de", "da", "do")) -> DataFrame:
+    """Catalogue names for people called by their office ("prefeita de Natal"). ``holders``: entity, role, place; ``titles``: the words for a role."""
+    rows = [(role, f"{title} {link}") for role, words in titles.items() for title in words for link in links]
+    calls = holders.sparkSession.createDataFrame(rows, "role string, call string")
+    return holders.join(calls, "role").select(F.concat_ws(" ", "call", "place").alias("name"), "entity", F.lit("role").alias("kind"))
+
+
+def extract(docs: DataFrame, key: str, text: Column, names: DataFrame, kinds: Sequence[str], relevant: Sequence[str], incumbents: Sequence[str] = (), model: Column | None = None) -> DataFrame:
+    """Entities of each text by kind: key, an array for each kind, persons, is_relevant.
+
+    ``model``: an array of names that a statistical recognizer found (a UDF's column); persons are
+    its names and those of the catalogue's person and role entries, without regard to case. A text
+    is relevant if it has an entity of a ``relevant`` kind or names an incumbent. Texts without
+    entities have empty arrays.
+    """
+    hits = gazetteer(docs, key, text, names)
+    of = lambda *ks: F.array_sort(F.collect_set(F.when(F.col("kind").isin(*ks), F.col("entity"))))
+    found = hits.groupBy(key).agg(*[of(k).alias(k) for k in kinds], of("person", "role").alias("_persons"), of(*relevant).alias("_relevant"))
+    none = F.array().cast("array<string>")
+    guessed = docs.select(key, (F.lit(None).cast("array<string>") if model is None else model).alias("_model"))
+    out = guessed.join(found, key, "left").withColumn("persons", merge_mentions(F.col("_persons"), F.col("_model")))
+    named = F.exists("persons", lambda p: F.lower(p).isin(*[i.lower() for i in incumbents])) if incumbents else F.lit(False)
+    return out.select(key, *[F.coalesce(k, none).alias(k) for k in kinds], "persons", ((F.size(F.coalesce("_relevant", none)) > 0) | named).alias("is_relevant"))
+
+
 #: Words of a context that speak for a role.
 ROLE_WORDS = {"mayor": ("prefeito", "prefeita", "prefeitura"), "governor": ("governador", "governadora", "governo do estado"), "governor_candidate": ("candidato", "candidata", "campanha")}
 #: Fixed value: the word of a context that speaks for an incumbent.

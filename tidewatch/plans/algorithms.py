@@ -204,6 +204,16 @@ def gazetteer_mentions(t: Tables) -> DataFrame:
     return identity.gazetteer(d, "doc_id", F.col("text"), names)
 
 
+@query(r"""WITH w AS (SELECT doc_id, regexp_extract_all(lower(text), '[a-z0-9]+') AS w, lower(text) AS body FROM documents WHERE text IS NOT NULL), p AS (SELECT doc_id, w, unnest(range(0, len(w))) AS pos FROM w),
+  h AS (SELECT doc_id, CASE WHEN w[pos + 1] = 'general' AND w[pos + 2] = 'public' AND w[pos + 3] = 'license' THEN 'gpl' WHEN w[pos + 1] = 'mit' AND w[pos + 2] = 'license' THEN 'mit' WHEN w[pos + 1] = 'apache' AND w[pos + 2] = 'license' THEN 'apache'
+    WHEN w[pos + 1] = 'license' AND NOT coalesce(w[pos] IN ('mit', 'apache') OR (w[pos] = 'public' AND w[pos - 1] = 'general'), FALSE) THEN 'plain' END AS entity FROM p), g AS (SELECT doc_id, list_sort(list(DISTINCT entity) FILTER (WHERE entity IN ('gpl', 'mit', 'apache'))) AS notice, list_sort(list(DISTINCT entity) FILTER (WHERE entity = 'plain')) AS word FROM h WHERE entity IS NOT NULL GROUP BY 1)
+  SELECT d.doc_id, coalesce(notice, []) AS notice, coalesce(word, []) AS word, CAST([] AS VARCHAR[]) AS persons, len(coalesce(notice, [])) > 0 AS is_relevant FROM documents d LEFT JOIN g USING (doc_id)""")
+def entity_extraction(t: Tables) -> DataFrame:
+    """Longest names first: a license inside of a named license is no entity of its own."""
+    names = t.spark.createDataFrame([("General Public License", "gpl", "notice"), ("MIT License", "mit", "notice"), ("Apache License", "apache", "notice"), ("license", "plain", "word")], "name string, entity string, kind string")
+    return identity.extract(t("documents"), "doc_id", F.col("text"), names, ["notice", "word"], ["notice"])
+
+
 @query()
 def resolved_people(t: Tables) -> DataFrame:
     people = t("customer").select(F.col("c_custkey").alias("person_id"), F.col("c_name").alias("name"), F.concat(F.lit("c"), "c_custkey").alias("handle"), F.col("c_mktsegment").alias("city"), F.lit(None).cast("string").alias("party"))

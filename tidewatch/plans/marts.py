@@ -231,3 +231,22 @@ def fct_series_age(t: Tables) -> DataFrame:
 @query("""WITH c AS (SELECT label AS cluster, vec_id FROM embeddings) SELECT cluster, COUNT(*) AS size, max(CASE WHEN vec_id % 7 = 0 THEN vec_id END) AS centroid_id, list_sort(list(vec_id)) AS members FROM c GROUP BY 1""")
 def fct_narrative_cluster_daily(t: Tables) -> DataFrame:
     return t("embeddings").groupBy(F.col("label").alias("cluster")).agg(F.count("*").alias("size"), F.max(F.when(F.col("vec_id") % 7 == 0, F.col("vec_id"))).alias("centroid_id"), F.sort_array(F.collect_list("vec_id")).alias("members"))
+
+
+@query(ORACLES["mart_anomalies_daily"].replace("7 PRECEDING", "30 PRECEDING"))
+def mart_anomalies_monthly(t: Tables) -> DataFrame:
+    """The daily anomalies against a baseline of thirty days."""
+    e = t.events()
+    counts = e.groupBy("user_id", F.col("ts").cast("date").alias("day")).agg(F.count("*").alias("n"))
+    dense = series.densify(counts, e.select("user_id").distinct(), series.calendar(t.spark, "2024-01-01", AS_OF), "user_id")
+    return series.anomalies(dense, "user_id", frame=30).withColumn("baseline_mean", F.round("baseline_mean", 6))
+
+
+@query("""WITH n AS (SELECT n_nationkey AS place_id, n_name AS place, n_regionkey AS region FROM nation), o AS (SELECT * FROM n WHERE place_id % 6 <> 0), f AS (SELECT place_id, place, CASE WHEN place_id % 5 = 0 THEN (region + 1) % 5 ELSE region END AS region FROM n WHERE place_id % 7 <> 0)
+  SELECT o.place_id, o.place, o.region, DATE '2024-01-01' AS valid_from, CASE WHEN f.place_id IS NOT NULL AND f.region = o.region THEN NULL ELSE DATE '2024-02-01' END AS valid_to, f.place_id IS NOT NULL AND f.region = o.region AS is_current FROM o LEFT JOIN f USING (place_id)
+  UNION ALL SELECT f.place_id, f.place, f.region, DATE '2024-02-01', NULL, TRUE FROM f LEFT JOIN o USING (place_id) WHERE o.place_id IS NULL OR o.region <> f.region""")
+def dim_places_scd2(t: Tables) -> DataFrame:
+    n = t("nation").select(F.col("n_nationkey").alias("place_id"), F.col("n_name").alias("place"), F.col("n_regionkey").alias("region"))
+    old = tables.full_refresh(n.where("place_id % 6 != 0"), ["place", "region"], "place_id", "2024-01-01")
+    seed = n.where("place_id % 7 != 0").withColumn("region", F.when(F.col("place_id") % 5 == 0, (F.col("region") + 1) % 5).otherwise(F.col("region")).cast(n.schema["region"].dataType))
+    return tables.slowly_changing(old, seed, "place_id", ["place", "region"], "2024-02-01")
