@@ -164,13 +164,13 @@ def log_probabilities(grams: np.ndarray, keys: np.ndarray, share: np.ndarray, we
 def _score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for row in range(batch.num_rows):
-            lang, docs, which, sizes, blob, keys, pos, share, weight = (batch.column(c)[row] for c in ("lang", "doc_ids", "which", "sizes", "blob", "keys", "pos", "share", "weight"))
+            lang, docs, which, sizes, blob, pos, share, weight = (batch.column(c)[row] for c in ("lang", "doc_ids", "which", "sizes", "blob", "pos", "share", "weight"))
             stream, n = _unsqueeze(blob.as_py()), sizes.values.to_numpy()
             windows = [_distinct(key) for key in _grams(stream, n)]
             del stream
             grams = np.unique(np.concatenate([g for g, _ in windows]))
             # The answers by their place among what was asked, the empty context before all.
-            asked = np.concatenate([[_tag(0)], keys.values.to_numpy()])
+            asked = np.concatenate([[_tag(0)], _asked(grams)])
             told_share, told_weight = np.zeros(len(asked)), np.ones(len(asked))
             if pos.is_valid:
                 at = pos.values.to_numpy() + 1
@@ -186,8 +186,8 @@ def _score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     release_memory()
 
 
-def model(counted: DataFrame) -> DataFrame:
-    """The model's table (grp, key, share, weight) from counts of tagged ORDER-grams (grp, key, n).
+def model(counted: DataFrame, few: bool = False) -> DataFrame:
+    """The model's table (grp, key, share, weight) from counts of tagged ORDER-grams (grp, key, n); few: groups are so few that a row for each may be broadcast.
 
     share: the discounted share of an n-gram in its context; weight: what its discounts leave to
     the order below where it is a context itself, null if it never is.
@@ -199,7 +199,7 @@ def model(counted: DataFrame) -> DataFrame:
         y = F.col("n1") / (F.col("n1") + 2 * F.col("n2"))
         d = lambda j: F.when((F.col(f"n{j}") > 0) & (F.col("n1") > 0), F.greatest(F.lit(0.0), j - (j + 1) * y * F.col(f"n{j + 1}") / F.col(f"n{j}"))).otherwise(0.5)
         of = of.select(F.col("grp").alias("of_grp"), d(1).alias("d1"), d(2).alias("d2"), d(3).alias("d3"))
-        each = level.join(of, F.col("grp") == F.col("of_grp")).select("grp", context.alias("context"), "key", "n", F.when(F.col("n") == 1, F.col("d1")).when(F.col("n") == 2, F.col("d2")).otherwise(F.col("d3")).alias("d"))
+        each = level.join(F.broadcast(of) if few else of, F.col("grp") == F.col("of_grp")).select("grp", context.alias("context"), "key", "n", F.when(F.col("n") == 1, F.col("d1")).when(F.col("n") == 2, F.col("d2")).otherwise(F.col("d3")).alias("d"))
         contexts = each.groupBy("grp", "context").agg(F.sum("n").alias("total"), F.sum("d").alias("given"))
         shares = each.join(contexts, ["grp", "context"]).select("grp", "key", ((F.col("n") - F.col("d")) / F.col("total")).alias("share"), F.lit(None).cast("double").alias("weight"))
         weights = contexts.select("grp", F.col("context").alias("key"), F.lit(None).cast("double").alias("share"), (F.col("given") / F.col("total")).alias("weight"))
@@ -241,7 +241,7 @@ def judged(docs: DataFrame, labels: DataFrame) -> DataFrame:
 
     counts = chunks.select("chunk", "sizes", "blob").join(placed, "chunk").select("lang", "sizes", "blob", "trusted").mapInArrow(_count, "lang string, key long, n long")
     counted = scratch(with_group(counts).groupBy("grp", "key").agg(F.sum("n").alias("n")), "counts")
-    table = scratch(model(counted), "model")
+    table = scratch(model(counted, few), "model")
 
     asked = with_group(chunks.select("chunk", "lang", F.posexplode("keys").alias("pos", "key")))
     # The empty context stands before all that a chunk asks for.
@@ -251,7 +251,7 @@ def judged(docs: DataFrame, labels: DataFrame) -> DataFrame:
     told = scratch(told.groupBy("chunk").agg(*[F.collect_list(c).alias(name) for name, c in numbers.items()]), "told")
     discard(placed, counted, table)
     free_shuffles(spark)
-    scored = chunks.select("chunk", "lang", "doc_ids", "which", "sizes", "blob", "keys").join(told, "chunk", "left").drop("chunk").mapInArrow(_score, "doc_id long, which long, lang string, n_symbols long, logp double")
+    scored = chunks.select("chunk", "lang", "doc_ids", "which", "sizes", "blob").join(told, "chunk", "left").drop("chunk").mapInArrow(_score, "doc_id long, which long, lang string, n_symbols long, logp double")
     perplexity = F.when(F.col("n_symbols") > 1, F.round(F.exp(-F.col("logp") / F.col("n_symbols")), 6))
     scored = scratch(scored.select("doc_id", "which", "lang", "n_symbols", perplexity.alias("perplexity")), "scored")
     discard(chunks, told)
