@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .bindings import AS_OF, Tables
-from .marts import query
+from .marts import ORACLES, query
 
 
 @dataclass(frozen=True)
@@ -17,34 +17,37 @@ class Check:
     name: str
     severity: str
     violations: Callable[[Tables], DataFrame]
+    sql: str
 
 
 CHECKS: list[Check] = []
 
 
-def _add(name: str, severity: str, violations: Callable[[Tables], DataFrame]) -> None:
-    CHECKS.append(Check(name, severity, violations))
+def _add(name: str, severity: str, violations: Callable[[Tables], DataFrame], sql: str) -> None:
+    """A check with the SQL of its violations."""
+    CHECKS.append(Check(name, severity, violations, sql))
 
 
 def not_null(table: str, *columns: str) -> None:
     for c in columns:
-        _add(f"not_null_{table}_{c}", "error", lambda t, c=c: t(table).where(F.col(c).isNull()).select(c))
+        _add(f"not_null_{table}_{c}", "error", lambda t, c=c: t(table).where(F.col(c).isNull()).select(c), f"SELECT {c} FROM {table} WHERE {c} IS NULL")
 
 
 def unique(table: str, *columns: str) -> None:
-    _add(f"unique_{table}_{'_'.join(columns)}", "error", lambda t: t(table).groupBy(*columns).count().where("count > 1"))
+    _add(f"unique_{table}_{'_'.join(columns)}", "error", lambda t: t(table).groupBy(*columns).count().where("count > 1"), f"SELECT {', '.join(columns)} FROM {table} GROUP BY ALL HAVING COUNT(*) > 1")
 
 
 def accepted(table: str, column: str, values: tuple) -> None:
-    _add(f"accepted_{table}_{column}", "error", lambda t: t(table).where(~F.col(column).isin(*values)).select(column))
+    _add(f"accepted_{table}_{column}", "error", lambda t: t(table).where(~F.col(column).isin(*values)).select(column), f"SELECT {column} FROM {table} WHERE {column} NOT IN ({', '.join(repr(v) for v in values)})")
 
 
 def relationship(table: str, column: str, to: str, key: str) -> None:
-    _add(f"relationship_{table}_{column}", "error", lambda t: t(table).select(column).where(F.col(column).isNotNull()).join(t(to).select(F.col(key).alias(column)), column, "left_anti"))
+    _add(f"relationship_{table}_{column}", "error", lambda t: t(table).select(column).where(F.col(column).isNotNull()).join(t(to).select(F.col(key).alias(column)), column, "left_anti"), f"SELECT {column} FROM {table} WHERE {column} IS NOT NULL AND {column} NOT IN (SELECT {key} FROM {to} WHERE {key} IS NOT NULL)")
 
 
 def holds(name: str, table: str, condition: str, severity: str = "error") -> None:
-    _add(name, severity, lambda t: t(table).where(~F.expr(condition)))
+    other = condition.replace("get_json_object", "json_extract_string").replace("size(", "len(")
+    _add(name, severity, lambda t: t(table).where(~F.expr(condition)), f"SELECT 1 FROM {table} WHERE NOT ({other})")
 
 
 def share_at_most(name: str, table: str, bad: str, most: float, least_rows: int = 20, by: str | None = None) -> None:
@@ -53,11 +56,11 @@ def share_at_most(name: str, table: str, bad: str, most: float, least_rows: int
     def run(t: Tables) -> DataFrame:
         return t(table).groupBy(*([by] if by else [])).agg(F.avg(F.expr(f"CASE WHEN {bad} THEN 1.0 ELSE 0.0 END")).alias("share"), F.count("*").alias("n")).where((F.col("n") >= least_rows) & (F.col("share") > most))
 
-    _add(name, "warn", run)
+    _add(name, "warn", run, f"SELECT 1 FROM {table}{f' GROUP BY {by}' if by else ''} HAVING COUNT(*) >= {least_rows} AND avg(CASE WHEN {bad} THEN 1.0 ELSE 0.0 END) > {most}")
 
 
 def spread_at_least(name: str, table: str, column: str, least: float, least_rows: int = 100) -> None:
-    _add(name, "warn", lambda t: t(table).agg(F.stddev_samp(column).alias("spread"), F.count("*").alias("n")).where((F.col("n") >= least_rows) & (F.col("spread") < least)))
+    _add(name, "warn", lambda t: t(table).agg(F.stddev_samp(column).alias("spread"), F.count("*").alias("n")).where((F.col("n") >= least_rows) & (F.col("spread") < least)), f"SELECT 1 FROM {table} HAVING COUNT(*) >= {least_rows} AND stddev_samp({column}) < {least}")
 
 
 for table, columns in {"events": ("event_id", "ts", "user_id", "event_type"), "documents": ("doc_id", "text"), "customer": ("c_custkey",), "orders": ("o_orderkey", "o_orderdate"), "lineitem": ("l_orderkey",), "pages": ("url",), "embeddings": ("embedding",)}.items():
@@ -86,13 +89,13 @@ share_at_most("coverage_of_long_texts", "documents", "n_chars < 100", 0.5, by="s
 share_at_most("error_rate", "events", "event_type = 'error'", 0.3)
 spread_at_least("distribution_event_value", "events", "value", 0.10)
 spread_at_least("distribution_discount", "lineitem", "l_discount", 0.01)
-_add("one_first_turn_per_conversation", "error", lambda t: t("conversations").groupBy("conv_id").agg(F.count_if(F.col("turn") == 0).alias("n")).where("n != 1"))
-_add("silent_event_type", "warn", lambda t: t("events").groupBy("event_type").agg(F.max("ts").alias("last")).where(F.col("last") < F.lit(AS_OF).cast("timestamp") - F.expr("interval 24 hours")))
-_add("pair_bijection", "error", lambda t: _pairs(t).groupBy("id_b").count().where("count > 1"))
-_add("pair_window", "error", lambda t: _pairs(t).where("delta_seconds > 3600"))
-_add("anomaly_needs_three", "error", lambda t: _anomalies(t).where("is_anomaly and n < 3"))
-_add("current_row_per_person", "error", lambda t: _history(t).where("is_current").groupBy("person_id").count().where("count > 1"))
-_add("closed_rows_end_after_start", "error", lambda t: _history(t).where("valid_to <= valid_from"))
+_add("one_first_turn_per_conversation", "error", lambda t: t("conversations").groupBy("conv_id").agg(F.count_if(F.col("turn") == 0).alias("n")).where("n != 1"), "SELECT conv_id FROM conversations GROUP BY 1 HAVING COUNT(*) FILTER (WHERE turn = 0) <> 1")
+_add("silent_event_type", "warn", lambda t: t("events").groupBy("event_type").agg(F.max("ts").alias("last")).where(F.col("last") < F.lit(AS_OF).cast("timestamp") - F.expr("interval 24 hours")), f"SELECT event_type FROM events GROUP BY 1 HAVING max(ts) < TIMESTAMP '{AS_OF} 00:00:00' - INTERVAL 24 HOUR")
+_add("pair_bijection", "error", lambda t: _pairs(t).groupBy("id_b").count().where("count > 1"), f"SELECT id_b FROM ({ORACLES['int_cross_post_pairs']}) GROUP BY 1 HAVING COUNT(*) > 1")
+_add("pair_window", "error", lambda t: _pairs(t).where("delta_seconds > 3600"), f"SELECT id_b FROM ({ORACLES['int_cross_post_pairs']}) WHERE delta_seconds > 3600")
+_add("anomaly_needs_three", "error", lambda t: _anomalies(t).where("is_anomaly and n < 3"), f"SELECT day FROM ({ORACLES['mart_anomalies_daily']}) WHERE is_anomaly AND n < 3")
+_add("current_row_per_person", "error", lambda t: _history(t).where("is_current").groupBy("person_id").count().where("count > 1"), f"SELECT person_id FROM ({ORACLES['dim_persons_scd2']}) WHERE is_current GROUP BY 1 HAVING COUNT(*) > 1")
+_add("closed_rows_end_after_start", "error", lambda t: _history(t).where("valid_to <= valid_from"), f"SELECT person_id FROM ({ORACLES['dim_persons_scd2']}) WHERE valid_to <= valid_from")
 
 
 def _pairs(t: Tables) -> DataFrame:
@@ -123,7 +126,12 @@ def report(t: Tables, checks: list[Check] | None = None) -> DataFrame:
     return out.withColumn("status", status)
 
 
-@query()
+def _report_sql() -> str:
+    rows = " UNION ALL ".join(f"SELECT '{c.name}' AS \"check\", '{c.severity}' AS severity, COUNT(*) AS violations FROM ({c.sql})" for c in CHECKS)
+    return f"SELECT *, CASE WHEN violations = 0 THEN 'PASS' WHEN severity = 'warn' THEN 'WARN' ELSE 'FAIL' END AS status FROM ({rows})"
+
+
+@query(_report_sql())
 def quality_report(t: Tables) -> DataFrame:
     return report(t)
 
