@@ -9,8 +9,8 @@ from pyspark.sql import functions as F
 
 from ..operators.tables import latest_by
 
-#: Order of rows that share an event id and an instant.
-TIES = ("user_id", "event_type", "value", "props")
+#: Order of rows that share an event id and an instant. Rows that agree in these as well count as one; the wide props are not read for it.
+TIES = ("user_id", "event_type", "value")
 #: The clock of every query that would ask for today.
 AS_OF = "2024-01-30"
 
@@ -27,6 +27,10 @@ class Tables:
         """The latest row of each event."""
         return latest_by(self("events"), ["event_id"], [F.desc("ts"), *TIES])
 
+    def instants(self) -> DataFrame:
+        """The latest instant of each event, where nothing else of it is asked for: a partial maximum instead of a sort."""
+        return self("events").groupBy("event_id").agg(F.max("ts").alias("ts"))
+
     def people(self) -> DataFrame:
         return self("customer").select(F.col("c_custkey").alias("person_id"), F.col("c_name").alias("person_name"), F.col("c_mktsegment").alias("person_group"), F.col("c_nationkey").alias("place_id"))
 

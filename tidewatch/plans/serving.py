@@ -79,7 +79,7 @@ def coverage_feeds(t: Tables) -> DataFrame:
 
 @query(f"WITH {LATEST} SELECT isodow(ts) - 1 AS dow, hour(ts) AS hour, COUNT(*) AS n FROM ev GROUP BY 1, 2")
 def coverage_schedule(t: Tables) -> DataFrame:
-    return t.events().groupBy(F.weekday("ts").cast("long").alias("dow"), F.hour("ts").cast("long").alias("hour")).agg(F.count("*").alias("n"))
+    return t.instants().groupBy(F.weekday("ts").cast("long").alias("dow"), F.hour("ts").cast("long").alias("hour")).agg(F.count("*").alias("n"))
 
 
 @query(f"WITH {LATEST} SELECT event_type AS label, COUNT(*) AS n, COUNT(*) * 100.0::DOUBLE / SUM(COUNT(*)) OVER () AS pct FROM ev WHERE value >= 50 GROUP BY 1")
