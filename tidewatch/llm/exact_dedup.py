@@ -19,7 +19,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import LOWER, UPPER, ascii_lower, scratch
+from .common import LOWER, UPPER, ascii_lower, scratch, ship
 
 _FOLD = bytes.maketrans(UPPER.encode(), LOWER.encode())
 #: A bucket of more entries splits; the directory that the driver holds doubles up to 2 ** MAX_DEPTH slots (65,536 numbers).
@@ -147,6 +147,7 @@ def exact_groups(docs: DataFrame) -> DataFrame:
     give no rows.
     """
     spark = docs.sparkSession
+    ship(spark)
     index = scratch(docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(_fold, INDEX), "index")
     entries = index.where("body is not null").select("entry", "hash", "body", "doc_id", "n")
     slot = F.shiftrightunsigned("hash", 64 - MAX_DEPTH)

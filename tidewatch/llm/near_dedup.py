@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import LOWER, UPPER, components, release_memory, scratch
+from .common import LOWER, UPPER, components, release_memory, scratch, ship
 
 WORDS, PERCENT = 5, 75
 #: Independent trees, and coordinates that the root of each picks. Inner nodes pick one or two, as their hash says:
@@ -275,6 +275,7 @@ def _sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def _sketched(docs: DataFrame) -> DataFrame:
     """A row for each document row: doc_id, which (the text's hash), n, fp1, fp2, sketch, roots."""
+    ship(docs.sparkSession)
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", F.xxhash64(F.coalesce("text", F.lit(""))).alias("which"))
     return scratch(texts.mapInArrow(_sketch, "doc_id long, which long, n long, fp1 long, fp2 long, sketch binary, roots array<long>"), "sketches")
 

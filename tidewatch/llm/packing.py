@@ -18,7 +18,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import scratch
+from .common import scratch, ship
 from .tokens import encoder, with_end
 
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long, pid int, nth long"
@@ -114,6 +114,7 @@ def pieces(docs: DataFrame, tokenizer: str, most: int) -> DataFrame:
                     ["doc_id", "piece", "start", "length", "ids_crc32", "pid", "nth"],
                 )
 
+    ship(docs.sparkSession)
     return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(run, PIECES)
 
 

@@ -18,7 +18,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import discard, free_shuffles, release_memory, scratch
+from .common import discard, free_shuffles, release_memory, scratch, ship
 
 #: Symbols of an n-gram, and bits of a symbol: code points under 1024 stand for themselves, others share the rest by remainder; 0 is the edge of a text.
 ORDER, BITS = 4, 12
@@ -226,6 +226,7 @@ def judged(docs: DataFrame, labels: DataFrame) -> DataFrame:
     trusted = labels.groupBy(F.col("doc_id").cast("long").alias("trusted_id")).agg(F.max("quality").alias("quality")).where("quality = 1 and trusted_id is not null").select("trusted_id")
     trusted = trusted.withColumn("back", F.pmod(F.xxhash64("trusted_id"), F.lit(HELD_BACK)) == 0)
     texts, spark = _texts(docs), docs.sparkSession
+    ship(spark)
     chunks = scratch(texts.select("doc_id", "lang", "text", "which").mapInArrow(_chunks, CHUNKS), "chunks")
 
     # Where the texts to train on stand in the chunks. The same join at every size: ids by shuffle, whether or not they would fit a broadcast today.

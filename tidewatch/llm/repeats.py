@@ -22,7 +22,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import scratch
+from .common import scratch, ship
 
 #: Bytes of a repeat, and of the string whose hash selects an anchor.
 LENGTH, GRAM = 200, 32
@@ -247,6 +247,7 @@ def remove_repeats(docs: DataFrame) -> DataFrame:
     strings are judged on the input. Repeated rows remove each other; a null doc_id stays null;
     other columns play no part; no rows give no rows.
     """
+    ship(docs.sparkSession)
     shards = scratch(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(_shard, SHARD), "shards")
     runs = shards.where("blob is null").select("chunk", "at", "hash", "print", "pre", "len")
     chunks = shards.where("blob is not null").select("chunk", "doc_ids", "sizes", "blob")

@@ -26,7 +26,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import release_memory, scratch
+from .common import release_memory, scratch, ship
 from .tokens import encoder, with_end
 
 MAGIC, BLOCK = 0x32435754, 1024
@@ -397,6 +397,7 @@ def write(docs: DataFrame, tokenizer: str, name: str = "tokens") -> DataFrame:
         parts.clear()
         release_memory()
 
+    ship(docs.sparkSession)
     parts = max(1, int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")))
     # Rows that share a doc_id (null is one too) are told apart by a hash of the text, so they can be split as well.
     keyed = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("which"), "text")
@@ -419,6 +420,7 @@ def read(files: DataFrame) -> DataFrame:
                 yield pa.RecordBatch.from_arrays([pa.array([shard.as_py()] * n, pa.int32()), pa.array([seq.as_py()] * n, pa.int32()), s.doc_ids, pa.array(end - size), pa.array(size), pa.array(crc, pa.int64())], ["shard", "seq", "doc_id", "inside", "n_tokens", "ids_crc32"])
         release_memory()
 
+    ship(files.sparkSession)
     texts = files.select("shard", "seq", "segment").mapInArrow(run, "shard int, seq int, doc_id long, inside long, n_tokens long, ids_crc32 long")
     # Running sums over one row a shard, then over a shard's segments.
     shards = files.groupBy("shard").agg(F.sum("n_ids").alias("n")).selectExpr("shard", "sum(n) over (order by shard) - n as before")

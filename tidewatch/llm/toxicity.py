@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import scratch
+from .common import scratch, ship
 
 #: Labelled rows that the model is fitted on at most, in the order of a hash of their ids.
 MAX_LABELLED = 20_000
@@ -202,6 +202,7 @@ def remainder(doc_id: str = "doc_id"):
 
 def fit(docs: DataFrame, labels: DataFrame) -> Model:
     """Learn from labelled rows that are not held out; of an id labelled twice, the larger label counts."""
+    ship(docs.sparkSession)
     known = labels.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("toxic").cast("int").alias("toxic")).where(F.col("toxic").isin(0, 1) & (remainder() != 0))
     known = known.groupBy("doc_id").agg(F.max("toxic").alias("toxic")).orderBy(F.xxhash64("doc_id"), "doc_id").limit(MAX_LABELLED)
     aside = (F.pmod(F.xxhash64("doc_id"), F.lit(4)) == 0).alias("aside")
@@ -226,6 +227,7 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
     Repeated rows score alike, a null doc_id is held out, other columns play no part; no rows give
     no rows. Without labels of both kinds every row gets the share of label 1 (one half if there are none).
     """
+    ship(docs.sparkSession)
     held = docs.sparkSession.sparkContext.broadcast(model)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
