@@ -303,6 +303,17 @@ def test_connected_long_paths(spark):
     assert got == {**dict.fromkeys(falling, 1), **dict.fromkeys(shuffled, 100), 5000: 5000}
 
 
+def test_personas_of_one_name_and_many_numbers(spark):
+    """A crowd that differs in its numbers only is not compared pair by pair; whoever may match in it still is."""
+    rows = [(f"{p}{k}", p, f"user_{k:04d}", f"Name {k:04d}") for p in "ab" for k in range(3000 if p == "a" else 40)] + [("a-bare", "a", "user_", ""), ("b-near", "b", "user_x0007", "Other")]
+    authors = spark.createDataFrame(rows, "author_key string, platform string, handle string, display_name string")
+    got = {r.author_key: r.persona_id for r in identity.personas(authors).collect()}
+    assert all(got[f"a{k}"] == got[f"b{k}"] for k in range(40))
+    met = identity.persona_pairs(authors)
+    plain = [(a, b) for a in rows for b in rows if a[1] < b[1] and (a[2].rstrip("0123456789") != b[2].rstrip("0123456789") or a[2] == b[2] or "user_" in (a[2], b[2]))]
+    assert {(r.author_key_l, r.author_key_r) for r in met.collect()} == {(a[0], b[0]) for a, b in plain} and met.count() < 4000
+
+
 def test_personas_content_bridge(spark):
     """Shared content links handles of similarity 0.60 to 0.90, enumerated ones too, and nothing less alike."""
     rows = [("f1", "facebook", "mariopaz", "", ["p", "q", "p"]), ("x1", "x", "pazmario", "", ["p", "q"]), ("f2", "facebook", "fan01", "", ["r"]), ("x2", "x", "fan02", "", ["r"]), ("f3", "facebook", "zzzz", "", ["q"]), ("f4", "facebook", "deeplake", "", [""]), ("x4", "x", "lakedeep", "", [""]), ("x5", "x", "bcdk", "", None)]

@@ -3,16 +3,19 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import lru_cache, reduce
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType
 
+from ..components import scratch
 from ..functions.text import fold_accents
 from .graph import connected
 
 
+@lru_cache(maxsize=1 << 16)
 def jaro_winkler_score(a: str, b: str, scale: float = 0.1) -> float:
     if a == b:
         return 1.0
@@ -45,6 +48,38 @@ def jaro_winkler(a: pd.Series, b: pd.Series) -> pd.Series:
     return pd.Series([None if x is None or y is None else jaro_winkler_score(x, y) for x, y in zip(a, b, strict=True)])
 
 
+def persona_pairs(authors: DataFrame) -> DataFrame:
+    """The accounts that ``personas`` compares: author keys, handles and folded names (_l, _r), n_shared (content hashes), enumerated."""
+    hashes = F.col("content_hashes") if "content_hashes" in authors.columns else F.lit(None).cast("array<string>")
+    a = authors.select("author_key", "platform", F.coalesce(hashes, F.array().cast("array<string>")).alias("hashes"), F.lower(F.trim("handle")).alias("handle"), fold_accents(F.trim(F.coalesce("display_name", F.lit("")))).alias("name"))
+    stem = F.regexp_replace("handle", r"[^a-z]", "")
+    content = F.transform(F.filter("hashes", lambda h: h != ""), lambda h: F.concat(F.lit("c:"), h))
+    keys = F.array_distinct(F.filter(F.concat(content, F.array(F.concat(F.lit("h:"), F.substring("handle", 1, 4)), F.when(F.length("name") > 0, F.concat(F.lit("n:"), F.substring("name", 1, 5))), F.when(F.length(stem) > 0, F.concat(F.lit("s:"), stem)))), lambda k: k.isNotNull()))
+    # A row for each account and key, so that a hash counts once.
+    blocked = a.withColumn("key", F.explode(keys)).drop("hashes").dropDuplicates(["author_key", "key"])
+    # Handles that differ only in their number do not meet unless they share content: equal handles, a handle without
+    # number and one with it, and handles that differ before their number are what is left of a block, each joined by itself.
+    blocked = blocked.withColumns({"bare": F.regexp_replace("handle", r"\d+$", ""), "number": F.regexp_extract("handle", r"(\d+)$", 1), "content": F.startswith("key", F.lit("c:"))})
+    side = lambda d, s: d.select([F.col(c).alias(f"{c}_{s}") for c in d.columns])
+    by = lambda *cs: [F.col(f"{c}_l") == F.col(f"{c}_r") for c in cs]
+    plain, shared = blocked.where(~F.col("content")), blocked.where("content")
+    left, right = side(plain, "l"), side(plain, "r")
+    bares = plain.select("key", "platform", "bare").distinct()
+    apart = side(bares, "l").join(side(bares, "r"), by("key")).where("platform_l < platform_r and bare_l != bare_r").select("key_l", "platform_l", "bare_l", "platform_r", "bare_r")
+    met = [
+        side(shared, "l").join(side(shared, "r"), by("key")),
+        left.join(right, by("key", "bare", "number")),
+        left.where("number_l = ''").join(right.where("number_r != ''"), by("key", "bare")),
+        left.where("number_l != ''").join(right.where("number_r = ''"), by("key", "bare")),
+        left.join(apart, ["key_l", "platform_l", "bare_l"]).join(right, (F.col("key_l") == F.col("key_r")) & (apart["platform_r"] == right["platform_r"]) & (apart["bare_r"] == right["bare_r"])).drop(apart["platform_r"], apart["bare_r"]),
+    ]
+    met = reduce(DataFrame.unionByName, met).where("platform_l < platform_r")
+    each = ["handle_l", "handle_r", "name_l", "name_r"]
+    enumerated = (F.col("bare_l") == F.col("bare_r")) & (F.col("number_l") != F.col("number_r")) & (F.col("number_l") != "") & (F.col("number_r") != "")
+    met = met.withColumn("enumerated", enumerated)
+    return met.groupBy("author_key_l", "author_key_r").agg(F.count_if("content_l").alias("n_shared"), F.first("enumerated").alias("enumerated"), *[F.first(c).alias(c) for c in each])
+
+
 def personas(authors: DataFrame, handle_least: float = 0.90, name_least: float = 0.90, bridge_least: float = 0.60) -> DataFrame:
     """Accounts of one person on several platforms: (author_key, persona_id, confidence).
 
@@ -55,22 +90,7 @@ def personas(authors: DataFrame, handle_least: float = 0.90, name_least: float =
     ``bridge_least`` on; each shared hash adds 0.1 to their score, three at most. Accounts without
     a partner have no persona; a persona's confidence is its weakest match.
     """
-    hashes = F.col("content_hashes") if "content_hashes" in authors.columns else F.lit(None).cast("array<string>")
-    a = authors.select("author_key", "platform", F.coalesce(hashes, F.array().cast("array<string>")).alias("hashes"), F.lower(F.trim("handle")).alias("handle"), fold_accents(F.trim(F.coalesce("display_name", F.lit("")))).alias("name"))
-    stem = F.regexp_replace("handle", r"[^a-z]", "")
-    content = F.transform(F.filter("hashes", lambda h: h != ""), lambda h: F.concat(F.lit("c:"), h))
-    keys = F.array_distinct(F.filter(F.concat(content, F.array(F.concat(F.lit("h:"), F.substring("handle", 1, 4)), F.when(F.length("name") > 0, F.concat(F.lit("n:"), F.substring("name", 1, 5))), F.when(F.length(stem) > 0, F.concat(F.lit("s:"), stem)))), lambda k: k.isNotNull()))
-    # A row for each account and key, so that a hash counts once.
-    blocked = a.withColumn("key", F.explode(keys)).drop("hashes").dropDuplicates(["author_key", "key"])
-    left, right = blocked.select([F.col(c).alias(f"{c}_l") for c in blocked.columns]), blocked.select([F.col(c).alias(f"{c}_r") for c in blocked.columns])
-    numbered = lambda s: F.regexp_extract(f"handle_{s}", r"(\d+)$", 1)
-    bare = lambda s: F.regexp_replace(f"handle_{s}", r"\d+$", "")
-    enumerated = (bare("l") == bare("r")) & (numbered("l") != numbered("r")) & (numbered("l") != "") & (numbered("r") != "")
-    met = left.join(right, F.col("key_l") == F.col("key_r")).where("platform_l < platform_r").withColumn("content", F.startswith("key_l", F.lit("c:")))
-    each = ["handle_l", "handle_r", "name_l", "name_r"]
-    enough = met.withColumn("enumerated", enumerated).where(F.col("content") | ~F.col("enumerated"))
-    pairs = enough.groupBy("author_key_l", "author_key_r").agg(F.count_if("content").alias("n_shared"), F.first("enumerated").alias("enumerated"), *[F.first(c).alias(c) for c in each])
-    scored = pairs.withColumns({"hs": jaro_winkler("handle_l", "handle_r"), "ns": jaro_winkler("name_l", "name_r")})
+    scored = persona_pairs(authors).withColumns({"hs": jaro_winkler("handle_l", "handle_r"), "ns": jaro_winkler("name_l", "name_r")})
     named = (F.length("name_l") > 0) & (F.length("name_r") > 0) & (F.col("ns") >= name_least)
     handled = F.col("hs") >= handle_least
     plain = F.greatest("hs", F.when(named, F.col("ns")).otherwise(0.0))
@@ -78,6 +98,7 @@ def personas(authors: DataFrame, handle_least: float = 0.90, name_least: float =
     # As in the reference: handle and name together decide first, then shared content.
     score = F.when(~F.col("enumerated") & handled & named, plain).otherwise(F.coalesce(bridge, F.when(~F.col("enumerated") & (handled | named), plain)))
     match = scored.select(F.col("author_key_l").alias("a"), F.col("author_key_r").alias("b"), score.alias("score")).where("score is not null")
+    match = scratch(match, "match")
     where = connected(match)
     weakest = match.join(where, F.col("a") == F.col("id")).groupBy("component").agg(F.min("score").alias("confidence"))
     return where.join(weakest, "component").select(F.col("id").alias("author_key"), F.substring(F.sha1(F.col("component").cast("string").cast("binary")), 1, 16).alias("persona_id"), "confidence")
