@@ -60,3 +60,23 @@ def test_every_customer_takes_part(spark, sf):
     assert pairs and queries.QUERIES["personas"](spark, sf).where("author_key like 'c%'").count() == pairs
     people = queries.QUERIES["resolved_people"](spark, sf)
     assert people.count() == customers.count() and people.where("person_id is null or person_id != mention_id").isEmpty()
+
+
+def test_pairs_are_not_shuffled(spark, sf):
+    """The span of a pair comes with it; checks of pairs send a row a task."""
+    plan = queries.QUERIES["fct_coactivation_span"](spark, sf)._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan.split("MapInArrow")[0]
+    checks = queries.QUERIES["quality_assertions"](spark, sf)._jdf.queryExecution().optimizedPlan().toString()
+    assert "Join" not in checks and "events" not in checks
+
+
+def test_pairs_found_wrong_are_counted(monkeypatch):
+    import pyarrow as pa
+
+    from tidewatch.operators import together
+
+    rows = [(1, 1, 2, 1, [7]), (1, 1, 2, 1, [7]), (1, 1, 2, 1, [7]), (1, 3, 2, 1, [7]), (1, 3, 4, 2, [7])]
+    whole = pa.Table.from_pylist([dict(zip(("day", "author_a", "author_b", "n_shared", "targets"), r, strict=True)) for r in rows])
+    for size in (1, 2, 5):
+        monkeypatch.setattr(together, "shared_pairs", lambda group, size=size: lambda batches: whole.to_batches(size))
+        assert [b.to_pylist() for b in together.checked_pairs(["day"])(iter(()))] == [[{"n": 5, "twice": 1, "sizes": 1, "disorder": 1}]]
