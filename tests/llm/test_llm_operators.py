@@ -433,6 +433,37 @@ def test_near_duplicates_outside_a_crowd(spark):
     assert {r.doc_id: r.component_id for r in near_groups(docs_of(spark, rows)).collect()} == want
 
 
+def rows_joined(spark, on, run):
+    """Rows that joins on these keys make while this runs, and what it returns."""
+    store = spark._jsparkSession.sharedState().statusStore()
+    ids = lambda: {listed.apply(k).executionId() for listed in [store.executionsList()] for k in range(listed.size())}
+    before, made = ids(), 0
+    out = run()
+    for at in ids() - before:
+        nodes, values = store.planGraph(at).allNodes(), store.executionMetrics(at)
+        for node in (nodes.apply(i) for i in range(nodes.size())):
+            metrics = node.metrics()
+            for metric in (metrics.apply(i) for i in range(metrics.size())) if "Join" in node.name() and on in re.sub(r"#\d+L?", "", node.desc()) else ():
+                if metric.name() == "number of output rows" and values.contains(metric.accumulatorId()):
+                    made += int(values.apply(metric.accumulatorId()).replace(",", ""))
+    return made, out
+
+
+def test_near_duplicates_in_a_crowd_meet_few_joins(spark):
+    """600 near copies of which every fifth is linked with few or none: sizes and sketches are not asked for at each level, nor components for each use."""
+    rng = random.Random(11)
+    base, rows = [f"w{rng.randrange(10**6)}" for _ in range(150)], []
+    for d in range(600):
+        b = list(base)
+        for at in rng.sample(range(0, 150, 6), rng.randint(6, 8) if d % 5 == 0 else rng.randint(0, 2)):
+            b[at] = f"c{rng.randrange(10**6)}"
+        rows.append((d, " ".join(b)))
+    made, got = rows_joined(spark, "[rep], [rep], Inner", lambda: near_groups(docs_of(spark, rows)).collect())
+    want = brute_components(rows)
+    assert {r.doc_id: (r.n_shingles, r.component_id, r.kept) for r in got} == want and len({c for _, c, _ in want.values()}) > 20
+    assert made < 60 * len(rows)
+
+
 def test_near_duplicate_edges(spark):
     rows = [(None, "a b c d e f"), (4, "a b c d e f"), (2, "a b c d e f"), (2, "a b c d e f")]
     got = sorted((r.doc_id or -1, r.component_id, r.kept) for r in near_groups(docs_of(spark, rows)).collect())

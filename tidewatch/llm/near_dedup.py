@@ -136,8 +136,10 @@ def _branch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             first = _mix(node ^ _BASE) % np.uint64(COORDS)
             picks = [first, (first + np.uint64(1) + _mix(node + _BASE) % np.uint64(COORDS - 1)) % np.uint64(COORDS)]
             child = [_mix(_mix(node + p + np.uint64(1)) ^ (values[rows, p.astype(np.int64)].astype(np.uint64) + np.uint64(1)) * _BASE).astype(np.int64) for p in picks]
-            rep, two = batch.column("rep").to_numpy(), (_mix(node ^ np.uint64(0xA5A5)) & np.uint64(1)) == 1
-            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate([child[0], child[1][two]])), pa.array(np.concatenate([rep, rep[two]]))], ["node", "rep"])
+            two = (_mix(node ^ np.uint64(0xA5A5)) & np.uint64(1)) == 1
+            # What is known of a document goes along, so no level asks for it again.
+            for child_of, taken in ((child[0], batch), (child[1][two], batch.filter(pa.array(two)))):
+                yield pa.RecordBatch.from_arrays([pa.array(child_of), *(taken.column(c) for c in ("rep", "n", "sketch"))], ["node", "rep", "n", "sketch"])
 
 
 class _Rows:
@@ -286,17 +288,16 @@ def _components(docs: DataFrame) -> DataFrame:
     # Equal sets are one vertex; its number is unique, whatever ids its rows have.
     classes = told.where("n > 0 and doc_id is not null").groupBy("n", "fp1", "fp2").agg(F.min(F.struct("doc_id", "which")).alias("first"), F.first("sketch").alias("sketch"), F.first("roots").alias("roots"))
     classes = scratch(classes.select(F.monotonically_increasing_id().alias("rep"), "n", "fp1", "fp2", "first.doc_id", "first.which", "sketch", "roots"), "classes")
-    known = classes.select("rep", "n", "sketch", F.col("rep").alias("comp"))
     leaf, crowd = _nodes(classes)
 
     # Round one: a forest in each node, and in each block of a crowded one, which its leader joins.
     rows = leaf.withColumn("side", F.lit(0))
     if crowd is not None:
         in_block = F.xxhash64("node", "block").alias("node")
-        lead = crowd.where("rep = leader").select("rep", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)).alias("at"), "node", "block").where("at != block")
-        own = crowd.select(in_block, "rep", F.lit(0).alias("side")).unionByName(lead.select(F.xxhash64("node", "at").alias("node"), "rep", F.lit(0).alias("side")))
+        lead = crowd.where("rep = leader").select("rep", "n", "sketch", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)).alias("at"), "node", "block").where("at != block")
+        own = crowd.select(in_block, "rep", "n", "sketch", F.lit(0).alias("side")).unionByName(lead.select(F.xxhash64("node", "at").alias("node"), "rep", "n", "sketch", F.lit(0).alias("side")))
         rows = rows.unionByName(own)
-    full = rows.join(known, "rep").select("node", "side", "rep", "n", "comp", "sketch")
+    full = rows.select("node", "side", "rep", "n", F.col("rep").alias("comp"), "sketch")
     found = full.repartition("node").sortWithinPartitions("node").mapInArrow(_forest, "a long, b long")
     pairs = scratch(found.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "pairs")
     # A forest has all documents with a partner in their node; only those, and the crowded ones, are compared again.
@@ -310,15 +311,15 @@ def _components(docs: DataFrame) -> DataFrame:
     comps = components(links)
 
     # Round two: all pairs of what is still apart. Full sets come along, so only confirmed links leave a node.
-    known = active.join(known.drop("comp"), "rep").join(comps.withColumnRenamed("id", "rep").withColumnRenamed("component", "comp"), "rep", "left").withColumn("comp", F.coalesce("comp", "rep"))
+    known = active.join(classes.select("rep", "n", "sketch"), "rep").join(comps.withColumnRenamed("id", "rep").withColumnRenamed("component", "comp"), "rep", "left").withColumn("comp", F.coalesce("comp", "rep"))
     known = scratch(known.join(sets, "rep"), "known")
-    inside = leaf.join(known.select("rep", "comp"), "rep")
+    inside = scratch(leaf.select("node", "rep").join(known.select("rep", "comp"), "rep"), "inside")
     rows = inside.join(inside.groupBy("node").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo != hi").select("node"), "node", "left_semi").select("node", "rep", F.lit(0).alias("side"))
     if crowd is not None:
-        inside = crowd.join(known.select("rep", "comp"), "rep")
-        lead = inside.where("rep = leader").select("node", F.col("comp").alias("lead_comp"))
-        apart = inside.join(lead, "node").where("comp != lead_comp").select("node", "rep")
-        # What is not with the leader meets all of the node, which passes by so many of them at a time.
+        inside = scratch(crowd.select("node", "rep").join(known.select("rep", "comp"), "rep"), "inside")
+        # A node's home is the component that has most of it; what is not of it meets all of the node, which passes by so many of them at a time.
+        home = inside.groupBy("node", "comp").agg(F.count("*").alias("size")).groupBy("node").agg(F.max(F.struct("size", "comp"))["comp"].alias("home"))
+        apart = scratch(inside.join(home, "node").where("comp != home").select("node", "rep"), "apart")
         many = apart.groupBy("node").agg(F.ceil(F.count("*") / GUESTS).cast("long").alias("parts"))
         guests = apart.join(many, "node").select(F.xxhash64("node", F.pmod(F.xxhash64("rep", F.lit(1)), "parts")).alias("node"), "rep", F.lit(1).alias("side"))
         hosts = crowd.join(many, "node").select("node", "rep", F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1)).alias("part"))
@@ -335,7 +336,12 @@ def _components(docs: DataFrame) -> DataFrame:
 
 
 def _nodes(classes: DataFrame) -> tuple[DataFrame, DataFrame | None]:
-    """(node, rep) of the nodes to compare, and (node, rep, leader, blocks, block) of those that stayed large."""
+    """(node, rep, n, sketch) of the nodes to compare, and with leader, blocks and block of those that stayed large."""
+
+    def told(rows: DataFrame) -> DataFrame:
+        """With size and sketch: roots ask for them once they are known to be shared, and what branches off has them."""
+        return rows if "sketch" in rows.columns else rows.join(classes.select("rep", "n", "sketch"), "rep").select("node", "rep", "n", "sketch")
+
     small, crowd = [], None
     members = classes.select(F.explode("roots").alias("node"), "rep")
     for depth in range(DEPTH):
@@ -343,18 +349,18 @@ def _nodes(classes: DataFrame) -> tuple[DataFrame, DataFrame | None]:
         nodes = scratch(members.groupBy("node").agg(F.count("*").alias("size"), F.sum(F.xxhash64("rep").cast("decimal(38,0)")).alias("content"), F.min("rep").alias("leader")).where("size > 1"), "nodes")
         # Trees often come to the same documents: one node of each content is compared.
         leaves = nodes.where(F.col("size") <= SMALL).groupBy("content", "size").agg(F.min("node").alias("node"))
-        small.append(members.join(leaves.select("node"), "node", "left_semi").select("node", "rep"))
+        small.append(told(members.join(leaves.select("node"), "node", "left_semi")))
         # Large nodes stay apart until the last level: each tree branches by picks of its own.
         large = nodes.where(F.col("size") > SMALL)
         if large.isEmpty():
             break
         if depth < DEPTH - 1:
-            inside = members.join(large.select("node"), "node", "left_semi")
-            members = inside.join(classes.select("rep", "sketch"), "rep").select("node", "rep", "sketch").mapInArrow(_branch, "node long, rep long")
+            inside = told(members.join(large.select("node"), "node", "left_semi"))
+            members = inside.mapInArrow(_branch, "node long, rep long, n long, sketch binary")
         else:
             last = large.groupBy("content", "size").agg(F.min("node").alias("node"), F.min("leader").alias("leader"))
             blocks = F.ceil(F.col("size") / (SMALL // 2)).cast("long")
-            crowd = scratch(members.join(last, "node").select("node", "rep", "leader", blocks.alias("blocks"), F.pmod(F.xxhash64("rep"), blocks).alias("block")), "crowd")
+            crowd = scratch(told(members.join(last, "node")).select("node", "rep", "n", "sketch", "leader", blocks.alias("blocks"), F.pmod(F.xxhash64("rep"), blocks).alias("block")), "crowd")
     leaf = small[0]
     for more in small[1:]:
         leaf = leaf.unionByName(more)
