@@ -36,6 +36,9 @@ def docs_of(spark, rows):
     return spark.createDataFrame([(d, t, "en", "s", len(t or ""), True, 1, 1, 1, 1, "x", 1, "h") for d, t in rows], EXTRA)
 
 
+LETTERS = "abcdefghijklmnopqrstuvwxyz\u00e4\u00f6\u00fc"
+
+
 @pytest.fixture(scope="module")
 def enc():
     return Encoder(tokenizer())
@@ -72,6 +75,21 @@ def test_added_tokens_are_the_librarys(enc):
     assert got == [x.ids for x in own.encode_batch(texts, add_special_tokens=False)] and got[0] == [50256]
 
 
+def test_words_seen_before_are_not_encoded_again(monkeypatch):
+    """Half a million distinct words, as a task's texts have them, go through the model once each."""
+    e, seen = Encoder(tokenizer()), []
+
+    class Counted:
+        tokenize = staticmethod(lambda word, model=e.model: seen.append(word) or model.tokenize(word))
+
+    monkeypatch.setattr(e, "model", Counted)
+    texts = ["".join(f" {chr(97 + k)}{a}{b}{c}" for a in LETTERS for b in LETTERS for c in LETTERS) for k in range(18)]
+    first = [ids.copy() for x in texts for _, ids, _ in e.batches(pa.array([x]))]
+    n = len(seen)
+    again = [ids.copy() for x in texts for _, ids, _ in e.batches(pa.array([x]))]
+    assert n == len(set(seen)) == len(seen) == 18 * len(LETTERS) ** 3 and all((a == b).all() for a, b in zip(first, again, strict=True))
+
+
 def test_other_tokenizers_go_through_the_library():
     from tokenizers import Tokenizer
 

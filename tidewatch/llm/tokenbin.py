@@ -31,7 +31,7 @@ from .tokens import encoder, with_end
 
 MAGIC, BLOCK = 0x32435754, 1024
 #: Ids after which a segment closes; texts are never split.
-SEGMENT = 1 << 22
+SEGMENT = 1 << 23
 #: Slots of each context's table in a block; bits of the first distribution at least, of a trust, and of the whole mixture.
 SLOTS, BITS0, TRUST, TOTAL = 256, 18, 12, 30
 #: Ids of a block after which order 0 is first estimated; then at each doubling. Steps that the encoder prepares at once.
@@ -80,13 +80,12 @@ class Mixer:
         """The widths w2, w1, w0 of order 2, 1 and 0 of 2 ** TOTAL; sets ids (2, lanes). at: places; seen: order 0 has been estimated."""
         self.at = at
         self.ids = ids = self.slots.take(at, mode="clip")
-        self.agree = ids[0] == ids[1]
+        self.agree = _mask(ids[0] == ids[1])
         t1, t2, both, t0 = self.trusts
-        self.t2 = t2 = t2.copy()
-        np.copyto(t2, both, where=self.agree)
+        self.t2 = t2 = _chosen(self.agree, both, t2)
         left = (1 << TRUST) - t2
         given = left * t1
-        np.copyto(given, 0, where=self.agree)
+        given &= ~self.agree
         w0 = None
         if seen:
             left <<= TRUST
@@ -98,38 +97,52 @@ class Mixer:
         return t2 << (TOTAL - TRUST), given, w0
 
     def hits(self, now: np.ndarray) -> np.ndarray:
-        """Which contexts predict the ids that came; order 1 counts only where order 2 does not."""
+        """Masks of the contexts that predict the ids that came; order 1 counts only where order 2 does not."""
         hit = self.ids == now
         hit[0] &= ~hit[1]
-        return hit
+        return _mask(hit)
 
     def update(self, now: np.ndarray, hit: np.ndarray, in_seen: np.ndarray | None) -> None:
-        """Learn the ids that came; in_seen: those among order 0's, where it was estimated."""
+        """Learn the ids that came; in_seen: mask of those among order 0's, where it was estimated."""
         t1, t2, both, t0 = self.trusts
         wide = np.int32(MOST - LEAST)
-        new = hit[1] * wide
+        new = hit[1] & wide
         new += LEAST
         new -= self.t2
         new >>= 4
-        new += self.t2
-        np.copyto(both, new, where=self.agree)
-        apart = ~self.agree
-        np.copyto(t2, new, where=apart)
-        apart &= ~hit[1]
-        new = hit[0] * wide
+        known = new & self.agree
+        both += known
+        new -= known
+        t2 += new
+        new = hit[0] & wide
         new += LEAST
         new -= t1
         new >>= 4
-        new *= apart
+        new &= ~(self.agree | hit[1])
         t1 += new
         if in_seen is not None:
-            new = in_seen * wide
+            new = in_seen & wide
             new += LEAST
             new -= t0
             new >>= 5
-            new *= ~(hit[0] | hit[1])
+            new &= ~(hit[0] | hit[1])
             t0 += new
-        self.slots[self.at] = now
+        self.slots[self.at[0]] = now
+        self.slots[self.at[1]] = now
+
+
+def _mask(is_: np.ndarray) -> np.ndarray:
+    """All bits set where true, none elsewhere: a choice by masks takes a fraction of the time of one by a condition."""
+    out = is_.astype(np.int32)
+    return np.negative(out, out=out)
+
+
+def _chosen(mask: np.ndarray, one: np.ndarray, other: np.ndarray) -> np.ndarray:
+    """One where the mask is set, else the other."""
+    out = one ^ other
+    out &= mask
+    out ^= other
+    return out
 
 
 def _seen(grid: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -182,11 +195,10 @@ def _intervals(w: np.ndarray, off: np.ndarray, lo: np.ndarray, hi: np.ndarray, s
     w >>= shift
     w -= start
     start += off
-    np.copyto(start, w2, where=hit[0])
-    np.copyto(w, w1, where=hit[0])
-    np.copyto(start, 0, where=hit[1])
-    np.copyto(w, w2, where=hit[1])
-    return start, w
+    # All of these are below 2 ** 31.
+    start, w = _chosen(hit[0], w2, start.astype(np.int32)), _chosen(hit[0], w1, w.astype(np.int32))
+    start &= ~hit[1]
+    return start.astype(np.int64), _chosen(hit[1], w2, w).astype(np.int64)
 
 
 def encode(ids: np.ndarray, doc_ids: list[int | None] | None = None, sizes: list[int] | None = None) -> bytes:
@@ -214,9 +226,9 @@ def encode(ids: np.ndarray, doc_ids: list[int | None] | None = None, sizes: list
             lo, hi = cum[part], cum[part + 1]
             if begin:
                 run = np.ascontiguousarray(runs[:, a - begin : b - begin].T)
-                among = run > 0
-                np.copyto(lo, run >> 16, where=among)
-                np.copyto(hi, (run >> 16) + (run & 0xFFFF), where=among)
+                among = _mask(run > 0)
+                first = run >> 16
+                lo, hi = _chosen(among, first, lo), _chosen(among, first + (run & 0xFFFF), hi)
             behind = np.zeros((b - a + 2, lanes), np.int32)
             behind[max(0, 2 - a) :] = blocks[:, max(0, a - 2) : b].T
             at = np.ascontiguousarray((mix.places(behind[1:-1], behind[:-2]) + mix.base[:, None]).swapaxes(0, 1))
@@ -226,12 +238,11 @@ def encode(ids: np.ndarray, doc_ids: list[int | None] | None = None, sizes: list
                 hit = mix.hits(now)
                 off, shift, inside = w2 + w1, bits, None
                 if begin:
-                    inside, base = among[k], off
-                    off = base + w0
-                    w = (1 << TOTAL) - off
-                    np.copyto(w, w0, where=inside)
-                    np.copyto(off, base, where=inside)
-                    shift = np.where(inside, np.int64(begin.bit_length() - 1), np.int64(bits))
+                    inside = among[k]
+                    end = off + w0
+                    w = _chosen(inside, w0, (1 << TOTAL) - end)
+                    off = end - (w0 & inside)
+                    shift = (inside & np.int32(begin.bit_length() - 1 - bits)) + np.int32(bits)
                 else:
                     w = (1 << TOTAL) - off
                 start, width = _intervals(w, off, lo[k], hi[k], shift, hit, w2, w1)
@@ -248,7 +259,9 @@ def encode(ids: np.ndarray, doc_ids: list[int | None] | None = None, sizes: list
         words.append(part.astype(np.uint32))
         owners.append(np.arange(lanes, dtype=np.int32))
     owner = np.concatenate(owners)
-    stream = np.concatenate(words)[np.argsort(owner, kind="stable")].astype("<u4")
+    # Few enough to be numbered in 16 bits, blocks are sorted by their digits.
+    order = np.argsort(owner.astype(np.uint16) if lanes <= 1 << 16 else owner, kind="stable")
+    stream = np.concatenate(words)[order].astype("<u4")
     counts = np.bincount(owner, minlength=lanes)
     raw = memoryview(np.ascontiguousarray(ids, "<u4")).cast("B")
     sums = [zlib.crc32(raw[4 * BLOCK * k : 4 * BLOCK * (k + 1)]) for k in range(lanes)]
@@ -294,47 +307,45 @@ class Segment:
         code = stream[at_word] << _WORD | stream[at_word + 1]
         at_word += 2
         one = two = np.zeros(lanes, np.int32)
-        estimated, row, shift0 = False, None, np.int64(0)
+        estimated, row, shift0 = False, None, np.int32(0)
         for k in range(steps):
             if k >= FIRST and k & (k - 1) == 0:
                 rows, begin, end = _seen(np.ascontiguousarray(out[:k].T))
                 ids, parts = np.concatenate([symbol, rows.ravel()]), np.concatenate([where, pack(begin, end).ravel()])
                 row = len(symbol) + np.arange(lanes, dtype=np.int64) * k
-                estimated, shift0 = True, np.int64(k.bit_length() - 1)
+                estimated, shift0 = True, np.int32(k.bit_length() - 1)
             at = mix.places(one, two)
             at += mix.base
             w2, w1, w0 = mix.predict(at, estimated)
             unit = span >> _U(TOTAL)
-            slot = ((code - low) // unit).view(np.int64)
-            np.minimum(slot, (1 << TOTAL) - 1, out=slot)
+            slot = (code - low) // unit
+            slot = np.minimum(slot, _U((1 << TOTAL) - 1)).astype(np.int32)
             base = w2 + w1
             off, shift, inside = base, bits, None
             if estimated:
-                off = base + w0
-                inside = slot < off
-                w = (1 << TOTAL) - off
-                np.copyto(w, w0, where=inside)
-                np.copyto(off, base, where=inside)
-                shift = np.where(inside, shift0, np.int64(bits))
+                end = base + w0
+                inside = _mask(slot < end)
+                w = _chosen(inside, w0, (1 << TOTAL) - end)
+                off = end - (w0 & inside)
+                shift = (inside & (shift0 - np.int32(bits))) + np.int32(bits)
             else:
                 w = (1 << TOTAL) - off
             # The part that holds the slot; the quotient of such numbers is exact in doubles, its floor too.
-            part = slot - off
-            np.maximum(part, 0, out=part)
+            part = np.maximum(slot - off, 0).astype(np.int64)
             part += 1
             part <<= shift
             part -= 1
             part = (part / w).astype(np.int64)
             if estimated:
-                part += row * inside
+                part += row & inside
             now, found = ids.take(part, mode="clip"), parts.take(part, mode="clip")
             lo = found >> 32
             hit = np.empty((2, lanes), bool)
             np.less(slot, w2, out=hit[1])
             np.less(slot, base, out=hit[0])
             hit[0] &= ~hit[1]
-            np.copyto(now, mix.ids[0], where=hit[0])
-            np.copyto(now, mix.ids[1], where=hit[1])
+            hit = _mask(hit)
+            now = _chosen(hit[1], mix.ids[1], _chosen(hit[0], mix.ids[0], now))
             # An id may stand in order 0 and come by a context: what is learned is the same as when it was coded.
             start, width = _intervals(w, off, lo, lo + (found & 0xFFFFFFFF), shift, hit, w2, w1)
             low += unit * start.view(_U)

@@ -20,10 +20,10 @@ import numpy as np
 import pyarrow as pa
 
 END_ID = 2
-#: Distinct pre-tokens whose ids a worker remembers; at more it starts afresh.
-REMEMBERED = 300_000
+#: Distinct pre-tokens whose ids a worker remembers, some 150 bytes each; at more it starts afresh.
+REMEMBERED = 1_000_000
 #: Bytes of text whose distinct pre-tokens are sought together, and that are cut at a time; a longer text stays whole.
-SLICE_BYTES, CUT_BYTES = 3 << 20, 1 << 17
+SLICE_BYTES, CUT_BYTES = 8 << 20, 1 << 17
 
 _LETTER, _DIGIT, _SPACE, _OTHER, _UNKNOWN = 1, 2, 3, 0, 9
 #: Suffixes that an apostrophe takes along, in the order of the pattern.
@@ -75,11 +75,11 @@ class Encoder:
         ids: list[int] = []
         ends: list[int] = []
         tokenize, alphabet, at = self.model.tokenize, self.alphabet, len(self.pool)
-        for k, place in enumerate(found):
-            if place is None:
-                ids += [t.id for t in tokenize(charmap_decode(words[k], "strict", alphabet)[0])] if words[k] not in self.added else [self.added[words[k]]]
-                ends.append(at + len(ids))
-                found[k] = self.places[words[k]] = len(self.places)
+        for k in [k for k, place in enumerate(found) if place is None]:
+            word = words[k]
+            ids += [t.id for t in tokenize(charmap_decode(word, "strict", alphabet)[0])] if word not in self.added else [self.added[word]]
+            ends.append(at + len(ids))
+            found[k] = self.places[word] = len(self.places)
         if ends:
             self.pool = np.concatenate([self.pool, np.array(ids, np.uint32)])
             self.ends = np.concatenate([self.ends, np.array(ends, np.int32)])
