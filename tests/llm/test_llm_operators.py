@@ -15,7 +15,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from tidewatch.llm import chat, quality, tokenbin, toxicity
+from tidewatch.llm import chat, decontam, quality, tokenbin, toxicity
 from tidewatch.llm import common as shared
 from tidewatch.llm.decontam import WINDOW, clean, overlaps
 from tidewatch.llm.exact_dedup import directory, distinct_documents, exact_groups
@@ -208,6 +208,18 @@ def brute_overlaps(docs, items):
     return {k: (-n, at) for k, (n, at) in out.items()}
 
 
+def test_a_words_hash_is_made_once(spark, monkeypatch):
+    """Seeds are made of the words' hashes: no string is read again for each seed that it stands in."""
+    plans = {}
+    kept = decontam.scratch
+    monkeypatch.setattr(decontam, "scratch", lambda df, name: plans.setdefault(name, df._jdf.queryExecution().optimizedPlan().toString()) and kept(df, name))
+    bench = spark.createDataFrame([(1, "one two three four five six seven eight nine")], "item_id long, text string")
+    assert overlaps(docs_of(spark, [(1, "zero One two three FOUR five six seven eight nine")]), bench).count() == 1
+    assert plans["hits"].count("regexp_extract_all") == 1
+    for plan in plans.values():
+        assert re.search(r"transform\([^\n]*lambdafunction\(xxhash64\(lambda [^,()]+, 42\)", plan)
+
+
 def test_overlaps(spark):
     rng = random.Random(4)
     words = [f"v{i}" for i in range(200)]

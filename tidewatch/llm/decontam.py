@@ -27,7 +27,7 @@ BROADCAST_SEEDS = 1_000_000
 
 
 def _seeds(words: Column, masks: tuple[str, ...]) -> Column:
-    """Array of (pos, seed) for every mask and every place where it fits."""
+    """Array of (pos, seed) for every mask and every place where it fits; words: see ``_hashed``."""
 
     def of(k: int, mask: str) -> Column:
         reads = [j for j, c in enumerate(mask) if c == "1"]
@@ -42,6 +42,11 @@ def _once(value: Column) -> Column:
     return F.explode(F.array(value))
 
 
+def _hashed(words: Column) -> Column:
+    """A hash of each word, made once: each word stands in some fifteen seeds. Hits are compared word by word."""
+    return _once(F.transform(words, lambda w: F.xxhash64(w)))
+
+
 def overlaps(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """Pairs of a document and a benchmark item that overlap: doc_id, item_id, first_word, n_same, n_compared, share.
 
@@ -58,11 +63,11 @@ def overlaps(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     lengths = sorted(r["n"] for r in items.where(F.size("item") < longest).select(F.least(F.size("item"), F.lit(SHORT)).alias("n")).distinct().collect())
     none = F.array().cast("array<struct<pos:int,seed:bigint>>")
     of_length = lambda n: (F.size("item") < longest) & (F.least(F.size("item"), F.lit(SHORT)) == n)
-    seeds = F.concat(_seeds(F.col("item"), MASKS), *[F.when(of_length(n), _seeds(F.col("item"), ("1" * n,))).otherwise(none) for n in lengths])
-    tests = items.select("item_id", F.explode(seeds).alias("s")).select("item_id", F.col("s.pos").alias("tpos"), "s.seed")
+    seeds = F.concat(_seeds(F.col("h"), MASKS), *[F.when(of_length(n), _seeds(F.col("h"), ("1" * n,))).otherwise(none) for n in lengths])
+    tests = items.select("item_id", "item", _hashed(F.col("item")).alias("h")).select("item_id", F.explode(seeds).alias("s")).select("item_id", F.col("s.pos").alias("tpos"), "s.seed")
     tests = scratch(tests, "seeds")
     masks = (*MASKS, *["1" * n for n in lengths])
-    train = docs.select(F.col("doc_id").cast("long").alias("doc_id"), words_of(F.col("text")).alias("w")).select("doc_id", F.explode(_seeds(F.col("w"), masks)).alias("s")).select("doc_id", F.col("s.pos").alias("pos"), "s.seed")
+    train = docs.select(F.col("doc_id").cast("long").alias("doc_id"), _hashed(words_of(F.col("text"))).alias("h")).select("doc_id", F.explode(_seeds(F.col("h"), masks)).alias("s")).select("doc_id", F.col("s.pos").alias("pos"), "s.seed")
     small = tests.count() <= BROADCAST_SEEDS
     hits = train.join(F.broadcast(tests) if small else tests, "seed").select("doc_id", "item_id", (F.col("pos") - F.col("tpos")).alias("diagonal")).distinct()
     hits = scratch(hits, "hits")
