@@ -169,6 +169,27 @@ def test_coactivation_deals_events_not_pairs(spark, monkeypatch):
     assert got == want
 
 
+def test_like_owners_follow_each_other(monkeypatch):
+    """Pairs come by owners of like targets, so that files of them pack well: all of them, each once, with their targets."""
+    rng = random.Random(4)
+    kinds = [(1,), (2, 5), (1, 7), (2, 5, 6, 8)]
+    rows = [(f"u{k:03}", t, k % 2 == 0) for k in range(80) for t in kinds[rng.randrange(4)]]
+    rng.shuffle(rows)
+    held = {}
+    for a, t, _ in rows:
+        held.setdefault(a, set()).add(t)
+    want = {(a, b): sorted(held[a] & held[b]) for a, b in itertools.combinations(sorted(held), 2) if int(a[1:]) % 2 == 0 and held[a] & held[b]}
+    batches = pa.table(dict(zip(("author", "target", "own", "block"), [*map(list, zip(*rows, strict=True)), [0] * len(rows)], strict=True))).to_batches(50)
+    for together_at_once in (7, 1 << 16):
+        monkeypatch.setattr(together, "TOGETHER", together_at_once)
+        got = [r for b in together.shared_pairs([])(iter(batches)) for r in b.to_pylist()]
+        assert len(got) == len(want) and {(r["author_a"], r["author_b"]): r["targets"] for r in got} == want
+        assert all(r["n_shared"] == len(r["targets"]) for r in got)
+        owners = [tuple(sorted(held[a])) for a, _ in itertools.groupby(r["author_a"] for r in got)]
+        assert len(list(itertools.groupby(owners))) == len(set(owners)) == 4
+    assert list(together.shared_pairs([])(iter(()))) == []
+
+
 def test_communities(spark):
     cliques = [("a", "b"), ("a", "c"), ("b", "c"), ("x", "y"), ("y", "z"), ("x", "z"), ("p", "q")]
     pairs = spark.createDataFrame([("d", a, b, 5, 0.5) for a, b in cliques] + [("d", "c", "x", 1, 0.1)], "day string, author_a string, author_b string, n_overlap long, jaccard double")
